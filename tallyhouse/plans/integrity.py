@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from tallyhouse.functions.columns import at_least, clamp, days_between, money_sum, pad_zip, ratio, strip
 from tallyhouse.operators.groups import group_medians, latest_per_group
+from tallyhouse.operators.ranking import Ranking, asc, rank_all
 
 Tables = Mapping[str, DataFrame]
 
@@ -289,7 +290,8 @@ def compare_results(
 ) -> DataFrame:
     """Same columns in order, same row count, values equal within tolerances after aligning on ``keys``.
 
-    Rows with an equal key are numbered by their values, so repeated keys align too.
+    Rows with an equal key are numbered by their values, so repeated keys align too; the
+    numbering is range-partitioned, so one key may hold any part of the rows.
     """
     if result.columns != expected.columns:
         one = expected.sparkSession.range(1)
@@ -297,9 +299,9 @@ def compare_results(
     values = [c for c in result.columns if c not in keys]
 
     def aligned(df: DataFrame, side: str) -> DataFrame:
-        packed = df.select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)], F.struct(*values).alias(side))
-        order = W.partitionBy(*[f"_k{i}" for i in range(len(keys))]).orderBy(side)
-        return packed.withColumn("_n", F.row_number().over(order))
+        ks = [f"_k{i}" for i in range(len(keys))]
+        packed = df.select(*[F.col(k).alias(n) for k, n in zip(keys, ks)], F.struct(*values).alias(side))
+        return rank_all(packed, Ranking(order=[asc(side)], within=ks, row_number="_n"))
 
     left, right = aligned(result, "l"), aligned(expected, "r")
     on = F.col("a._n") == F.col("b._n")

@@ -7,6 +7,9 @@ on data that grows with the given tables.
 
 from __future__ import annotations
 
+from collections.abc import Callable, Mapping
+from functools import partial
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tallyhouse.functions.columns import date_key, days_between, money
@@ -16,8 +19,42 @@ STATUS = {"F": "delivered", "O": "shipped"}
 PAYMENT = {"1-URGENT": "credit_card", "2-HIGH": "boleto", "3-MEDIUM": "voucher", "4-NOT SPECIFIED": "debit_card"}
 
 
+COLUMNS = {
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, p_retailprice double",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double,"
+    " o_orderdate timestamp_ntz, o_orderpriority string",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double,"
+    " l_extendedprice double, l_discount double, l_tax double, l_returnflag string, l_linestatus string,"
+    " l_shipdate timestamp_ntz",
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string",
+    "documents": "doc_id bigint, text string, lang string, source string, n_chars bigint",
+}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """Read with the known schema, which saves a job that infers it."""
+    return spark.read.schema(COLUMNS[name]).parquet(f"{sf_dir}/{name}.parquet")
+
+
+class Tables(Mapping):
+    """Datasets by name, each planned when first asked for."""
+
+    def __init__(self, builders: Mapping[str, Callable[[], DataFrame]]) -> None:
+        self._builders, self._built = dict(builders), {}
+
+    def __getitem__(self, name: str) -> DataFrame:
+        if name not in self._built:
+            self._built[name] = self._builders[name]()
+        return self._built[name]
+
+    def __iter__(self):
+        return iter(self._builders)
+
+    def __len__(self) -> int:
+        return len(self._builders)
 
 
 def _case(c: str, mapping: dict[str, str], default: str) -> Column:
@@ -28,10 +65,48 @@ def _case(c: str, mapping: dict[str, str], default: str) -> Column:
     return out.otherwise(default)
 
 
-def star(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    t = {n: table(spark, sf_dir, n) for n in ("nation", "customer", "supplier", "part", "orders", "lineitem")}
-    nation = t["nation"].select("n_nationkey", "n_name")
-    orders = t["orders"].select(
+def _placed(spark: SparkSession, sf_dir: str, name: str, nation_key: str) -> DataFrame:
+    nation = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
+    return table(spark, sf_dir, name).join(nation, F.col(nation_key) == F.col("n_nationkey"), "left")
+
+
+def star_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    days = table(spark, sf_dir, "orders").select(F.col("o_orderdate").alias("order_purchase_timestamp"))
+    return build_dim_dates(days)
+
+
+def star_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _placed(spark, sf_dir, "customer", "c_nationkey").select(
+        F.col("c_custkey").alias("customer_key"),
+        F.col("c_custkey").alias("customer_id"),
+        F.col("c_custkey").alias("customer_unique_id"),
+        F.col("c_nationkey").alias("geo_key"),
+        F.col("c_mktsegment").alias("city"),
+        F.col("n_name").alias("state"),
+    )
+
+
+def star_sellers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _placed(spark, sf_dir, "supplier", "s_nationkey").select(
+        F.col("s_suppkey").alias("seller_key"),
+        F.col("s_suppkey").alias("seller_id"),
+        F.col("s_nationkey").alias("geo_key"),
+        F.col("s_name").alias("city"),
+        F.col("n_name").alias("state"),
+    )
+
+
+def star_products(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "part").select(
+        F.col("p_partkey").alias("product_key"),
+        F.col("p_partkey").alias("product_id"),
+        F.col("p_brand").alias("category_name_pt"),
+        F.col("p_type").alias("category_name_en"),
+    )
+
+
+def star_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
+    orders = table(spark, sf_dir, "orders").select(
         F.col("o_orderkey").alias("order_id"),
         F.col("o_custkey").alias("customer_key"),
         date_key("o_orderdate").alias("date_key"),
@@ -42,55 +117,37 @@ def star(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     )
     freight = F.round(money("l_extendedprice") * F.col("l_tax").cast("decimal(4,2)"), 2).cast("double")
     days = days_between("l_shipdate", "o_orderdate")
-    fact = (
-        t["lineitem"]
-        .withColumn("order_id", F.col("l_orderkey"))
-        .join(orders, "order_id", "left")
-        .select(
-            "order_id",
-            F.col("l_linenumber").alias("order_item_id"),
-            "date_key",
-            "customer_key",
-            F.col("l_suppkey").alias("seller_key"),
-            F.col("l_partkey").alias("product_key"),
-            "order_status",
-            F.col("l_extendedprice").alias("price"),
-            freight.alias("freight_value"),
-            "order_payment_total",
-            "payment_type",
-            F.ceil(F.col("l_quantity") / 10).cast("int").alias("review_score"),
-            days.alias("delivery_days"),
-            F.lit(30.0).alias("estimated_days"),
-            (days - 30.0).alias("delivery_delta_days"),
-        )
+    lines = table(spark, sf_dir, "lineitem").withColumn("order_id", F.col("l_orderkey"))
+    return lines.join(orders, "order_id", "left").select(
+        "order_id",
+        F.col("l_linenumber").alias("order_item_id"),
+        "date_key",
+        "customer_key",
+        F.col("l_suppkey").alias("seller_key"),
+        F.col("l_partkey").alias("product_key"),
+        "order_status",
+        F.col("l_extendedprice").alias("price"),
+        freight.alias("freight_value"),
+        "order_payment_total",
+        "payment_type",
+        F.ceil(F.col("l_quantity") / 10).cast("int").alias("review_score"),
+        days.alias("delivery_days"),
+        F.lit(30.0).alias("estimated_days"),
+        (days - 30.0).alias("delivery_delta_days"),
     )
-    customers = t["customer"].join(nation, F.col("c_nationkey") == F.col("n_nationkey"), "left")
-    sellers = t["supplier"].join(nation, F.col("s_nationkey") == F.col("n_nationkey"), "left")
-    return {
-        "dim_dates": build_dim_dates(t["orders"].select(F.col("o_orderdate").alias("order_purchase_timestamp"))),
-        "dim_customers": customers.select(
-            F.col("c_custkey").alias("customer_key"),
-            F.col("c_custkey").alias("customer_id"),
-            F.col("c_custkey").alias("customer_unique_id"),
-            F.col("c_nationkey").alias("geo_key"),
-            F.col("c_mktsegment").alias("city"),
-            F.col("n_name").alias("state"),
-        ),
-        "dim_sellers": sellers.select(
-            F.col("s_suppkey").alias("seller_key"),
-            F.col("s_suppkey").alias("seller_id"),
-            F.col("s_nationkey").alias("geo_key"),
-            F.col("s_name").alias("city"),
-            F.col("n_name").alias("state"),
-        ),
-        "dim_products": t["part"].select(
-            F.col("p_partkey").alias("product_key"),
-            F.col("p_partkey").alias("product_id"),
-            F.col("p_brand").alias("category_name_pt"),
-            F.col("p_type").alias("category_name_en"),
-        ),
-        "fact_orders": fact,
-    }
+
+
+STAR_BUILDERS = {
+    "dim_dates": star_dates,
+    "dim_customers": star_customers,
+    "dim_sellers": star_sellers,
+    "dim_products": star_products,
+    "fact_orders": star_fact,
+}
+
+
+def star(spark: SparkSession, sf_dir: str) -> Tables:
+    return Tables({name: partial(build, spark, sf_dir) for name, build in STAR_BUILDERS.items()})
 
 
 # ---- raw datasets -------------------------------------------------------------------
@@ -159,22 +216,33 @@ def raw_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _freight() -> Column:
-    return F.round(money("l_extendedprice") * F.col("l_tax").cast("decimal(4,2)"), 2)
+def order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Line items merged per (order, line number), which is not unique in the given table."""
+    merged = table(spark, sf_dir, "lineitem").groupBy("l_orderkey", "l_linenumber").agg(
+        F.min("l_partkey").alias("part"),
+        F.min("l_suppkey").alias("supplier"),
+        F.min("l_shipdate").alias("shipped"),
+        F.sum(money("l_extendedprice")).alias("amount"),
+        F.min("l_discount").alias("discount"),
+        F.min("l_tax").alias("tax"),
+        F.min("l_returnflag").alias("flag"),
+        F.min("l_linestatus").alias("status"),
+        F.max("l_quantity").alias("quantity"),
+    )
+    return merged.withColumn("freight", F.round(F.col("amount") * F.col("tax").cast("decimal(4,2)"), 2))
 
 
 def raw_order_items(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Some prices are negative; line numbers are not unique inside an order."""
-    price = F.col("l_extendedprice")
-    returned = (F.col("l_returnflag") == "R") & (F.col("l_discount") == 0.1)
-    return table(spark, sf_dir, "lineitem").select(
+    """Some prices are negative."""
+    returned = (F.col("flag") == "A") & (F.col("discount") == 0.1)
+    return order_lines(spark, sf_dir).select(
         _id("o", "l_orderkey").alias("order_id"),
         F.col("l_linenumber").alias("order_item_id"),
-        _id("p", "l_partkey").alias("product_id"),
-        _id("s", "l_suppkey").alias("seller_id"),
-        _at(F.col("l_shipdate"), "00:00:00").alias("shipping_limit_date"),
-        F.when(returned, -price).otherwise(price).alias("price"),
-        _freight().cast("double").alias("freight_value"),
+        _id("p", "part").alias("product_id"),
+        _id("s", "supplier").alias("seller_id"),
+        _at(F.col("shipped"), "00:00:00").alias("shipping_limit_date"),
+        F.when(returned, -F.col("amount")).otherwise(F.col("amount")).cast("double").alias("price"),
+        F.col("freight").cast("double").alias("freight_value"),
     )
 
 
@@ -186,24 +254,22 @@ def raw_order_payments(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One payment per line, most of them off by a fixed amount; one type is unknown."""
     change = F.lit("0.00").cast("decimal(18,2)")
     for discount, amount in ADJUSTMENT.items():
-        change = F.when(F.col("l_discount") == discount, F.lit(amount).cast("decimal(18,2)")).otherwise(change)
-    flag, tax = F.col("l_returnflag"), F.col("l_tax")
+        change = F.when(F.col("discount") == discount, F.lit(amount).cast("decimal(18,2)")).otherwise(change)
+    flag, status = F.col("flag"), F.col("status")
     kind = (
-        F.when((flag == "A") & (tax == 0.08), "bitcoin")
-        .when(flag == "A", " credit_card")
+        F.when((flag == "A") & (F.col("tax") == 0.08), "bitcoin")
+        .when((flag == "A") & (status == "F"), " credit_card")
+        .when(flag == "A", "debit_card ")
         .when(flag == "N", "boleto")
-        .when(F.col("l_linestatus") == "F", "debit_card")
         .otherwise("voucher")
     )
-    value = F.when(F.col("l_quantity") == 1, F.lit(0.0)).otherwise(
-        (money("l_extendedprice") + _freight() + change).cast("double")
-    )
-    return table(spark, sf_dir, "lineitem").select(
+    due = (F.col("amount") + F.col("freight") + change).cast("double")
+    return order_lines(spark, sf_dir).select(
         _id("o", "l_orderkey").alias("order_id"),
         F.col("l_linenumber").alias("payment_sequential"),
         kind.alias("payment_type"),
-        F.ceil(F.col("l_quantity") / 10).cast("int").alias("payment_installments"),
-        value.alias("payment_value"),
+        F.ceil(F.col("quantity") / 10).cast("int").alias("payment_installments"),
+        F.when(F.col("quantity") == 1, F.lit(0.0)).otherwise(due).alias("payment_value"),
     )
 
 
@@ -272,5 +338,5 @@ RAW_BUILDERS = {
 }
 
 
-def raw(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    return {name: build(spark, sf_dir) for name, build in RAW_BUILDERS.items()}
+def raw(spark: SparkSession, sf_dir: str) -> Tables:
+    return Tables({name: partial(build, spark, sf_dir) for name, build in RAW_BUILDERS.items()})
