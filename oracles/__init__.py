@@ -1 +1,5 @@
-SQL: dict[str, str] = {}
+"""SQL twins of the registered queries, written against the driver's tables only."""
+
+from oracles import reports
+
+SQL: dict[str, str] = {**reports.SQL}
