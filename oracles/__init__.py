@@ -1,5 +1,5 @@
 """SQL twins of the registered queries, written against the driver's tables only."""
 
-from oracles import reports
+from oracles import reports, warehouse
 
-SQL: dict[str, str] = {**reports.SQL}
+SQL: dict[str, str] = {**reports.SQL, **warehouse.SQL}

@@ -19,7 +19,7 @@ def div(a: str, b: str) -> str:
 
 def title(x: str) -> str:
     runs = f"regexp_extract_all(lower({x}), '(\\p{{L}}+|\\P{{L}}+)')"
-    return f"array_to_string(list_transform({runs}, lambda w: upper(w[1]) || w[2:]), '')"
+    return f"array_to_string(list_transform({runs}, lambda w: CASE WHEN w[1] = 'ß' THEN 'Ss' ELSE upper(w[1]) END || w[2:]), '')"
 
 
 def strip(x: str) -> str:
