@@ -384,7 +384,7 @@ add("r6_rows_per_zip", "b zips, d mean, d median, b max", f"SELECT COUNT(*) AS z
 def std(x: str) -> str:
     e = f"CAST({x} AS DECIMAL(18,6))"
     return rnd(
-        f"sqrt(GREATEST(CAST(SUM({e} * {e}) AS DOUBLE) - CAST(SUM({e}) AS DOUBLE) * CAST(SUM({e}) AS DOUBLE) / COUNT({x}), 0) / (COUNT({x}) - 1))", 6
+        f"sqrt(GREATEST(CAST(SUM({e} * {e}) AS DOUBLE) - CAST(SUM({e}) AS DOUBLE) * CAST(SUM({e}) AS DOUBLE) / COUNT({x}), 0) / NULLIF(COUNT({x}) - 1, 0))", 6
     )
 
 

@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Column, functions as F
 
 MONEY = "decimal(18,2)"
+CENT = Decimal("0.01")
 
 
 def col(c: Column | str) -> Column:
@@ -12,12 +15,27 @@ def col(c: Column | str) -> Column:
 
 
 def money(c: Column | str) -> Column:
-    """Exact cents. Sums of it do not depend on the order in which tasks finish."""
+    """One amount as an exact decimal. Slow per row: sums go through ``money_sum``."""
     return col(c).cast(MONEY)
 
 
+def cents(c: Column | str) -> Column:
+    """Whole cents of a float amount, a plain long inside generated code."""
+    return F.rint(col(c) * 100).cast("bigint")
+
+
 def money_sum(c: Column | str) -> Column:
-    return F.sum(money(c))
+    """Exact sum, independent of the order in which tasks finish, at the price of a long sum.
+
+    A group may reach 9.2e16 units of currency; beyond that ANSI mode fails the job. Use
+    ``money_total`` for sums over a whole table.
+    """
+    return F.sum(cents(c)).cast("decimal(20,0)") * F.lit(CENT)
+
+
+def money_total(c: Column | str) -> Column:
+    """Exact sum without that limit."""
+    return F.sum(cents(c).cast("decimal(18,0)")) * F.lit(CENT)
 
 
 def ratio(num: Column, den: Column) -> Column:
@@ -26,7 +44,7 @@ def ratio(num: Column, den: Column) -> Column:
 
 
 def mean_money(c: Column | str) -> Column:
-    """Average over an exact sum."""
+    """Average over an exact sum of float amounts."""
     return ratio(money_sum(c), F.count(col(c)))
 
 

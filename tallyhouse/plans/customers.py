@@ -13,7 +13,6 @@ from pyspark.sql import DataFrame, Window as W, functions as F
 from tallyhouse.functions.columns import (
     date_of,
     mean_money,
-    money,
     money_sum,
     month_label,
     month_of,
@@ -95,7 +94,7 @@ def rfm_segmentation(star: Star, as_of: date | None = None, **how) -> DataFrame:
         .groupBy("segment")
         .agg(
             F.count(F.lit(1)).alias("nb_customers"),
-            F.round(mean_money("monetary"), 2).alias("avg_monetary"),
+            F.round(ratio(F.sum("monetary"), F.count("monetary")), 2).alias("avg_monetary"),
             F.round(ratio(F.sum("frequency"), F.count("frequency")), 2).alias("avg_frequency"),
         )
         .orderBy(F.desc("nb_customers"), "segment")

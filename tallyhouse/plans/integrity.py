@@ -7,7 +7,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
-from tallyhouse.functions.columns import at_least, clamp, days_between, money_sum, pad_zip, ratio, strip
+from tallyhouse.functions.columns import at_least, days_between, money, money_sum, money_total, pad_zip, ratio, strip
 from tallyhouse.operators.groups import group_medians, latest_per_group
 from tallyhouse.operators.ranking import Ranking, asc, rank_all
 
@@ -160,9 +160,9 @@ def revenue_totals(raw: Tables, star: Tables, tolerance: float = 1e-6) -> DataFr
     """Price and freight sums within a relative tolerance."""
     parts = []
     for c in ("price", "freight_value"):
-        total = raw["order_items"].distinct().agg(money_sum(at_least(c, 0.0)).alias("raw_total"))
+        total = raw["order_items"].distinct().agg(money_total(at_least(c, 0.0)).alias("raw_total"))
         parts.append(
-            total.select(F.lit(c).alias("check"), "raw_total", star["fact_orders"].agg(money_sum(c)).scalar().alias("total"))
+            total.select(F.lit(c).alias("check"), "raw_total", star["fact_orders"].agg(money_total(c)).scalar().alias("total"))
         )
     gap = F.abs(F.col("total") - F.col("raw_total")).cast("double")
     return stack(parts).withColumn("n_violations", (gap > F.abs(F.col("raw_total").cast("double")) * tolerance).cast("bigint"))
@@ -174,7 +174,7 @@ def payment_totals(clean: Tables, star: Tables) -> DataFrame:
     fact = (
         star["fact_orders"]
         .groupBy("order_id")
-        .agg(F.max(F.col("order_payment_total").cast("decimal(18,2)")).alias("total"))
+        .agg(money(F.max("order_payment_total")).alias("total"))
     )
     both = fact.join(raw, "order_id", "left")
     differs = ~F.col("total").eqNullSafe(F.col("raw_total"))

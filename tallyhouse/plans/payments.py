@@ -35,7 +35,7 @@ def _gap(delta: Column) -> Column:
 def order_gaps(star: Star, by: tuple[str, ...] = ()) -> DataFrame:
     """Per order: paid total (repeated on every item, so its maximum) minus price and freight."""
     invoiced = money_sum("price") + money_sum("freight_value")
-    paid = F.max(money("order_payment_total"))
+    paid = money(F.max("order_payment_total"))
     grouped = star["fact_orders"].groupBy("order_id", *by)
     return grouped.agg(invoiced.alias("invoiced_total"), paid.alias("paid_total"), F.count(F.lit(1)).alias("nb_items")).withColumn(
         "delta", F.col("paid_total") - F.col("invoiced_total")

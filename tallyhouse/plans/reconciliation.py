@@ -6,7 +6,7 @@ from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tallyhouse.functions.columns import money_sum, month_label, month_of, ratio
+from tallyhouse.functions.columns import money, money_sum, money_total, month_label, month_of, ratio
 from tallyhouse.plans.integrity import stack
 from tallyhouse.plans.profiling import histogram
 
@@ -77,12 +77,12 @@ def payment_distributions(raw: Tables, star: Tables, upper: float = 500) -> Data
     """Rows, total and share above ``upper``: per payment, per raw order, per warehouse order."""
     limit = F.lit(str(upper)).cast("decimal(18,2)")
     value = F.col("value")
-    per_payment = raw["order_payments"].select(F.col("payment_value").cast("decimal(18,2)").alias("value"))
+    per_payment = raw["order_payments"].select(money("payment_value").alias("value"))
     per_order = raw["order_payments"].groupBy("order_id").agg(money_sum("payment_value").alias("value"))
     in_fact = (
         star["fact_orders"]
         .groupBy("order_id")
-        .agg(F.max(F.col("order_payment_total").cast("decimal(18,2)")).alias("value"))
+        .agg(money(F.max("order_payment_total")).alias("value"))
     )
     parts = []
     for name, df in (("payment", per_payment), ("raw order", per_order), ("warehouse order", in_fact)):
@@ -100,17 +100,17 @@ def totals(raw: Tables, star: Tables) -> DataFrame:
     once = (
         star["fact_orders"]
         .groupBy("order_id")
-        .agg(F.max(F.col("order_payment_total").cast("decimal(18,2)")).alias("paid"))
+        .agg(money(F.max("order_payment_total")).alias("paid"))
         .agg(F.sum("paid"))
     )
-    sums = star["fact_orders"].agg(F.struct(money_sum("price").alias("price"), money_sum("freight_value").alias("freight_value"))).scalar()
+    sums = star["fact_orders"].agg(F.struct(money_total("price").alias("price"), money_total("freight_value").alias("freight_value"))).scalar()
     parts = [
-        raw["order_payments"].agg(money_sum("payment_value").alias("raw_total")).select(
+        raw["order_payments"].agg(money_total("payment_value").alias("raw_total")).select(
             F.lit("payments").alias("measure"), "raw_total", once.scalar().alias("warehouse_total")
         )
     ]
     for c in ("price", "freight_value"):
-        one = raw["order_items"].agg(money_sum(c).alias("raw_total"))
+        one = raw["order_items"].agg(money_total(c).alias("raw_total"))
         parts.append(one.select(F.lit(c).alias("measure"), "raw_total", sums.getField(c).alias("warehouse_total")))
     gap = F.abs(F.col("raw_total") - F.col("warehouse_total"))
     return stack([p.select("measure", F.col("raw_total").cast("decimal(38,2)"), F.col("warehouse_total").cast("decimal(38,2)")) for p in parts]).select(
@@ -216,7 +216,7 @@ def orphan_items(raw: Tables) -> DataFrame:
 
 
 def item_sums(raw: Tables) -> DataFrame:
-    return raw["order_items"].agg(money_sum("price").alias("sum_price"), money_sum("freight_value").alias("sum_freight"))
+    return raw["order_items"].agg(money_total("price").alias("sum_price"), money_total("freight_value").alias("sum_freight"))
 
 
 def status_counts(raw: Tables) -> DataFrame:

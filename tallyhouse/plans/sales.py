@@ -12,8 +12,8 @@ from tallyhouse.functions.columns import (
     date_of,
     mean_money,
     month_of,
-    money,
     money_sum,
+    money_total,
     percent_change,
     ratio,
 )
@@ -44,7 +44,7 @@ def overview_kpis(star: Star) -> DataFrame:
     days = fact.withColumn("done_days", F.when(done, F.col("delivery_days")))
     return days.agg(
         F.countDistinct(F.when(done, F.col("order_id"))).alias("total_orders"),
-        F.sum(F.when(done, money("price"))).alias("total_revenue"),
+        money_total(F.when(done, F.col("price"))).alias("total_revenue"),
         F.round(mean_score("review_score"), 2).alias("avg_review"),
         F.round(mean_days("done_days"), 1).alias("avg_delivery_days"),
     )
@@ -206,7 +206,7 @@ def product_revenue(star: Star) -> DataFrame:
 
 def top_products_share(star: Star, limit: int = 10) -> DataFrame:
     """Best products as a share of the revenue of all statuses."""
-    total = star["fact_orders"].agg(money_sum("price")).scalar()
+    total = star["fact_orders"].agg(money_total("price")).scalar()
     best = product_revenue(star).orderBy(F.desc("revenue"), "product_id").limit(limit)
     share = ratio(F.col("revenue") * 100, total).alias("pct_of_total")
     return best.select("product_id", "revenue", share).orderBy(F.desc("revenue"), "product_id")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window as W, functions as F
 
-from tallyhouse.functions.columns import mean_money, money_sum, ratio
+from tallyhouse.functions.columns import money_sum, ratio
 from tallyhouse.operators.ranking import Ranking, asc, desc, rank_all
 from tallyhouse.plans.sales import mean_days, mean_score
 from tallyhouse.plans.views import Star, delivered

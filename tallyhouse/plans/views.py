@@ -12,7 +12,7 @@ from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tallyhouse.functions.columns import date_of, mean_money, money, money_sum, month_label, month_of, ratio, year_of
+from tallyhouse.functions.columns import date_of, money_sum, month_label, month_of, ratio
 
 Star = Mapping[str, DataFrame]
 DELIVERED = "delivered"

@@ -12,8 +12,9 @@ from functools import partial
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from tallyhouse.functions.columns import date_key, days_between, money
+from tallyhouse.functions.columns import cents, date_key, days_between
 from tallyhouse.operators.modelling import build_dim_dates
+from tallyhouse.operators.staging import stage
 
 STATUS = {"F": "delivered", "O": "shipped"}
 PAYMENT = {"1-URGENT": "credit_card", "2-HIGH": "boleto", "3-MEDIUM": "voucher", "4-NOT SPECIFIED": "debit_card"}
@@ -58,11 +59,16 @@ class Tables(Mapping):
 
 
 def _case(c: str, mapping: dict[str, str], default: str) -> Column:
-    out = None
-    for value, label in mapping.items():
-        test = F.col(c) == value
-        out = F.when(test, label) if out is None else out.when(test, label)
-    return out.otherwise(default)
+    """Nested so that a comparison with one label folds into a comparison the Parquet reader takes."""
+    out = F.lit(default)
+    for value, label in reversed(mapping.items()):
+        out = F.when(F.col(c) == value, label).otherwise(out)
+    return out
+
+
+def _tax_cents(amount_cents: Column, rate: Column) -> Column:
+    """Tax in whole cents, half up, in integer arithmetic."""
+    return F.floor((amount_cents * F.rint(rate * 100).cast("bigint") + 50) / 100)
 
 
 def _placed(spark: SparkSession, sf_dir: str, name: str, nation_key: str) -> DataFrame:
@@ -115,7 +121,7 @@ def star_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
         _case("o_orderpriority", PAYMENT, "not_defined").alias("payment_type"),
         "o_orderdate",
     )
-    freight = F.round(money("l_extendedprice") * F.col("l_tax").cast("decimal(4,2)"), 2).cast("double")
+    freight = _tax_cents(cents("l_extendedprice"), F.col("l_tax")) / 100.0
     days = days_between("l_shipdate", "o_orderdate")
     lines = table(spark, sf_dir, "lineitem").withColumn("order_id", F.col("l_orderkey"))
     return lines.join(orders, "order_id", "left").select(
@@ -216,45 +222,55 @@ def raw_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+_lines: dict[tuple[str, str], DataFrame] = {}
+
+
 def order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Line items merged per (order, line number), which is not unique in the given table."""
-    merged = table(spark, sf_dir, "lineitem").groupBy("l_orderkey", "l_linenumber").agg(
-        F.min("l_partkey").alias("part"),
-        F.min("l_suppkey").alias("supplier"),
-        F.min("l_shipdate").alias("shipped"),
-        F.sum(money("l_extendedprice")).alias("amount"),
-        F.min("l_discount").alias("discount"),
-        F.min("l_tax").alias("tax"),
-        F.min("l_returnflag").alias("flag"),
-        F.min("l_linestatus").alias("status"),
-        F.max("l_quantity").alias("quantity"),
-    )
-    return merged.withColumn("freight", F.round(F.col("amount") * F.col("tax").cast("decimal(4,2)"), 2))
+    """Line items merged per (order, line number), which is not unique in the given table.
+
+    Written once per application: items and payments both start from it.
+    """
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _lines:
+        merged = table(spark, sf_dir, "lineitem").groupBy("l_orderkey", "l_linenumber").agg(
+            F.min("l_partkey").alias("part"),
+            F.min("l_suppkey").alias("supplier"),
+            F.min("l_shipdate").alias("shipped"),
+            F.sum(cents("l_extendedprice")).alias("amount"),
+            F.min("l_discount").alias("discount"),
+            F.min("l_tax").alias("tax"),
+            F.min("l_returnflag").alias("flag"),
+            F.min("l_linestatus").alias("status"),
+            F.max("l_quantity").alias("quantity"),
+        )
+        _lines[key] = stage(merged.withColumn("freight", _tax_cents(F.col("amount"), F.col("tax"))), "order-lines")
+    return _lines[key]
 
 
 def raw_order_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Some prices are negative."""
     returned = (F.col("flag") == "A") & (F.col("discount") == 0.1)
+    amount = F.when(returned, -F.col("amount")).otherwise(F.col("amount"))
     return order_lines(spark, sf_dir).select(
         _id("o", "l_orderkey").alias("order_id"),
         F.col("l_linenumber").alias("order_item_id"),
         _id("p", "part").alias("product_id"),
         _id("s", "supplier").alias("seller_id"),
         _at(F.col("shipped"), "00:00:00").alias("shipping_limit_date"),
-        F.when(returned, -F.col("amount")).otherwise(F.col("amount")).cast("double").alias("price"),
-        F.col("freight").cast("double").alias("freight_value"),
+        (amount / 100.0).alias("price"),
+        (F.col("freight") / 100.0).alias("freight_value"),
     )
 
 
-# what the payment of a line differs by from its invoice, per discount
-ADJUSTMENT = {0.0: "-15.50", 0.01: "0.50", 0.02: "0.01", 0.03: "25.00", 0.04: "75.00", 0.05: "-5.00", 0.06: "-0.50"}
+# cents by which the payment of a line differs from its invoice, per discount
+ADJUSTMENT = {0.0: -1550, 0.01: 50, 0.02: 1, 0.03: 2500, 0.04: 7500, 0.05: -500, 0.06: -50}
 
 
 def raw_order_payments(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One payment per line, most of them off by a fixed amount; one type is unknown."""
-    change = F.lit("0.00").cast("decimal(18,2)")
+    change = F.lit(0)
     for discount, amount in ADJUSTMENT.items():
-        change = F.when(F.col("discount") == discount, F.lit(amount).cast("decimal(18,2)")).otherwise(change)
+        change = F.when(F.col("discount") == discount, amount).otherwise(change)
     flag, status = F.col("flag"), F.col("status")
     kind = (
         F.when((flag == "A") & (F.col("tax") == 0.08), "bitcoin")
@@ -263,7 +279,7 @@ def raw_order_payments(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(flag == "N", "boleto")
         .otherwise("voucher")
     )
-    due = (F.col("amount") + F.col("freight") + change).cast("double")
+    due = (F.col("amount") + F.col("freight") + change) / 100.0
     return order_lines(spark, sf_dir).select(
         _id("o", "l_orderkey").alias("order_id"),
         F.col("l_linenumber").alias("payment_sequential"),
