@@ -18,6 +18,7 @@ from tallyhouse.operators.groups import group_modes
 from tallyhouse.operators.staging import staging_path
 from tallyhouse.plans import customers, indicators, integrity, payments, profiling, reconciliation, sales, sellers, views
 from tallyhouse.refresh import build_and_publish
+from tallyhouse.session import tune
 from tallyhouse.sinks import snapshot
 from tallyhouse.sources import given, raw as raw_files
 
@@ -43,7 +44,7 @@ def portable(df: DataFrame) -> DataFrame:
 
 def register(name: str) -> Callable[[Query], Query]:
     def add(fn: Query) -> Query:
-        QUERIES[name] = lambda spark, sf_dir: portable(fn(spark, sf_dir))
+        QUERIES[name] = lambda spark, sf_dir: portable(fn(tune(spark), sf_dir))
         return fn
 
     return add

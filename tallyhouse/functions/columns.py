@@ -55,15 +55,26 @@ def percent_change(now: Column, before: Column, digits: int = 1) -> Column:
 # ---- text -------------------------------------------------------------------
 
 
+# Every character that counts as whitespace when stripping text.
+WHITESPACE = (
+    "\t\n\v\f\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"
+    "\u2028\u2029\u202f\u205f\u3000"
+)
+
+
 def strip(c: Column | str) -> Column:
-    """Drop whitespace of any kind at both ends (``trim`` only drops blanks)."""
-    return F.regexp_replace(col(c), r"(?U)^\s+|\s+$", "")
+    """Drop whitespace of any kind at both ends (plain ``trim`` only drops blanks)."""
+    return F.btrim(col(c), F.lit(WHITESPACE))
 
 
 def title_case(c: Column | str) -> Column:
-    """Capital after every non-letter: ``d'oeste`` gives ``D'Oeste`` (``initcap`` would not)."""
-    runs = F.regexp_extract_all(F.lower(col(c)), F.lit(r"(\p{L}+|\P{L}+)"), F.lit(1))
-    return F.array_join(F.transform(runs, F.initcap), "")
+    """Capital after every non-letter: ``d'oeste`` gives ``D'Oeste``.
+
+    ``initcap`` starts words at blanks only, so a marker with a blank opens each word first.
+    """
+    mark = "\0 "
+    opened = F.regexp_replace(col(c), r"(?<=\P{L})(?=\p{L})", mark)
+    return F.replace(F.initcap(opened), F.lit(mark), F.lit(""))
 
 
 def pad_zip(c: Column | str, width: int = 5) -> Column:

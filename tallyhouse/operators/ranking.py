@@ -53,8 +53,8 @@ def desc(name: str) -> Key:
 class Ranking:
     """What to compute, as output column names.
 
-    ``ties`` is how many leading keys decide equality for rank, dense-free of the id that
-    makes the sort total. Group-wise numbers restart at each value of ``within``.
+    ``ties`` is how many leading keys of ``order`` decide equality for ranks; the id that makes
+    the sort total is left out. Row numbers and ranks restart at each value of ``within``.
     """
 
     order: Sequence[Key]
@@ -70,21 +70,21 @@ class Ranking:
 def rank_all(
     df: DataFrame,
     want: Ranking,
-    bound: DataFrame | None = None,
+    bound: DataFrame | int | None = None,
     small_rows: int = SMALL_ROWS,
     buckets: int | None = None,
 ) -> DataFrame:
     """Add the columns of ``want`` to ``df``.
 
-    ``bound`` is a cheap relation with at least as many rows as ``df``, usually the dimension
-    it was grouped by; without one, ``df`` is written once and counted from its footers.
+    ``bound`` is an upper limit of its rows, or a cheap relation with at least as many, usually
+    the dimension it was grouped by; without one, ``df`` is written once and counted from its
+    footers.
     """
-    if bound is not None and bound.count() <= small_rows:
-        return _plain(df, want)
     if bound is None:
-        df = stage(df, "rank-input")
-        if df.count() <= small_rows:
-            return _plain(df, want)
+        df = bound = stage(df, "rank-input")
+    rows = bound if isinstance(bound, int) else bound.count()
+    if rows <= small_rows:
+        return _plain(df, want)
     return _bucketed(df, want, buckets or _bucket_count(df))
 
 

@@ -18,7 +18,7 @@ from tallyhouse.functions.columns import (
     ratio,
 )
 from tallyhouse.operators.ranking import Ranking, asc, desc, rank_all
-from tallyhouse.plans.views import DELIVERED, Star, delivered, monthly_sales, orders_enriched
+from tallyhouse.plans.views import DELIVERED, Star, delivered, monthly_sales, with_category
 
 
 def by_month() -> WindowSpec:
@@ -89,8 +89,7 @@ def yearly_revenue(star: Star) -> DataFrame:
 def top_categories(star: Star, limit: int = 10) -> DataFrame:
     """Best categories by delivered revenue; items without a product count as ``Unknown``."""
     best = (
-        orders_enriched(star)
-        .filter(F.col("order_status") == DELIVERED)
+        with_category(star, delivered(star))
         .groupBy(F.col("product_category").alias("category_name"))
         .agg(
             money_sum("price").alias("total_revenue"),

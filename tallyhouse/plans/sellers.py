@@ -89,7 +89,7 @@ def seller_metrics(star: Star) -> DataFrame:
     return per_key.join(sellers, "seller_key").drop("seller_key")
 
 
-# score column -> metric, and whether a small metric is the better one
+# score column -> metric in the order from the worst seller to the best
 AXES = {
     "revenue_score": asc("total_revenue"),
     "volume_score": asc("nb_orders"),
@@ -102,7 +102,7 @@ AXES = {
 def scored_sellers(star: Star, **how) -> DataFrame:
     """Quintile per axis, 5 is best. A seller without deliveries sorts last and so scores 5 on delay."""
     scored = seller_metrics(star)
-    bound = star["dim_sellers"]
+    bound = star["dim_sellers"].count()
     for score, key in AXES.items():
         scored = rank_all(scored, Ranking(order=[key, asc("seller_id")], ntiles={score: 5}), bound=bound, **how)
     return scored.withColumn("total_score", sum((F.col(c) for c in AXES), F.lit(0)))
@@ -144,9 +144,9 @@ def seller_total_scores(star: Star, **how) -> DataFrame:
         .join(star["dim_sellers"].select("seller_key", "seller_id"), "seller_key")
         .drop("seller_key")
     )
+    bound = star["dim_sellers"].count()
     for score, key in AXES.items():
-        want = Ranking(order=[key, asc("seller_id")], ntiles={score: 5})
-        scored = rank_all(scored, want, bound=star["dim_sellers"], **how)
+        scored = rank_all(scored, Ranking(order=[key, asc("seller_id")], ntiles={score: 5}), bound=bound, **how)
     total = sum((F.col(c) for c in AXES), F.lit(0))
     return scored.select("seller_id", total.alias("total_score")).orderBy(F.desc("total_score"), "seller_id")
 

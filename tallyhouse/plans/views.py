@@ -66,19 +66,22 @@ def customer_cohorts(star: Star) -> DataFrame:
     )
 
 
+def with_category(star: Star, fact: DataFrame) -> DataFrame:
+    """Fact rows with their English, else original, category; ``Unknown`` without a product."""
+    category = F.coalesce("category_name_en", "category_name_pt")
+    products = star["dim_products"].select("product_key", category.alias("product_category"))
+    return fact.join(products, "product_key", "left").fillna("Unknown", ["product_category"])
+
+
 def orders_enriched(star: Star) -> DataFrame:
     """Every fact row with its calendar, customer and product attributes."""
     fact, day = star["fact_orders"], F.col("full_date")
     customers = star["dim_customers"].select(
         "customer_key", "customer_unique_id", F.col("city").alias("customer_city"), F.col("state").alias("customer_state")
     )
-    products = star["dim_products"].select(
-        "product_key", F.coalesce("category_name_en", "category_name_pt").alias("category")
-    )
     return (
-        fact.withColumn("full_date", date_of("date_key"))
+        with_category(star, fact.withColumn("full_date", date_of("date_key")))
         .join(customers, "customer_key", "left")
-        .join(products, "product_key", "left")
         .select(
             "order_id",
             "order_item_id",
@@ -91,7 +94,7 @@ def orders_enriched(star: Star) -> DataFrame:
             "customer_unique_id",
             "customer_city",
             "customer_state",
-            F.coalesce("category", F.lit("Unknown")).alias("product_category"),
+            "product_category",
             "price",
             "freight_value",
             "review_score",

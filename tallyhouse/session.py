@@ -5,6 +5,21 @@ from __future__ import annotations
 from pyspark.sql import SparkSession
 
 
+# Split a hot join key even where that costs an extra shuffle later in the plan.
+TUNING = {
+    "spark.sql.adaptive.enabled": "true",
+    "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+}
+
+
+def tune(spark: SparkSession) -> SparkSession:
+    """Apply the settings the plans count on; all of them can change in a running session."""
+    for key, value in TUNING.items():
+        spark.conf.set(key, value)
+    return spark
+
+
 def local_session(cores: str = "8", app: str = "tallyhouse", memory: str = "16g") -> SparkSession:
     spark = (
         SparkSession.builder.master(f"local[{cores}]")
@@ -14,9 +29,7 @@ def local_session(cores: str = "8", app: str = "tallyhouse", memory: str = "16g"
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.shuffle.partitions", "8" if cores == "*" else cores)
         .config("spark.sql.session.timeZone", "UTC")
-        .config("spark.sql.adaptive.enabled", "true")
-        .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
-    return spark
+    return tune(spark)
