@@ -302,7 +302,7 @@ add(
     "i3_acquisition_summary",
     "b new_customers, b recurring, d recurring_pct, s peak_month, b peak_new",
     f"""SELECT SUM(new_customers) AS new_customers, SUM(recurring) AS recurring,
-        {div('SUM(recurring) * 100', 'SUM(new_customers) + SUM(recurring)')} AS recurring_pct,
+        coalesce({div('SUM(recurring) * 100', 'SUM(new_customers) + SUM(recurring)')}, 0) AS recurring_pct,
         (SELECT month_label FROM ({NEWREC}) WHERE total >= 50 ORDER BY new_customers DESC, month_label LIMIT 1) AS peak_month,
         MAX(new_customers) AS peak_new FROM ({NEWREC}) WHERE total >= 50""",
 )
