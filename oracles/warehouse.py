@@ -569,6 +569,42 @@ add(
     + union([f"SELECT '{m}' AS measure, {a} AS raw_total, {b} AS warehouse_total" for m, (a, b) in TOTALS.items()])
     + ")",
 )
+# column of each dataset and table -> its name in the relation of the check
+COLS = {
+    "geolocation": "geolocation_zip_code_prefix=zip geolocation_lat=lat geolocation_lng=lng geolocation_city=city geolocation_state=state",
+    "customers": "customer_id=customer_id customer_unique_id=person customer_zip_code_prefix=zip customer_city=city customer_state=state",
+    "sellers": "seller_id=seller_id seller_zip_code_prefix=zip seller_city=city seller_state=state",
+    "products": "product_id=product_id product_category_name=category " + " ".join(f"{c}={x}" for c, x in PRODUCT.items()),
+    "category_translation": "product_category_name=pt product_category_name_english=en",
+    "orders": "order_id=order_id customer_id=customer_id order_status=status " + " ".join(f"{c}={x}" for c, x in STAMPS.items()),
+    "order_items": "order_id=order_id order_item_id=item product_id=product_id seller_id=seller_id shipping_limit_date=limit_date price=price freight_value=freight",
+    "order_payments": "order_id=order_id payment_sequential=seq payment_type=kind payment_installments=inst payment_value=val",
+    "order_reviews": "review_id=review_id order_id=order_id review_score=score review_comment_title=title review_comment_message=message review_creation_date=created review_answer_timestamp=answered",
+    "dim_geolocation": "geo_key=geo_key zip_code_prefix=zip lat=lat lng=lng city=city state=state",
+    "dim_customers": "customer_key=customer_key customer_id=customer_id customer_unique_id=person geo_key=geo_key city=city state=state",
+    "dim_sellers": "seller_key=seller_key seller_id=seller_id geo_key=geo_key city=city state=state",
+    "dim_products": "product_key=product_key product_id=product_id category_name_pt=pt category_name_en=en weight_g=weight length_cm=length height_cm=height width_cm=width photos_qty=photos",
+    "dim_dates": "date_key=d full_date=d year=d quarter=d month=d day=d day_of_week=d day_name=d is_weekend=d",
+    "fact_orders": "fact_key=order_id order_id=order_id order_item_id=item date_key=dkey customer_key=customer_key seller_key=seller_key product_key=product_key"
+    " customer_geo_key=cgeo seller_geo_key=sgeo order_status=status price=price freight_value=freight order_payment_total=paid payment_type=kind"
+    " review_score=score delivery_days=days estimated_days=est delivery_delta_days=days",
+}
+
+
+def pairs(name: str) -> list[list[str]]:
+    return [c.split("=") for c in COLS[name].split()]
+
+
+LINEAGE = []
+for t, names in SOURCES.items():
+    here, there = [c for c, _ in pairs(t)], [c for n in names for c, _ in pairs(n)]
+    for n in names:
+        for c, x in pairs(n):
+            LINEAGE.append(f"SELECT '{t}' AS target, '{n}' AS source, '{c}' AS \"column\", '{'kept' if c in here else 'lost'}' AS fate, COUNT({x}) AS non_null FROM {RAW[n][0]}")
+    for c, x in pairs(t):
+        if c not in there:
+            LINEAGE.append(f"SELECT '{t}' AS target, '{t}' AS source, '{c}' AS \"column\", 'gained' AS fate, COUNT({x}) AS non_null FROM {STAR[t][0]}")
+add("l5_lineage", "s target, s source, s column, s fate, b non_null", union(LINEAGE))
 add(
     "l6_months",
     "s year_month, b raw_orders, b raw_without_items, b warehouse_orders, b residual",

@@ -59,8 +59,8 @@ def group_quantiles(
         "value-counts",
     )
     sizes = counts.groupBy(*by).agg(F.sum("n").alias("rows"), F.count(F.lit(1)).alias("distinct"))
-    largest = sizes.agg(F.max("distinct")).first()[0] or 0
-    if largest <= small_group:
+    small = counts.count() <= small_group or (sizes.agg(F.max("distinct")).first()[0] or 0) <= small_group
+    if small:
         upto = W.partitionBy(*by).orderBy("value").rowsBetween(W.unboundedPreceding, W.currentRow)
         running = counts.withColumn("upto", F.sum("n").over(upto)).join(sizes.drop("distinct"), by)
     else:

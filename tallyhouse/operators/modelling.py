@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, Observation, Window as W, functions as F
 from tallyhouse.functions.columns import date_key, days_between, money_sum
 from tallyhouse.operators.groups import latest_per_group
 from tallyhouse.operators.ranking import Ranking, asc, rank_all
+from tallyhouse.operators.staging import stage
 from tallyhouse.schemas import ORDER_TIMESTAMPS, STAR
 
 DIMENSION_ORDER = ("dim_dates", "dim_geolocation", "dim_customers", "dim_sellers", "dim_products")
@@ -184,7 +185,11 @@ def build_dimensions(clean: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
 
 
 def build_star(clean: Mapping[str, DataFrame], unresolved: Observation | None = None) -> dict[str, DataFrame]:
-    """All six tables; the fact gets its ``fact_key`` when it is written."""
+    """All six tables; the fact gets its ``fact_key`` when it is written.
+
+    The orders feed both the calendar and the fact, so their deduplication runs once.
+    """
+    clean = {**clean, "orders": stage(clean["orders"], "orders")}
     star = build_dimensions(clean)
     star["fact_orders"] = build_fact_orders(
         clean["order_items"],

@@ -25,6 +25,7 @@ from pyspark.sql import Column, DataFrame, Window as W, functions as F, types as
 from tallyhouse.operators.staging import stage
 
 SMALL_ROWS = 500_000
+BUCKET_ROWS = 5_000_000
 _ROW_BITS = 33  # layout of monotonically_increasing_id: partition in the upper 31 bits
 
 
@@ -85,12 +86,12 @@ def rank_all(
     rows = bound if isinstance(bound, int) else bound.count()
     if rows <= small_rows:
         return _plain(df, want)
-    return _bucketed(df, want, buckets or _bucket_count(df))
+    return _bucketed(df, want, buckets or _bucket_count(df, rows))
 
 
-def _bucket_count(df: DataFrame) -> int:
-    conf = df.sparkSession.conf
-    return max(int(conf.get("spark.sql.shuffle.partitions")), 2)
+def _bucket_count(df: DataFrame, rows: int) -> int:
+    """At least the shuffle width, more where buckets would grow beyond what one task sorts well."""
+    return max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), rows // BUCKET_ROWS, 2)
 
 
 # ---- checked small input ------------------------------------------------------

@@ -101,17 +101,25 @@ def required_values(tables: Tables) -> DataFrame:
 
 
 def referential(tables: Tables) -> DataFrame:
-    """Non-null foreign keys without a parent row. Distinct child keys first: a hot key is one row."""
-    parts = []
+    """Rows whose non-null foreign key has no parent row.
+
+    All keys of a child table are taken in one scan as (relation, key) pairs and counted per
+    pair before the join, so a hot key meets its parent as one row.
+    """
+    by_child: dict[str, list[Column]] = {}
+    parents, relations = [], []
     for child, fk, parent, pk in FOREIGN:
-        keys = tables[child].filter(F.col(fk).isNotNull()).groupBy(F.col(fk).alias(pk)).agg(F.count(F.lit(1)).alias("n"))
-        lost = keys.join(tables[parent].select(pk), pk, "left_anti")
-        parts.append(
-            lost.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n_violations")).select(
-                F.lit(f"{child}.{fk} -> {parent}").alias("check"), "n_violations"
-            )
-        )
-    return stack(parts)
+        relation = f"{child}.{fk} -> {parent}"
+        relations.append((relation,))
+        pair = F.struct(F.lit(relation).alias("check"), F.lit(parent).alias("parent"), F.col(fk).cast("bigint").alias("key"))
+        by_child.setdefault(child, []).append(pair)
+        parents.append(tables[parent].select(F.lit(parent).alias("parent"), F.col(pk).cast("bigint").alias("key")))
+    pairs = stack([tables[child].select(F.inline(F.array(*cells))) for child, cells in by_child.items()])
+    keys = pairs.filter("key is not null").groupBy("check", "parent", "key").agg(F.count(F.lit(1)).alias("n"))
+    known = stack(parents).distinct()
+    lost = keys.join(known, ["parent", "key"], "left_anti").groupBy("check").agg(F.sum("n").alias("n"))
+    checks = pairs.sparkSession.createDataFrame(relations, "check string")
+    return checks.join(lost, "check", "left").select("check", F.coalesce("n", F.lit(0)).alias("n_violations"))
 
 
 def date_dimension(tables: Tables) -> DataFrame:

@@ -119,18 +119,26 @@ def totals(raw: Tables, star: Tables) -> DataFrame:
 
 
 def lineage(raw: Tables, star: Tables) -> DataFrame:
-    """Source and target columns per table, from the schemas of the given tables."""
+    """Columns kept, lost and gained per table, with the non-null values found behind each."""
     parts = []
     for target, sources in SOURCES.items():
-        spark = star[target].sparkSession
-        there = {c for s in sources for c in raw[s].columns}
-        here = set(star[target].columns)
-        rows = [(target, c, "kept" if c in here else "lost") for c in sorted(there)]
-        rows += [(target, c, "gained") for c in sorted(here - there)]
-        parts.append(spark.createDataFrame(rows, "target string, column string, fate string"))
+        here = star[target].columns
+        there = dict.fromkeys(c for s in sources for c in raw[s].columns)
+        for s in sources:
+            fates = {c: "kept" if c in here else "lost" for c in raw[s].columns}
+            parts.append(_value_counts(raw[s], target, s, fates))
+        gained = {c: "gained" for c in here if c not in there}
+        parts.append(_value_counts(star[target], target, target, gained))
     return stack(parts)
 
 
+def _value_counts(df: DataFrame, target: str, source: str, fates: Mapping[str, str]) -> DataFrame:
+    """One pass over the table, one output row per column."""
+    counts = df.agg(*[F.count(c).alias(c) for c in fates])
+    cells = [F.struct(F.lit(c).alias("column"), F.lit(f).alias("fate"), F.col(c).alias("non_null")) for c, f in fates.items()]
+    return counts.select(F.lit(target).alias("target"), F.lit(source).alias("source"), F.inline(F.array(*cells)))
+
+
 def months(raw: Tables, star: Tables) -> DataFrame:
     """Per month: raw orders, those without items, warehouse orders, and what is left over."""
     bought = F.col("order_purchase_timestamp").try_cast("timestamp_ntz")
