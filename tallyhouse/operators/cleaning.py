@@ -3,7 +3,10 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
+from multiprocessing import TimeoutError
+from multiprocessing.pool import ThreadPool
 
+from py4j.protocol import Py4JError
 from pyspark.sql import Column, DataFrame, Observation, functions as F, types as T
 
 from tallyhouse.functions.columns import at_least, clamp, pad_zip, strip, title_case
@@ -32,8 +35,23 @@ class CleaningLog:
         return df.observe(seen, counter.alias("n"))
 
     def counts(self) -> dict[str, int]:
-        """Call after an action; blocks until the watched jobs have run."""
-        return {label: seen.get["n"] for label, seen in self._seen.items()}
+        """Call after an action. Labels whose rows no job has read are left out."""
+        found = {label: observed(seen) for label, seen in self._seen.items()}
+        return {label: row["n"] for label, row in found.items() if row is not None}
+
+
+def observed(seen: Observation, patience: float = 5.0) -> dict | None:
+    """Metrics of an observation, or None where no job reached it.
+
+    The optimizer drops the observed branch of a join with an empty side: ``get`` then fails, or
+    waits for ever if the table was not read at all. Finished jobs report through a queue,
+    hence the patience.
+    """
+    done = ThreadPool(1).apply_async(lambda: seen.get)
+    try:
+        return done.get(patience)
+    except (TimeoutError, Py4JError):
+        return None
 
 
 # ---- building blocks ------------------------------------------------------------

@@ -72,7 +72,10 @@ def rfm_raw(star: Star, as_of: date | None = None) -> DataFrame:
 
 
 def rfm_scored(star: Star, as_of: date | None = None, **how) -> DataFrame:
-    """Three quintiles, 5 is best, and the segment. The rules are tested in this order."""
+    """Three quintiles, 5 is best, and the segment.
+
+    Fixed values: segment names and their rules, tested in this order.
+    """
     scored, bound, person = rfm_raw(star, as_of), star["dim_customers"].count(), asc("customer_unique_id")
     for score, key in (("r_score", desc("recency")), ("f_score", asc("frequency")), ("m_score", asc("monetary"))):
         scored = rank_all(scored, Ranking(order=[key, person], ntiles={score: 5}), bound=bound, **how)

@@ -249,9 +249,9 @@ def value_counts(df: DataFrame, column: str, k: int | None = None) -> DataFrame:
 
 
 def value_shares(df: DataFrame, column: str) -> DataFrame:
-    """Counts with their percentage, for columns of a small domain."""
+    """Counts with their percentage of all non-null rows."""
     counts = df.filter(F.col(column).isNotNull()).groupBy(F.col(column).alias("value")).agg(_rows().alias("n"))
-    share = F.round(ratio(F.col("n") * 100, F.sum("n").over(W.partitionBy())), 2)
+    share = F.round(ratio(F.col("n") * 100, counts.agg(F.sum("n")).scalar()), 2)
     return counts.withColumn("pct", share).orderBy(F.desc("n"), "value")
 
 

@@ -255,7 +255,8 @@ def items_with_status_mean(star: Star, limit: int | None = None) -> DataFrame:
     Cleaning admits a fixed list of statuses, so the averages always fit a broadcast.
     """
     fact = star["fact_orders"]
-    means = fact.groupBy("order_status").agg(mean_money("price").alias("avg_status_value"))
+    mean = ratio(money_total("price"), F.count("price"))
+    means = fact.groupBy("order_status").agg(mean.alias("avg_status_value"))
     items = fact.select("order_id", "order_item_id", "order_status", "price")
     if limit is not None:
         items = items.orderBy("order_id", "order_item_id", "price").limit(limit)
@@ -270,7 +271,7 @@ def first_delivered_rows(star: Star, limit: int = 10) -> DataFrame:
 
 def status_revenue(star: Star, status: str = DELIVERED) -> DataFrame:
     chosen = star["fact_orders"].filter(F.col("order_status") == status)
-    return chosen.groupBy("order_status").agg(money_sum("price").alias("revenue"))
+    return chosen.groupBy("order_status").agg(money_total("price").alias("revenue"))
 
 
 def rows_with_month_total(star: Star) -> DataFrame:
@@ -291,7 +292,7 @@ def score_band(score: Column) -> Column:
 def items_per_score_band(star: Star) -> DataFrame:
     """Review scores on a 0-100 scale, items and revenue per band."""
     banded = star["fact_orders"].withColumn("segment", score_band(F.col("review_score") * 20))
-    return banded.groupBy("segment").agg(F.count(F.lit(1)).alias("nb_items"), money_sum("price").alias("revenue"))
+    return banded.groupBy("segment").agg(F.count(F.lit(1)).alias("nb_items"), money_total("price").alias("revenue"))
 
 
 def rows_between_days(star: Star, first_key: int, last_key: int | None = None) -> DataFrame:

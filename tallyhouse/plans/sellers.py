@@ -27,6 +27,7 @@ def pareto_sellers(star: Star, limit: int = 100) -> DataFrame:
 
     Every seller above a row of the top-k is in the top-k itself, so ranks and running sums
     of these rows need only the top-k plus two totals, not a sort of all sellers.
+    Fixed values: the 80 percent limit and the two class names.
     """
     sellers = seller_revenue(star)
     totals = sellers.agg(F.struct(F.sum("total_revenue").alias("revenue"), F.count(F.lit(1)).alias("n"))).scalar()

@@ -8,7 +8,7 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 
-from tallyhouse.operators.cleaning import CleaningLog, clean_all
+from tallyhouse.operators.cleaning import CleaningLog, clean_all, observed
 from tallyhouse.operators.modelling import build_star
 from tallyhouse.sinks.snapshot import publish, published_at
 from tallyhouse.sources.raw import load_all_raw, needs_refresh
@@ -48,7 +48,7 @@ def build_and_publish(spark: SparkSession, raw: Mapping[str, DataFrame], root: s
         star = build_star(clean, unresolved)
     with phase("load"):
         snapshot = publish(spark, star, root)
-    return Report(snapshot, log.counts(), unresolved.get)
+    return Report(snapshot, log.counts(), observed(unresolved) or {})
 
 
 def run(spark: SparkSession, folder: str, root: str, files: Mapping[str, str] | None = None) -> Report:

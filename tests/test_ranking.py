@@ -78,3 +78,9 @@ def test_mode_ties_and_nulls(spark):
 def test_latest_puts_null_dates_last(spark):
     df = spark.createDataFrame([("o", None, 1), ("o", "2018-01-01", 2), ("p", None, 3)], "k string, d string, s int")
     assert rows(latest_per_group(df, ["k"], ["d"], ["s"])) == [("o", 2), ("p", 3)]
+
+
+def test_no_rows(spark):
+    empty = spark.createDataFrame([], "id int, v decimal(10,2)")
+    want = Ranking(order=[asc("id")], row_number="rn", rank="rk", ntiles={"t": 5}, running={"cum": "v"})
+    assert rows(rank_all(empty, want, small_rows=-1, buckets=3)) == []

@@ -5,6 +5,7 @@ from conftest import ROWS, rows
 from pyspark.sql import functions as F
 
 from tallyhouse import refresh
+from tallyhouse.operators import staging
 from tallyhouse.plans import views
 from tallyhouse.schemas import RAW, STAR
 from tallyhouse.sinks import snapshot
@@ -136,3 +137,36 @@ def test_views_and_parameters(spark, published, tmp_path):
     (tmp_path / "q.sql").write_text("select count(*) as n from v_orders_enriched where order_status = :s")
     text, df = views.query_from_file(spark, str(tmp_path / "q.sql"), {"s": "shipped"})
     assert "count" in text and df.first().n == 1
+
+
+def test_job_with_empty_side_tables_does_not_hang(spark, raw, tmp_path):
+    empty = {n: raw[n].filter("1 = 0") for n in ("order_payments", "order_reviews", "category_translation")}
+    report = refresh.build_and_publish(spark, {**raw, **empty}, str(tmp_path))
+    assert report.cleaning["orders in"] == 2
+    fact = snapshot.read_star(spark, str(tmp_path))["fact_orders"]
+    assert {(r.order_payment_total, r.payment_type, r.review_score) for r in fact.collect()} == {(None, None, None)}
+
+
+class FakeSession:
+    """Only what the staging folder asks of a session."""
+
+    class conf:
+        @staticmethod
+        def get(key, default):
+            return default
+
+    class sparkContext:
+        applicationId = "fake"
+        master = "spark://cluster:7077"
+
+
+def test_cluster_without_shared_folder_is_an_error():
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        staging.shared_dir(FakeSession)
+
+
+def test_staged_tables_live_in_the_shared_folder(spark):
+    path = staging.staging_path(spark, "x")
+    assert path.startswith(staging.shared_dir(spark))
+    staged = staging.stage(spark.range(10).filter("id > 3"))
+    assert staged.count() == 6 and "Range" not in staged._jdf.queryExecution().executedPlan().toString()
