@@ -376,6 +376,8 @@ def bins(x: str, source: str, n: int) -> str:
 
 
 add("r5_price_histogram", "b bin, b n", bins("price", "raw_items", 50))
+add("r5_freight_histogram", "b bin, b n", bins("freight", "raw_items", 50))
+add("r5_rows_per_zip_clipped", "b bin, b n", bins("LEAST(n, 50)", "(SELECT COUNT(*) AS n FROM raw_geo GROUP BY zip)", 50))
 add("r5_payment_histogram_clipped", "b bin, b n", bins("LEAST(val, 1000)", "raw_pays", 50))
 ZIPS = "(SELECT zip, COUNT(*) AS n FROM raw_geo GROUP BY zip)"
 add("r6_rows_per_zip", "b zips, d mean, d median, b max", f"SELECT COUNT(*) AS zips, {div('SUM(n)', 'COUNT(*)')} AS mean, median(n) AS median, MAX(n) AS max FROM {ZIPS}")
@@ -539,8 +541,14 @@ add(
 )
 add(
     "l2_coordinate_histogram",
-    "s side, b bin, b n",
-    union([f"SELECT '{side}' AS side, * FROM ({bins('lat', f'(SELECT lat FROM {r} WHERE lat BETWEEN -35 AND 6)', 80)})" for side, r in (("raw", "raw_geo"), ("warehouse", "dim_geo"))]),
+    "s side, s coordinate, b bin, b n",
+    union(
+        [
+            f"SELECT '{side}' AS side, '{c}' AS coordinate, * FROM ({bins(c, f'(SELECT {c} FROM {r} WHERE {c} BETWEEN {lo} AND {hi})', 80)})"
+            for side, r in (("raw", "raw_geo"), ("warehouse", "dim_geo"))
+            for c, lo, hi in (("lat", -35, 6), ("lng", -75, -34))
+        ]
+    ),
 )
 VALUES = {
     "payment": "SELECT val AS v FROM raw_pays",
@@ -557,6 +565,11 @@ add(
         ]
     ),
 )
+add(
+    "l3_payment_histograms",
+    "s grain, b bin, b n",
+    union([f"SELECT '{g}' AS grain, * FROM ({bins('v', f'(SELECT v FROM ({q}) WHERE v <= 200000)', 50)})" for g, q in VALUES.items()]),
+)
 TOTALS = {
     "payments": ("(SELECT SUM(val) FROM raw_pays)", "(SELECT SUM(v) FROM (SELECT MAX(paid) AS v FROM wfact GROUP BY order_id))"),
     "price": ("(SELECT SUM(price) FROM raw_items)", "(SELECT SUM(price) FROM wfact)"),

@@ -434,6 +434,8 @@ on_raw("r4_orphans", profiling.orphans)
 on_raw("r5_child_histogram", profiling.child_histogram, child="order_items")
 on_raw("r5_child_histogram_clipped", profiling.child_histogram, child="order_reviews", clip=10)
 on_raw("r5_price_histogram", lambda raw: profiling.histogram(raw["order_items"], "price"))
+on_raw("r5_freight_histogram", lambda raw: profiling.histogram(raw["order_items"], "freight_value"))
+on_raw("r5_rows_per_zip_clipped", lambda raw: profiling.histogram(profiling.zip_sizes(raw), "n", clip=50))
 on_raw("r5_payment_histogram_clipped", lambda raw: profiling.histogram(raw["order_payments"], "payment_value", clip=1000))
 on_raw("r6_rows_per_zip", profiling.rows_per_zip)
 on_raw("r6_coordinate_spread", profiling.coordinate_spread)
@@ -469,6 +471,7 @@ on_both("l1_volumes", reconciliation.volumes)
 on_both("l2_coordinate_outliers", reconciliation.coordinate_outliers)
 on_both("l2_coordinate_histogram", reconciliation.coordinate_histogram)
 on_both("l3_payment_distributions", lambda raw, star: reconciliation.payment_distributions(raw, star, upper=200_000))
+on_both("l3_payment_histograms", lambda raw, star: reconciliation.payment_histograms(raw, star, upper=200_000))
 on_both("l4_totals", reconciliation.totals)
 on_both("l5_lineage", reconciliation.lineage)
 on_both("l6_months", reconciliation.months)

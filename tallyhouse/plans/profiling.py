@@ -177,10 +177,13 @@ def histogram(df: DataFrame, column: str, bins: int = 50, clip: float | None = N
 # ---- geography ---------------------------------------------------------------------------
 
 
+def zip_sizes(raw: Raw) -> DataFrame:
+    return raw["geolocation"].groupBy("geolocation_zip_code_prefix").agg(_rows().alias("n"))
+
+
 def rows_per_zip(raw: Raw) -> DataFrame:
     """Rows per zip prefix: zips, mean, median, max."""
-    sizes = raw["geolocation"].groupBy("geolocation_zip_code_prefix").agg(_rows().alias("n"))
-    return _size_stats(sizes).select(F.col("parents").alias("zips"), "mean", "median", "max")
+    return _size_stats(zip_sizes(raw)).select(F.col("parents").alias("zips"), "mean", "median", "max")
 
 
 def coordinate_spread(raw: Raw) -> DataFrame:

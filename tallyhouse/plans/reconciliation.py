@@ -65,36 +65,45 @@ def coordinate_outliers(raw: Tables, star: Tables) -> DataFrame:
 
 
 def coordinate_histogram(raw: Tables, star: Tables, bins: int = 80) -> DataFrame:
-    """Density per bin of the in-bounds latitudes, raw against deduplicated."""
+    """Rows per bin of the in-bounds coordinates, raw against deduplicated."""
     parts = []
-    for side, df, c in (("raw", raw["geolocation"], "geolocation_lat"), ("warehouse", star["dim_geolocation"], "lat")):
-        counts = histogram(df.filter(F.col(c).between(*LAT_BOUNDS)), c, bins)
-        parts.append(_label(counts, "side", side))
+    for c, bounds in (("lat", LAT_BOUNDS), ("lng", LNG_BOUNDS)):
+        for side, df, column in (("raw", raw["geolocation"], f"geolocation_{c}"), ("warehouse", star["dim_geolocation"], c)):
+            counts = histogram(df.filter(F.col(column).between(*bounds)), column, bins)
+            parts.append(_label(_label(counts, "coordinate", c), "side", side))
     return stack(parts)
 
 
-def payment_distributions(raw: Tables, star: Tables, upper: float = 500) -> DataFrame:
-    """Rows, total and share above ``upper``: per payment, per raw order, per warehouse order."""
-    limit = F.lit(str(upper)).cast("decimal(18,2)")
-    value = F.col("value")
+def _payment_grains(raw: Tables, star: Tables) -> dict[str, DataFrame]:
+    """Amounts as ``value`` per payment, per raw order and per warehouse order."""
     per_payment = raw["order_payments"].select(money("payment_value").alias("value"))
     per_order = raw["order_payments"].groupBy("order_id").agg(money_sum("payment_value").alias("value"))
-    in_fact = (
-        star["fact_orders"]
-        .groupBy("order_id")
-        .agg(money(F.max("order_payment_total")).alias("value"))
-    )
+    in_fact = star["fact_orders"].groupBy("order_id").agg(money(F.max("order_payment_total")).alias("value"))
+    grains = {"payment": per_payment, "raw order": per_order, "warehouse order": in_fact}
+    return {name: df.select("value").filter("value is not null") for name, df in grains.items()}
+
+
+def payment_distributions(raw: Tables, star: Tables, upper: float = 500) -> DataFrame:
+    """Rows, total and share above ``upper`` per grain."""
+    limit = F.lit(str(upper)).cast("decimal(18,2)")
     parts = []
-    for name, df in (("payment", per_payment), ("raw order", per_order), ("warehouse order", in_fact)):
-        one = df.filter("value is not null").agg(
+    for name, df in _payment_grains(raw, star).items():
+        one = df.agg(
             _n().alias("rows"),
-            F.sum(value).alias("total"),
-            ratio(F.count_if(value > limit) * 100, _n()).alias("above_pct"),
+            F.sum("value").cast("decimal(38,2)").alias("total"),
+            ratio(F.count_if(F.col("value") > limit) * 100, _n()).alias("above_pct"),
         )
-        parts.append(_label(one.select("rows", F.col("total").cast("decimal(38,2)"), "above_pct"), "grain", name))
+        parts.append(_label(one, "grain", name))
     return stack(parts)
 
 
+def payment_histograms(raw: Tables, star: Tables, upper: float = 500, bins: int = 50) -> DataFrame:
+    """Amounts up to ``upper`` in equal bins per grain."""
+    limit = F.lit(str(upper)).cast("decimal(18,2)")
+    grains = _payment_grains(raw, star).items()
+    return stack([_label(histogram(df.filter(F.col("value") <= limit), "value", bins), "grain", name) for name, df in grains])
+
+
 def totals(raw: Tables, star: Tables) -> DataFrame:
     """Payments (once per order), price and freight: raw, warehouse, absolute and relative gap."""
     once = (
