@@ -58,9 +58,9 @@ def run(spark: SparkSession, folder: str, root: str, files: Mapping[str, str] |
 
 
 def run_if_stale(
-    spark: SparkSession, folder: str, root: str, files: Mapping[str, str] | None = None
+    spark: SparkSession, folder: str, root: str, files: Mapping[str, str] | None = None, force: bool = False
 ) -> Report | None:
-    """Rebuild only when a source is newer than the snapshot."""
+    """Rebuild only when forced or when a source is newer than the snapshot."""
     with phase("extract"):
-        stale = needs_refresh(spark, folder, published_at(spark, root), files)
+        stale = force or needs_refresh(spark, folder, published_at(spark, root), files)
     return run(spark, folder, root, files) if stale else None

@@ -51,19 +51,39 @@ def read_tables(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
     return {name: spark.read.schema(STAR[name]).parquet(f"{folder}/{name}") for name in TABLES}
 
 
-def publish(spark: SparkSession, star: Mapping[str, DataFrame], root: str) -> str:
-    """Write, check, switch. Returns the snapshot id."""
+def publish(spark: SparkSession, star: Mapping[str, DataFrame], root: str, keep: int = 2) -> str:
+    """Write, check, switch. Returns the snapshot id.
+
+    A failed attempt is removed. The last ``keep`` snapshots stay, for readers that still hold one.
+    """
     snapshot = f"{datetime.now(timezone.utc):%Y%m%dT%H%M%S%f}-{uuid.uuid4().hex[:8]}"
     folder = f"{root}/snapshots/{snapshot}"
-    write_tables(star, folder)
-    written = read_tables(spark, folder)
-    broken = constraint_violations(written).filter("n_violations > 0").collect()  # one row per rule
-    if broken:
-        raise PublishError("; ".join(f"{r['check']}: {r['n_violations']}" for r in broken))
+    try:
+        write_tables(star, folder)
+        broken = constraint_violations(read_tables(spark, folder)).filter("n_violations > 0").collect()  # one row per rule
+        if broken:
+            raise PublishError("; ".join(f"{r['check']}: {r['n_violations']}" for r in broken))
+    except Exception:
+        _remove(spark, folder)
+        raise
     _switch(spark, root, snapshot)
+    for old in snapshots(spark, root)[:-keep]:
+        if old != snapshot:
+            _remove(spark, f"{root}/snapshots/{old}")
     return snapshot
 
 
+def snapshots(spark: SparkSession, root: str) -> list[str]:
+    """Ids below the root, oldest first."""
+    folder, fs = _hadoop(spark, f"{root}/snapshots")
+    return sorted(s.getPath().getName() for s in fs.listStatus(folder)) if fs.exists(folder) else []
+
+
+def _remove(spark: SparkSession, folder: str) -> None:
+    path, fs = _hadoop(spark, folder)
+    fs.delete(path, True)
+
+
 def _switch(spark: SparkSession, root: str, snapshot: str) -> None:
     jvm = spark._jvm
     temp, fs = _hadoop(spark, f"{root}/.{POINTER}-{snapshot}")
@@ -116,3 +136,10 @@ def inventory(tables: Mapping[str, DataFrame]) -> DataFrame:
             )
         )
     return stack(parts).withColumn("ok", F.col("expected") & F.col("present") & (F.col("rows") > 0))
+
+
+def require_complete(tables: Mapping[str, DataFrame]) -> None:
+    """Raise unless exactly the expected tables are there and none is empty."""
+    wrong = [r["table"] for r in inventory(tables).filter(~F.col("ok")).collect()]  # one row per table
+    if wrong:
+        raise PublishError(f"missing, unexpected or empty tables: {', '.join(wrong)}")

@@ -53,9 +53,16 @@ def test_failed_check_leaves_the_old_snapshot(spark, built, tmp_path):
         with pytest.raises(snapshot.PublishError):
             snapshot.publish(spark, {**built, **broken}, root)
         assert snapshot.current_snapshot(spark, root) == good
+        assert snapshot.snapshots(spark, root) == [good]
     assert snapshot.read_star(spark, root)["fact_orders"].count() == 3
 
 
+def test_old_snapshots_expire(spark, built, tmp_path):
+    root = str(tmp_path)
+    ids = [snapshot.publish(spark, built, root) for _ in range(3)]
+    assert snapshot.snapshots(spark, root) == ids[1:]
+
+
 def test_nothing_published(spark, tmp_path):
     assert snapshot.current_snapshot(spark, str(tmp_path)) is None
     with pytest.raises(snapshot.PublishError):
@@ -72,6 +79,9 @@ def test_inventory_reports_missing_extra_and_empty(spark, published):
     assert got["dim_sellers"] == (True, True, 0, False)
     assert got["extra"] == (False, True, 2, False)
     assert got["fact_orders"] == (True, True, 3, True)
+    with pytest.raises(snapshot.PublishError, match="dim_dates, dim_sellers, extra"):
+        snapshot.require_complete(star)
+    snapshot.require_complete(published["star"])
 
 
 def test_csv_reader_keeps_leading_zeros_and_line_breaks(spark, tmp_path):
@@ -112,6 +122,7 @@ def test_whole_job_then_fresh(spark, folder, tmp_path_factory):
     assert report.unresolved == {"customer_key": 0, "seller_key": 0, "product_key": 0}
     assert report.cleaning["orders in"] == 2 and report.cleaning["payment_type rejected"] == 0
     assert refresh.run_if_stale(spark, folder, root) is None
+    assert refresh.run_if_stale(spark, folder, root, force=True) is not None
     assert not sources.needs_refresh(spark, folder, datetime.datetime(2200, 1, 1))
     assert sources.needs_refresh(spark, folder, datetime.datetime(1990, 1, 1))
 
