@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallyhouse.llm import tokens
+from tallyhouse.llm import mixing, packing, quality, tokens
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -33,3 +33,18 @@ def register(name: str) -> Callable[[Query], Query]:
 @register("op8_token_counts")
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.count_tokens(read(spark, sf_dir, "documents"), vocabulary())
+
+
+@register("op4_best_fit_packing")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(read(spark, sf_dir, "documents"), vocabulary())
+
+
+@register("op10_mixing")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(read(spark, sf_dir, "documents"))
+
+
+@register("op1_quality_rules")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.quality_rules(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))

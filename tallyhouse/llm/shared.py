@@ -6,9 +6,11 @@ executor costs recomputed tasks and never a lost table.
 
 from __future__ import annotations
 
+import os
 import re
 import tempfile
 import uuid
+import zipfile
 from collections.abc import Iterator
 
 import numpy as np
@@ -44,6 +46,26 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+_shipped: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Give the executors this package, once per application; the driver's import path may not be theirs."""
+    app = spark.sparkContext.applicationId
+    if app in _shipped:
+        return
+    package = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    held = os.path.join(tempfile.mkdtemp(prefix="tallyhouse-code-"), "tallyhouse_code.zip")
+    with zipfile.ZipFile(held, "w") as out:
+        for folder, _, names in os.walk(package):
+            for name in names:
+                if name.endswith(".py"):
+                    full = os.path.join(folder, name)
+                    out.write(full, os.path.relpath(full, os.path.dirname(package)))
+    spark.sparkContext.addPyFile(held)
+    _shipped.add(app)
+
+
 def fold(doc_id: Column, parts: int) -> Column:
     """crc32 of the id as text, modulo ``parts``; a null id counts as the empty text."""
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit(""))) % parts

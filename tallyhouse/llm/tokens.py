@@ -21,7 +21,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, functions as F
 
-from tallyhouse.llm.shared import column
+from tallyhouse.llm.shared import column, ship
 
 #: The split pattern of byte-level BPE with its default regex.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
@@ -103,6 +103,7 @@ def count_tokens(docs: DataFrame, path: str, limit: int = 512, id_col: str = "do
     columns are ignored, an empty table gives an empty result. Whole texts are counted; a special
     string inside a text is one token, as the library has it by default.
     """
+    ship(docs.sparkSession)
     whole = docs.sparkSession.sparkContext.broadcast(prove_whole_tokens(path))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
