@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallyhouse.llm import mixing, packing, quality, tokens
+from tallyhouse.llm import mixing, neardup, packing, quality, tokens
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -48,3 +48,8 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("op1_quality_rules")
 def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_rules(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
+@register("op5_minhash_near_dedup")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.classes(read(spark, sf_dir, "documents"))

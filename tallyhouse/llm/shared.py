@@ -15,6 +15,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 SETTING = "spark.checkpoint.dir"
@@ -86,7 +87,7 @@ def free_name(df: DataFrame, wish: str) -> str:
 
 def runs(texts: pa.Array, limit: int = 2_000_000) -> Iterator[tuple[int, int]]:
     """Row ranges of at most ``limit`` bytes of text each; a longer text is a range of its own."""
-    sizes = np.asarray(pa.compute.fill_null(pa.compute.binary_length(texts), 0), dtype=np.int64)
+    sizes = np.asarray(pc.fill_null(pc.binary_length(texts), 0), dtype=np.int64)
     ends = np.cumsum(sizes)
     lo = 0
     while lo < len(sizes):
@@ -99,7 +100,7 @@ def runs(texts: pa.Array, limit: int = 2_000_000) -> Iterator[tuple[int, int]]:
 def utf8(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Bytes of all texts behind one another, and where each begins (one more entry for the end); null is empty."""
     if texts.null_count:
-        texts = pa.compute.fill_null(texts, "")
+        texts = pc.fill_null(texts, "")
     if pa.types.is_large_string(texts.type):
         kind = np.int64
     else:

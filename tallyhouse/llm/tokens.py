@@ -18,6 +18,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame, functions as F
 
@@ -112,7 +113,7 @@ def count_tokens(docs: DataFrame, path: str, limit: int = 512, id_col: str = "do
         cut = regex.compile("|".join(map(regex.escape, special))) if special else None
         for batch in batches:
             texts = batch.column(1)
-            sizes = pa.compute.fill_null(pa.compute.binary_length(texts), 0).cast(pa.int64())
+            sizes = pc.fill_null(pc.binary_length(texts), 0).cast(pa.int64())
             out = np.zeros(len(texts), np.int64)
             for i, value in enumerate(texts):
                 text = value.as_py()
