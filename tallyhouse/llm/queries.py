@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallyhouse.llm import mixing, neardup, packing, quality, tokens
+from tallyhouse.llm import language, mixing, neardup, packing, quality, tokens
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -53,3 +53,8 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("op5_minhash_near_dedup")
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.classes(read(spark, sf_dir, "documents"))
+
+
+@register("op6_language_id")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.identify(read(spark, sf_dir, "documents"))
