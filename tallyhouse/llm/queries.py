@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallyhouse.llm import language, mixing, neardup, packing, quality, tokens
+from tallyhouse.llm import language, lm, mixing, neardup, packing, quality, tokens
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -58,3 +58,8 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("op6_language_id")
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.identify(read(spark, sf_dir, "documents"))
+
+
+@register("op9_lm_scoring")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm.score(read(spark, sf_dir, "documents"))
