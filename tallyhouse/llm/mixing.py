@@ -83,6 +83,7 @@ def prefix_cut(rows: DataFrame, budgets: DataFrame, nearest: bool) -> DataFrame:
     coarse = fine.groupBy("key", "coarse").agg(F.sum("n").alias("n"))
     over = lambda keys, by: F.sum("n").over(Window.partitionBy(*keys).orderBy(by)) - F.col("n")
     coarse = coarse.select("key", "coarse", over(["key"], "coarse").alias("before_coarse")).join(budgets, "key")
+    coarse = coarse.repartition("key", "coarse")  # else the fine sums would be dealt by source alone
     fine = fine.select("key", "coarse", "fine", over(["key", "coarse"], "fine").alias("before_fine")).join(coarse, ["key", "coarse"])
     fine = fine.select("key", "fine", "budget", (F.col("before_coarse") + F.col("before_fine")).alias("earlier"))
     order = Window.partitionBy("key", "fine").orderBy(F.log("draw") / F.col("weight") * -1, "id", "size")
