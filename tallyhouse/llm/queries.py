@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallyhouse.llm import language, lm, mixing, neardup, packing, quality, tokens
+from tallyhouse.llm import embeddings, language, lm, mixing, neardup, packing, quality, tokens
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -63,3 +63,8 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("op9_lm_scoring")
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm.score(read(spark, sf_dir, "documents"))
+
+
+@register("op7_embedding_near_dedup")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embeddings.near_duplicates(read(spark, sf_dir, "embeddings"))
