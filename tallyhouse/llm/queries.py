@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallyhouse.llm import embeddings, language, lm, mixing, neardup, packing, quality, tokens
+from tallyhouse.llm import embeddings, language, lm, mixing, neardup, packing, quality, tokens, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -68,3 +68,8 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("op7_embedding_near_dedup")
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embeddings.near_duplicates(read(spark, sf_dir, "embeddings"))
+
+
+@register("op2_toxicity")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.score(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
