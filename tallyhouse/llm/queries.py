@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallyhouse.llm import embeddings, language, lm, mixing, neardup, packing, quality, tokens, toxicity
+from tallyhouse.llm import embeddings, extraction, language, lm, mixing, neardup, packing, quality, tokens, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -73,3 +73,8 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("op2_toxicity")
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
+@register("op3_html_extraction")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extraction.extract(read(spark, sf_dir, "pages"))
