@@ -318,13 +318,17 @@ def quantile(x: str, source: str, p: float) -> str:
         WHERE i IN (floor({at}) + 1, ceil({at}) + 1))"""
 
 
+def digits(x: str) -> str:
+    """Ten significant digits."""
+    return f"CAST(printf('%.9e', {x}) AS DOUBLE)"
+
+
 def describe(columns: dict[str, str], source: str) -> str:
     parts = []
     for c, x in columns.items():
-        e = f"CAST({x} AS DECIMAL(18,6))"
-        var = f"(CAST(SUM({e} * {e}) AS DOUBLE) - CAST(SUM({e}) AS DOUBLE) * CAST(SUM({e}) AS DOUBLE) / COUNT({x})) / (COUNT({x}) - 1)"
+        d = f"CAST({x} AS DOUBLE)"
         parts.append(
-            f"""SELECT '{c}' AS "column", COUNT({x}) AS count, {rnd(div(f'SUM({e})', f'COUNT({x})'), 6)} AS mean, {rnd(f'sqrt({var})', 6)} AS std,
+            f"""SELECT '{c}' AS "column", COUNT({x}) AS count, {digits(f'avg({d})')} AS mean, {digits(f'stddev_samp({d})')} AS std,
             MIN({x}) AS min, {quantile(x, source, 0.25)} AS p25, {quantile(x, source, 0.5)} AS p50, {quantile(x, source, 0.75)} AS p75, MAX({x}) AS max FROM {source}"""
         )
     return union(parts)
@@ -384,10 +388,7 @@ add("r6_rows_per_zip", "b zips, d mean, d median, b max", f"SELECT COUNT(*) AS z
 
 
 def std(x: str) -> str:
-    e = f"CAST({x} AS DECIMAL(18,6))"
-    return rnd(
-        f"sqrt(GREATEST(CAST(SUM({e} * {e}) AS DOUBLE) - CAST(SUM({e}) AS DOUBLE) * CAST(SUM({e}) AS DOUBLE) / COUNT({x}), 0) / NULLIF(COUNT({x}) - 1, 0))", 6
-    )
+    return rnd(f"stddev_samp(CAST({x} AS DOUBLE))", 6)
 
 
 SPREAD = f"(SELECT {std('lat')} AS lat_std, {std('lng')} AS lng_std FROM raw_geo GROUP BY zip HAVING COUNT(*) > 1)"

@@ -9,10 +9,9 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window as W, functions as F
+from pyspark.sql import DataFrame, functions as F
 
-from tallyhouse.operators.ranking import SMALL_ROWS, Ranking, asc, rank_all
-from tallyhouse.operators.staging import stage
+from tallyhouse.operators.ranking import Ranking, asc, rank_all
 
 
 def melt(df: DataFrame, keys: Sequence[str], columns: Sequence[str], kind: str) -> DataFrame:
@@ -38,50 +37,33 @@ def group_modes(
     return spread(best, keys, columns, "value")
 
 
-def group_quantiles(
-    df: DataFrame,
-    keys: Sequence[str],
-    columns: Sequence[str],
-    probabilities: Sequence[float],
-    small_group: int = SMALL_ROWS,
-) -> DataFrame:
+def group_quantiles(df: DataFrame, keys: Sequence[str], columns: Sequence[str], probabilities: Sequence[float], buckets: int | None = None) -> DataFrame:
     """Exact quantiles with linear interpolation: rows (keys, column, p, value), nulls skipped.
 
-    ``small_group`` bounds the distinct values of a group that one task sorts. If any group
-    has more, all groups go through the range-partitioned ranking.
+    Values are counted first, then the counts are cumulated in the order of (group, value) by the
+    range-partitioned ranking, so no task sorts a group. Each distinct value meets only the few
+    places that a quantile reads.
     """
     by = [*keys, "column"]
-    counts = stage(
+    counts = (
         melt(df, keys, columns, "double")
         .filter(F.col("value").isNotNull())
         .groupBy(*by, "value")
-        .agg(F.count(F.lit(1)).alias("n")),
-        "value-counts",
+        .agg(F.count(F.lit(1)).alias("n"))
     )
-    sizes = counts.groupBy(*by).agg(F.sum("n").alias("rows"), F.count(F.lit(1)).alias("distinct"))
-    small = counts.count() <= small_group or (sizes.agg(F.max("distinct")).first()[0] or 0) <= small_group
-    if small:
-        upto = W.partitionBy(*by).orderBy("value").rowsBetween(W.unboundedPreceding, W.currentRow)
-        running = counts.withColumn("upto", F.sum("n").over(upto)).join(sizes.drop("distinct"), by)
-    else:
-        ranked = rank_all(counts, Ranking(order=[asc(c) for c in [*by, "value"]], running={"seen": "n"}), small_rows=0)
-        starts = ranked.groupBy(*by).agg(F.min(F.col("seen") - F.col("n")).alias("base"), F.sum("n").alias("rows"))
-        running = ranked.join(starts, by).withColumn("upto", F.col("seen") - F.col("base"))
-    wanted = running.withColumn("p", F.explode(F.array(*[F.lit(float(p)) for p in probabilities])))
+    ranked = rank_all(counts, Ranking(order=[asc(c) for c in [*by, "value"]], running={"seen": "n"}), buckets)
+    groups = ranked.groupBy(*by).agg(F.min(F.col("seen") - F.col("n")).alias("base"), F.sum("n").alias("rows"))
+    wanted = groups.withColumn("p", F.explode(F.array(*[F.lit(float(p)) for p in probabilities])))
     at = (F.col("rows") - 1) * F.col("p")
-    low, high = F.floor(at) + 1, F.ceil(at) + 1
-    first = F.col("upto") - F.col("n") + 1
-    covers_low = (first <= low) & (low <= F.col("upto"))
-    covers_high = (first <= high) & (high <= F.col("upto"))
-    ends = (
-        wanted.filter(covers_low | covers_high)
-        .groupBy(*by, "p", "rows")
-        .agg(
-            F.max(F.when(covers_low, F.col("value"))).alias("lo"),
-            F.max(F.when(covers_high, F.col("value"))).alias("hi"),
-        )
-    )
-    return ends.select(*by, "p", (F.col("lo") + (F.col("hi") - F.col("lo")) * (at - F.floor(at))).alias("value"))
+    places = F.array_distinct(F.array(F.floor(at) + 1, F.ceil(at) + 1))
+    wanted = wanted.select(*[F.col(k).alias(f"_{k}") for k in by], "p", at.alias("at"), F.col("base"), F.explode(places).alias("place"))
+    same = F.lit(True)
+    for k in by:
+        same = same & F.col(k).eqNullSafe(F.col(f"_{k}"))
+    place = F.col("base") + F.col("place")
+    found = ranked.join(wanted, same & (place > F.col("seen") - F.col("n")) & (place <= F.col("seen")))
+    ends = found.groupBy(*by, "p", "at").agg(F.min("value").alias("lo"), F.max("value").alias("hi"))
+    return ends.select(*by, "p", (F.col("lo") + (F.col("hi") - F.col("lo")) * (F.col("at") - F.floor("at"))).alias("value"))
 
 
 def group_medians(df: DataFrame, keys: Sequence[str], columns: Sequence[str], **how) -> DataFrame:

@@ -15,9 +15,9 @@ from tallyhouse.schemas import ORDER_TIMESTAMPS, STAR
 DIMENSION_ORDER = ("dim_dates", "dim_geolocation", "dim_customers", "dim_sellers", "dim_products")
 
 
-def surrogate_key(df: DataFrame, name: str, natural_key: str, **how) -> DataFrame:
+def surrogate_key(df: DataFrame, name: str, natural_key: str) -> DataFrame:
     """Dense key from 1 in the order of the natural key, so a rebuild gives the same keys."""
-    keyed = rank_all(df, Ranking(order=[asc(natural_key)], row_number=name), **how)
+    keyed = rank_all(df, Ranking(order=[asc(natural_key)], row_number=name))
     return keyed.select(name, *df.columns)
 
 

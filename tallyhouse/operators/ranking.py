@@ -1,31 +1,28 @@
-"""Rankings over a whole table without pulling it into one task.
+"""Rankings over a whole table without pulling it, or a hot group of it, into one task.
 
 A window without PARTITION BY sends every row to a single partition, and a window over a
-hot group does the same to that group. ``rank_all`` keeps the plain window while the row
-count is checked to be small. Beyond that it
+hot group does the same to that group. ``rank_all`` has one way for every size:
 
-1. range-partitions and sorts the rows once, freezing (bucket, row in bucket) by writing
-   the result, so that every later pass sees the same buckets;
-2. reads one row of statistics per bucket (the number of buckets is fixed up front) and
-   turns them into offsets;
-3. adds the broadcast offsets to the positions inside the bucket.
+1. range-partition and sort the rows once by the whole key and write them with their
+   (bucket, row in bucket), so that every later pass sees the same buckets;
+2. take one row of statistics per bucket and cumulate these rows, as many as there are
+   shuffle partitions, into offsets;
+3. add the offsets to the positions inside the bucket.
 
 The sort must be total: end ``order`` with an entity id. Range partitioning compares the
-whole key, so a run of equal leading values spreads over as many buckets as it needs.
+whole key, so a run of equal leading values spreads over as many buckets as it needs. Keys
+compare as Spark compares them: nulls and NaN equal themselves.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
-from decimal import Decimal
 
-from pyspark.sql import Column, DataFrame, Window as W, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from tallyhouse.operators.staging import stage
 
-SMALL_ROWS = 500_000
-BUCKET_ROWS = 5_000_000
 _ROW_BITS = 33  # layout of monotonically_increasing_id: partition in the upper 31 bits
 
 
@@ -41,6 +38,10 @@ class Key:
         c = F.col(self.name)
         return c.desc_nulls_last() if self.descending else c.asc_nulls_first()
 
+    @property
+    def backwards(self) -> Column:
+        return Key(self.name, not self.descending).order
+
 
 def asc(name: str) -> Key:
     return Key(name)
@@ -55,7 +56,8 @@ class Ranking:
     """What to compute, as output column names.
 
     ``ties`` is how many leading keys of ``order`` decide equality for ranks; the id that makes
-    the sort total is left out. Row numbers and ranks restart at each value of ``within``.
+    the sort total is left out. Row numbers and ranks restart at each value of ``within``;
+    ntiles, percent ranks and running sums are over the whole table only.
     """
 
     order: Sequence[Key]
@@ -65,66 +67,20 @@ class Ranking:
     rank: str | None = None
     percent_rank: str | None = None
     ntiles: Mapping[str, int] = field(default_factory=dict)
-    running: Mapping[str, str] = field(default_factory=dict)  # output -> decimal or bigint column
-
-
-def rank_all(
-    df: DataFrame,
-    want: Ranking,
-    bound: DataFrame | int | None = None,
-    small_rows: int = SMALL_ROWS,
-    buckets: int | None = None,
-) -> DataFrame:
-    """Add the columns of ``want`` to ``df``.
-
-    ``bound`` is an upper limit of its rows, or a cheap relation with at least as many, usually
-    the dimension it was grouped by; without one, ``df`` is written once and counted from its
-    footers.
-    """
-    if bound is None:
-        df = bound = stage(df, "rank-input")
-    rows = bound if isinstance(bound, int) else bound.count()
-    if rows <= small_rows:
-        return _plain(df, want)
-    return _bucketed(df, want, buckets or _bucket_count(df, rows))
-
-
-def _bucket_count(df: DataFrame, rows: int) -> int:
-    """At least the shuffle width, more where buckets would grow beyond what one task sorts well."""
-    return max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), rows // BUCKET_ROWS, 2)
-
-
-# ---- checked small input ------------------------------------------------------
-
-
-def _plain(df: DataFrame, want: Ranking) -> DataFrame:
-    order = [k.order for k in want.order]
-    group = W.partitionBy(*want.within)
-    total_order = group.orderBy(*order)
-    tie_order = group.orderBy(*order[: want.ties])
-    cols: dict[str, Column] = {}
-    if want.row_number:
-        cols[want.row_number] = F.row_number().over(total_order).cast("bigint")
-    if want.rank:
-        cols[want.rank] = F.rank().over(tie_order).cast("bigint")
-    if want.percent_rank:
-        cols[want.percent_rank] = F.percent_rank().over(tie_order)
-    for name, k in want.ntiles.items():
-        cols[name] = F.ntile(k).over(total_order).cast("bigint")
-    frame = total_order.rowsBetween(W.unboundedPreceding, W.currentRow)
-    for name, source in want.running.items():
-        cols[name] = F.sum(source).over(frame)
-    return df.withColumns(cols)
+    running: Mapping[str, str] = field(default_factory=dict)  # output -> decimal or integral column
 
+    def __post_init__(self) -> None:
+        if self.within and (self.ntiles or self.percent_rank or self.running):
+            raise ValueError("ntile, percent_rank and running sums are whole-table only")
 
-# ---- any size -----------------------------------------------------------------
 
+def rank_all(df: DataFrame, want: Ranking, buckets: int | None = None) -> DataFrame:
+    """Add the columns of ``want`` to ``df``, with the values and types of a plain window.
 
-def _bucketed(df: DataFrame, want: Ranking, buckets: int) -> DataFrame:
-    if want.within and (want.ntiles or want.percent_rank or want.running):
-        raise ValueError("ntile, percent_rank and running sums are whole-table only")
-    group_keys = [asc(c) for c in want.within]
-    keys = [*group_keys, *want.order]
+    ``buckets`` is the number of range partitions, by default that of shuffles.
+    """
+    buckets = buckets or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    keys = [*[asc(c) for c in want.within], *want.order]
     order = [k.order for k in keys]
     frozen = stage(
         df.repartitionByRange(buckets, *order)
@@ -135,22 +91,19 @@ def _bucketed(df: DataFrame, want: Ranking, buckets: int) -> DataFrame:
         .drop("_id"),
         "ranked",
     )
-    runs = {}
+    runs: dict[str, int] = {}
     if want.within:
-        runs["_group_start"] = len(group_keys)
+        runs["group"] = len(want.within)
     if want.rank or want.percent_rank:
-        runs["_tie_start"] = len(group_keys) + want.ties
-    offsets, total = _offsets(frozen, keys, runs, list(want.running.values()))
-    out = frozen.join(F.broadcast(offsets), "_bucket")
+        runs["tie"] = len(want.within) + want.ties
+    out = frozen.join(F.broadcast(_offsets(frozen, keys, runs, list(want.running.values()))), "_bucket")
+
+    # Where the run of each row began: in its bucket, or where the run that reaches into it did.
     row = F.col("_before") + F.col("_row")
-    cols: dict[str, Column] = {}
-    for name, width in runs.items():
+    for run, width in runs.items():
         in_bucket = F.rank().over(W.partitionBy("_bucket").orderBy(*order[:width]))
-        first_run = in_bucket == 1
-        cols[name] = F.when(first_run, F.coalesce(F.col(f"{name}_carried"), F.col("_before") + 1)).otherwise(
-            F.col("_before") + in_bucket
-        )
-    out = out.withColumns(cols) if cols else out
+        carried = F.coalesce(F.col(f"_{run}_carried"), F.col("_before") + 1)
+        out = out.withColumn(f"_{run}_start", F.when(in_bucket == 1, carried).otherwise(F.col("_before") + in_bucket))
     base = F.col("_group_start") - 1 if want.within else F.lit(0)
     answer: dict[str, Column] = {}
     if want.row_number:
@@ -158,90 +111,59 @@ def _bucketed(df: DataFrame, want: Ranking, buckets: int) -> DataFrame:
     if want.rank:
         answer[want.rank] = (F.col("_tie_start") - base).cast("bigint")
     if want.percent_rank:
-        answer[want.percent_rank] = (F.col("_tie_start") - 1) / F.lit(max(total - 1, 1)).cast("double")
+        answer[want.percent_rank] = (F.col("_tie_start") - 1) / F.greatest(F.col("_total") - 1, F.lit(1)).cast("double")
     for name, k in want.ntiles.items():
-        answer[name] = _ntile(row, total, k)
+        answer[name] = _ntile(row, F.col("_total"), k)
     frame = W.partitionBy("_bucket").orderBy("_row").rowsBetween(W.unboundedPreceding, W.currentRow)
     for name, source in want.running.items():
-        answer[name] = F.sum(source).over(frame) + F.col(f"_sum_{source}")
+        kind = df.select(F.sum(source).alias("s")).schema["s"].dataType
+        here, earlier = F.sum(source).over(frame), F.col(f"_sum_{source}")
+        answer[name] = F.coalesce(here + earlier, here, earlier).cast(kind)
     return out.withColumns(answer).select(*df.columns, *answer)
 
 
-def _ntile(row: Column, total: int, k: int) -> Column:
+def _ntile(row: Column, total: Column, k: int) -> Column:
     """The first ``total % k`` tiles hold one row more than the others."""
-    size, larger = divmod(total, k)
-    if size == 0:
-        return row.cast("bigint")
+    size, larger = F.floor(total / k), total % k
     edge = larger * (size + 1)
-    return (
-        F.when(row <= edge, F.ceil(row / (size + 1)))
-        .otherwise(larger + F.ceil((row - edge) / size))
-        .cast("bigint")
-    )
+    later = larger + F.ceil((row - edge) / F.greatest(size, F.lit(1)))
+    return F.when(row <= edge, F.ceil(row / (size + 1))).otherwise(later).cast("bigint")
 
 
-def _offsets(
-    frozen: DataFrame, keys: Sequence[Key], runs: Mapping[str, int], sums: Sequence[str]
-) -> tuple[DataFrame, int]:
-    """One row per bucket: rows and sums before it, and where a run that reaches into it began."""
+def _offsets(frozen: DataFrame, keys: Sequence[Key], runs: Mapping[str, int], sums: Sequence[str]) -> DataFrame:
+    """One row per bucket: rows and sums before it, all rows, and where a run that reaches into it began.
+
+    The windows below see one row per bucket, a number fixed before the data is read.
+    """
     names = [k.name for k in keys]
     edge = F.struct(*names)
     per_bucket = frozen.groupBy("_bucket").agg(
         F.count(F.lit(1)).alias("n"),
         F.min_by(edge, "_row").alias("first"),
         F.max_by(edge, "_row").alias("last"),
-        *[F.sum(c).alias(f"sum_{c}") for c in sums],
+        *[F.sum(c).alias(f"sum_{c}") for c in dict.fromkeys(sums)],
     )
-    stats = sorted(per_bucket.collect(), key=lambda r: r["_bucket"])  # one row per bucket
-    tails = {run: _tail_sizes(frozen, stats, names[:width]) for run, width in runs.items()}
-
-    spark = frozen.sparkSession
-    before, totals = 0, {c: None for c in sums}
-    rows, previous = [], None
-    starts: dict[str, int] = {}
-    for s in stats:
-        row = {"_bucket": s["_bucket"], "_before": before}
-        for c in sums:
-            row[f"_sum_{c}"] = totals[c] if totals[c] is not None else _zero(frozen.schema[c].dataType)
-            totals[c] = s[f"sum_{c}"] if totals[c] is None else totals[c] + (s[f"sum_{c}"] or 0)
-        for run, width in runs.items():
-            head = tuple(s["first"])[:width]
-            tail = tuple(s["last"])[:width]
-            continues = previous is not None and tuple(previous["last"])[:width] == head
-            carried = starts[run] if continues else None
-            row[f"{run}_carried"] = carried
-            if head == tail:
-                starts[run] = carried if continues else before + 1
-            else:
-                starts[run] = before + s["n"] - tails[run][s["_bucket"]] + 1
-        rows.append(row)
-        before += s["n"]
-        previous = s
-    schema = T.StructType([T.StructField("_bucket", T.IntegerType()), T.StructField("_before", T.LongType())])
-    for c in sums:
-        wide = frozen.schema[c].dataType
-        if isinstance(wide, T.DecimalType):
-            wide = T.DecimalType(38, wide.scale)
-        schema.add(f"_sum_{c}", wide)
-    for run in runs:
-        schema.add(f"{run}_carried", T.LongType())
-    data = [tuple(r[f.name] for f in schema) for r in rows]
-    return spark.createDataFrame(data, schema), before
-
-
-def _zero(kind: T.DataType):
-    return Decimal(0) if isinstance(kind, T.DecimalType) else 0
-
-
-def _tail_sizes(frozen: DataFrame, stats, names: Sequence[str]) -> dict[int, int]:
-    """Rows of the last run in each bucket, counted without moving them."""
-    spark = frozen.sparkSession
-    schema = T.StructType([T.StructField("_bucket", T.IntegerType())])
-    for n in names:
-        schema.add(f"_last_{n}", frozen.schema[n].dataType)
-    lasts = spark.createDataFrame([(s["_bucket"], *[s["last"][n] for n in names]) for s in stats], schema)
-    same = F.lit(True)
-    for n in names:
-        same = same & F.col(n).eqNullSafe(F.col(f"_last_{n}"))
-    counted = frozen.join(F.broadcast(lasts), "_bucket").filter(same).groupBy("_bucket").count()
-    return {r["_bucket"]: r["count"] for r in counted.collect()}
+    for run, width in runs.items():  # rows of the last run of each bucket
+        newest = F.rank().over(W.partitionBy("_bucket").orderBy(*[k.backwards for k in keys[:width]]))
+        tail = frozen.withColumn("_newest", newest).filter("_newest = 1").groupBy("_bucket").agg(F.count(F.lit(1)).alias(f"{run}_tail"))
+        per_bucket = per_bucket.join(tail, "_bucket")
+    by = W.orderBy("_bucket")
+    past = by.rowsBetween(W.unboundedPreceding, -1)
+    out = per_bucket.withColumn("_before", F.coalesce(F.sum("n").over(past), F.lit(0)))
+    out = out.withColumn("_total", F.sum("n").over(W.partitionBy()))
+    columns = ["_bucket", "_before", "_total"]
+    for run, width in runs.items():
+        head = F.struct(*[F.col(f"first.{n}") for n in names[:width]])
+        end = F.struct(*[F.col(f"last.{n}") for n in names[:width]])
+        out = out.withColumn("_head", head).withColumn("_end", end)
+        goes_on = F.coalesce(F.lag("_end").over(by).eqNullSafe(F.col("_head")) & (F.row_number().over(by) > 1), F.lit(False))
+        out = out.withColumn("_on", goes_on)
+        own = F.when(~(F.col("_on") & F.col("_head").eqNullSafe(F.col("_end"))), F.col("_before") + F.col("n") - F.col(f"{run}_tail") + 1)
+        out = out.withColumn("_own", own)
+        carried = F.when(F.col("_on"), F.last("_own", ignorenulls=True).over(past))
+        out = out.withColumn(f"_{run}_carried", carried).drop("_head", "_end", "_on", "_own")
+        columns.append(f"_{run}_carried")
+    for c in dict.fromkeys(sums):
+        out = out.withColumn(f"_sum_{c}", F.sum(f"sum_{c}").over(past))
+        columns.append(f"_sum_{c}")
+    return out.select(*columns)

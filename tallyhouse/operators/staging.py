@@ -6,26 +6,30 @@ optimizer and answers ``count()`` from its footers.
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 SETTING = "spark.checkpoint.dir"
-_local_dirs: dict[str, str] = {}
+#: Masters whose only executor is the driver itself.
+_ONE_PROCESS = re.compile(r"local(\[[^,\]]*(,[^,\]]*)?\])?")
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """Folder named by ``spark.checkpoint.dir``; local sessions without one get a temporary folder."""
-    configured = spark.conf.get(SETTING, None)
-    if configured:
-        return configured.rstrip("/")
-    app = spark.sparkContext.applicationId
-    if not spark.sparkContext.master.startswith("local"):
+    """The folder that ``spark.checkpoint.dir`` or the context names.
+
+    Only where neither is set and the driver is the one executor, as in a test, is a folder made
+    and named for the rest of the application.
+    """
+    named = spark.conf.get(SETTING, None) or spark.sparkContext.getCheckpointDir()
+    if named:
+        return named.rstrip("/")
+    if not _ONE_PROCESS.fullmatch(spark.sparkContext.master):
         raise RuntimeError(f"set {SETTING} to a folder that every executor can reach")
-    if app not in _local_dirs:
-        _local_dirs[app] = tempfile.mkdtemp(prefix="tallyhouse-")
-    return _local_dirs[app]
+    spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="tallyhouse-"))
+    return spark.sparkContext.getCheckpointDir().rstrip("/")
 
 
 def staging_path(spark: SparkSession, name: str) -> str:

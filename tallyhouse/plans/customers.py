@@ -71,14 +71,14 @@ def rfm_raw(star: Star, as_of: date | None = None) -> DataFrame:
     )
 
 
-def rfm_scored(star: Star, as_of: date | None = None, **how) -> DataFrame:
+def rfm_scored(star: Star, as_of: date | None = None) -> DataFrame:
     """Three quintiles, 5 is best, and the segment.
 
     Fixed values: segment names and their rules, tested in this order.
     """
-    scored, bound, person = rfm_raw(star, as_of), star["dim_customers"].count(), asc("customer_unique_id")
+    scored, person = rfm_raw(star, as_of), asc("customer_unique_id")
     for score, key in (("r_score", desc("recency")), ("f_score", asc("frequency")), ("m_score", asc("monetary"))):
-        scored = rank_all(scored, Ranking(order=[key, person], ntiles={score: 5}), bound=bound, **how)
+        scored = rank_all(scored, Ranking(order=[key, person], ntiles={score: 5}))
     r, f = F.col("r_score"), F.col("f_score")
     segment = (
         F.when((r >= 4) & (f >= 4), "Champions")
@@ -91,9 +91,9 @@ def rfm_scored(star: Star, as_of: date | None = None, **how) -> DataFrame:
     return scored.withColumn("segment", segment)
 
 
-def rfm_segmentation(star: Star, as_of: date | None = None, **how) -> DataFrame:
+def rfm_segmentation(star: Star, as_of: date | None = None) -> DataFrame:
     return (
-        rfm_scored(star, as_of, **how)
+        rfm_scored(star, as_of)
         .groupBy("segment")
         .agg(
             F.count(F.lit(1)).alias("nb_customers"),
@@ -104,7 +104,7 @@ def rfm_segmentation(star: Star, as_of: date | None = None, **how) -> DataFrame:
     )
 
 
-def customer_quintiles(star: Star, **how) -> DataFrame:
+def customer_quintiles(star: Star) -> DataFrame:
     """Spend per person and its fifth, biggest spenders in 1."""
     per_key = delivered(star).groupBy("customer_key").agg(money_sum("price").alias("spent"))
     totals = (
@@ -113,7 +113,7 @@ def customer_quintiles(star: Star, **how) -> DataFrame:
         .agg(F.sum("spent").alias("total_spent"))
     )
     want = Ranking(order=[desc("total_spent"), asc("customer_id")], ntiles={"quintile": 5})
-    ranked = rank_all(totals, want, bound=star["dim_customers"], **how)
+    ranked = rank_all(totals, want)
     return ranked.orderBy(F.desc("total_spent"), "customer_id")
 
 
@@ -268,18 +268,18 @@ def extreme_customers(star: Star, above: float = 1000, below: float = 100) -> Da
 def next_purchase(star: Star) -> DataFrame:
     """Each item with the date of its customer's next row in date order.
 
-    A customer has at most one row per calendar day in the window. Inside a day every item but
-    the last is followed by another of the same day.
+    Rows are numbered inside (customer, day): all but the last are followed by another of the same
+    day, the last by the customer's next day. A customer has at most one row per calendar day in
+    the window that finds it, and the day table meets the items on the partitioning that numbered them.
     """
-    tie = F.struct("order_id", "order_item_id", "product_key", "seller_key", "price", "delivery_days")
-    items = star["fact_orders"].filter("customer_key is not null and date_key is not null").select(
-        "customer_key", "date_key", "order_id", "order_item_id", tie.alias("tie")
+    items = star["fact_orders"].filter("customer_key is not null and date_key is not null")
+    day = W.partitionBy("customer_key", "date_key").orderBy(
+        *[F.desc(c) for c in ("order_id", "order_item_id", "product_key", "seller_key", "price", "delivery_days")]
     )
-    days = items.groupBy("customer_key", "date_key").agg(F.max("tie").alias("last_tie"))
-    upcoming = F.lead("date_key").over(W.partitionBy("customer_key").orderBy("date_key"))
-    days = days.withColumn("next_day", upcoming)
-    is_last = F.col("tie") == F.col("last_tie")
-    following = F.when(is_last, F.col("next_day")).otherwise(F.col("date_key"))
+    items = items.withColumn("_from_end", F.row_number().over(day))
+    days = star["fact_orders"].filter("customer_key is not null and date_key is not null").select("customer_key", "date_key").distinct()
+    days = days.withColumn("next_day", F.lead("date_key").over(W.partitionBy("customer_key").orderBy("date_key")))
+    following = F.when(F.col("_from_end") == 1, F.col("next_day")).otherwise(F.col("date_key"))
     return items.join(days, ["customer_key", "date_key"]).select(
         "customer_key", "order_id", "order_item_id", "date_key", following.alias("next_date_key")
     )

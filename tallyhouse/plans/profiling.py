@@ -35,14 +35,6 @@ def _name(df: DataFrame, column: str, value: str) -> DataFrame:
     return df.select(F.lit(value).alias(column), *df.columns)
 
 
-def exact_std(c: str, scale: int = 6) -> Column:
-    """Sample standard deviation over exact sums, the same whatever order tasks finish in."""
-    x = F.col(c).cast(f"decimal(18,{scale})")
-    n, total, squares = F.count(c), F.sum(x).cast("double"), F.sum(x * x).cast("double")
-    spread = F.when(n > 1, F.greatest(squares - total * total / n, F.lit(0.0)))
-    return F.sqrt(F.try_divide(spread, (n - 1).cast("double")))
-
-
 # ---- shape and columns -----------------------------------------------------------------
 
 
@@ -81,14 +73,21 @@ def column_profile(df: DataFrame) -> DataFrame:
     return per_column.select("column", kind.alias("dtype"), "non_null", "n_unique", missing.alias("missing_pct"))
 
 
-def describe(df: DataFrame, columns: Sequence[str], scale: int = 6) -> DataFrame:
-    """Per numeric column: count, mean, sample deviation, min, quartiles, max (exact)."""
+def significant(x: Column, digits: int = 10) -> Column:
+    """``x`` to so many significant digits, so that the order in which tasks finish does not show."""
+    return F.format_string(f"%.{digits - 1}e", x).cast("double")
+
+
+def describe(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Per numeric column: count, mean, sample deviation, min, quartiles, max.
+
+    Mean and deviation are of any magnitude, to ten significant digits; the rest is exact.
+    """
     long = melt(df, [], columns, "double")
-    x = F.col("value").cast(f"decimal(18,{scale})")
     stats = long.groupBy("column").agg(
         F.count("value").alias("count"),
-        F.round(ratio(F.sum(x), F.count("value")), 6).alias("mean"),
-        F.round(exact_std("value", scale), 6).alias("std"),
+        significant(F.avg("value")).alias("mean"),
+        significant(F.stddev_samp("value")).alias("std"),
         F.min("value").alias("min"),
         F.max("value").alias("max"),
     )
@@ -189,8 +188,8 @@ def rows_per_zip(raw: Raw) -> DataFrame:
 def coordinate_spread(raw: Raw) -> DataFrame:
     """Description of the per-zip deviations of latitude and longitude, zips with several rows only."""
     per_zip = raw["geolocation"].groupBy("geolocation_zip_code_prefix").agg(
-        F.round(exact_std("geolocation_lat"), 6).alias("lat_std"),
-        F.round(exact_std("geolocation_lng"), 6).alias("lng_std"),
+        F.round(F.stddev_samp("geolocation_lat"), 6).alias("lat_std"),
+        F.round(F.stddev_samp("geolocation_lng"), 6).alias("lng_std"),
     )
     return describe(per_zip.dropna(subset=["lat_std", "lng_std"]), ["lat_std", "lng_std"])
 

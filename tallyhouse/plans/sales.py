@@ -214,13 +214,12 @@ def top_products_share(star: Star, limit: int = 10) -> DataFrame:
 # ---- course -----------------------------------------------------------------------
 
 
-def rank_in_category(star: Star, small_rows: int | None = None) -> DataFrame:
+def rank_in_category(star: Star) -> DataFrame:
     """All products ranked by revenue inside their category, equal revenue sharing a rank."""
     want = Ranking(
         order=[desc("revenue"), asc("product_id")], within=["category"], rank="rank_in_category"
     )
-    limits = {} if small_rows is None else {"small_rows": small_rows}
-    return rank_all(product_revenue(star), want, bound=star["dim_products"], **limits).select(
+    return rank_all(product_revenue(star), want).select(
         "category", "product_id", "revenue", "rank_in_category"
     )
 

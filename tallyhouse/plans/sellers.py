@@ -62,10 +62,10 @@ def pareto_sellers(star: Star, limit: int = 100) -> DataFrame:
     )
 
 
-def pareto_curve(star: Star, **how) -> DataFrame:
+def pareto_curve(star: Star) -> DataFrame:
     """Rank and cumulative share of every seller."""
     want = Ranking(order=BEST_FIRST, row_number="seller_rank", running={"cumulative_revenue": "total_revenue"})
-    ranked = rank_all(seller_revenue(star), want, bound=star["dim_sellers"], **how)
+    ranked = rank_all(seller_revenue(star), want)
     total = ranked.agg(F.sum("total_revenue")).scalar()
     return ranked.withColumn("cumulative_pct", F.round(ratio(F.col("cumulative_revenue") * 100, total), 2))
 
@@ -100,18 +100,17 @@ AXES = {
 }
 
 
-def scored_sellers(star: Star, **how) -> DataFrame:
+def scored_sellers(star: Star) -> DataFrame:
     """Quintile per axis, 5 is best. A seller without deliveries sorts last and so scores 5 on delay."""
     scored = seller_metrics(star)
-    bound = star["dim_sellers"].count()
     for score, key in AXES.items():
-        scored = rank_all(scored, Ranking(order=[key, asc("seller_id")], ntiles={score: 5}), bound=bound, **how)
+        scored = rank_all(scored, Ranking(order=[key, asc("seller_id")], ntiles={score: 5}))
     return scored.withColumn("total_score", sum((F.col(c) for c in AXES), F.lit(0)))
 
 
-def seller_scoring(star: Star, limit: int = 50, **how) -> DataFrame:
+def seller_scoring(star: Star, limit: int = 50) -> DataFrame:
     """Best sellers by total score. Ranks are taken inside the top-k, which holds all better sellers."""
-    best = scored_sellers(star, **how).orderBy(F.desc("total_score"), "seller_id").limit(limit)
+    best = scored_sellers(star).orderBy(F.desc("total_score"), "seller_id").limit(limit)
     by_score = W.orderBy(F.desc("total_score"))
     return best.select(
         "seller_id",
@@ -129,7 +128,7 @@ def seller_scoring(star: Star, limit: int = 50, **how) -> DataFrame:
     ).orderBy(F.desc("total_score"), "seller_id")
 
 
-def seller_total_scores(star: Star, **how) -> DataFrame:
+def seller_total_scores(star: Star) -> DataFrame:
     """Score of every seller over unrounded metrics, without location."""
     on_time = F.avg(F.when(F.col("delivery_delta_days") <= 0, 1.0).otherwise(0.0)) * 100
     scored = (
@@ -145,9 +144,8 @@ def seller_total_scores(star: Star, **how) -> DataFrame:
         .join(star["dim_sellers"].select("seller_key", "seller_id"), "seller_key")
         .drop("seller_key")
     )
-    bound = star["dim_sellers"].count()
     for score, key in AXES.items():
-        scored = rank_all(scored, Ranking(order=[key, asc("seller_id")], ntiles={score: 5}), bound=bound, **how)
+        scored = rank_all(scored, Ranking(order=[key, asc("seller_id")], ntiles={score: 5}))
     total = sum((F.col(c) for c in AXES), F.lit(0))
     return scored.select("seller_id", total.alias("total_score")).orderBy(F.desc("total_score"), "seller_id")
 
@@ -165,10 +163,10 @@ def top_sellers_per_state(star: Star, k: int = 3) -> DataFrame:
     )
 
 
-def revenue_share_by_quintile(star: Star, **how) -> DataFrame:
+def revenue_share_by_quintile(star: Star) -> DataFrame:
     """Share of revenue per fifth of the sellers, best fifth first."""
     want = Ranking(order=BEST_FIRST, ntiles={"quintile": 5})
-    tiles = rank_all(seller_revenue(star), want, bound=star["dim_sellers"], **how)
+    tiles = rank_all(seller_revenue(star), want)
     per_tile = tiles.groupBy("quintile").agg(F.sum("total_revenue").alias("segment_revenue"))
     everything = F.sum("segment_revenue").over(W.partitionBy())
     return per_tile.withColumn("pct_of_total", ratio(F.col("segment_revenue") * 100, everything)).orderBy("quintile")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import tempfile
+
 from pyspark.sql import SparkSession
 
 
@@ -20,7 +22,8 @@ def tune(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def local_session(cores: str = "8", app: str = "tallyhouse", memory: str = "16g") -> SparkSession:
+def local_session(cores: str = "8", app: str = "tallyhouse", memory: str = "16g", shared: str | None = None) -> SparkSession:
+    """``shared`` is the folder for staged tables; by default a new one below the system's temporary folder."""
     spark = (
         SparkSession.builder.master(f"local[{cores}]")
         .appName(app)
@@ -29,6 +32,7 @@ def local_session(cores: str = "8", app: str = "tallyhouse", memory: str = "16g"
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.shuffle.partitions", "8" if cores == "*" else cores)
         .config("spark.sql.session.timeZone", "UTC")
+        .config("spark.checkpoint.dir", shared or tempfile.mkdtemp(prefix="tallyhouse-"))
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")

@@ -1,7 +1,7 @@
 import random
 
 import pytest
-from pyspark.sql import functions as F
+from pyspark.sql import Window as W, functions as F
 
 from tallyhouse.operators.groups import group_medians, group_modes, group_quantiles, latest_per_group
 from tallyhouse.operators.ranking import Ranking, asc, desc, rank_all
@@ -22,43 +22,84 @@ def rows(df):
     return sorted(map(tuple, df.collect()), key=str)
 
 
+def plain(df, want):
+    """The same columns by windows that hold a whole group in one task."""
+    order = [k.order for k in want.order]
+    group = W.partitionBy(*want.within)
+    total, ties = group.orderBy(*order), group.orderBy(*order[: want.ties])
+    cols = {}
+    if want.row_number:
+        cols[want.row_number] = F.row_number().over(total).cast("bigint")
+    if want.rank:
+        cols[want.rank] = F.rank().over(ties).cast("bigint")
+    if want.percent_rank:
+        cols[want.percent_rank] = F.percent_rank().over(ties)
+    for name, k in want.ntiles.items():
+        cols[name] = F.ntile(k).over(total).cast("bigint")
+    for name, source in want.running.items():
+        cols[name] = F.sum(source).over(total.rowsBetween(W.unboundedPreceding, W.currentRow))
+    return df.withColumns(cols)
+
+
+def same(df, want, buckets):
+    got, expected = rank_all(df, want, buckets=buckets), plain(df, want)
+    assert [(f.name, f.dataType) for f in got.schema] == [(f.name, f.dataType) for f in expected.schema]
+    assert [repr(r) for r in rows(got)] == [repr(r) for r in rows(expected)]
+
+
+@pytest.mark.parametrize("buckets", [1, 2, 7])
 @pytest.mark.parametrize("first", [asc("v"), desc("v")])
-def test_bucketed_equals_plain_window(skewed, first):
+def test_equals_plain_window(skewed, first, buckets):
     want = Ranking(
         order=[first, asc("id")],
         row_number="rn",
         rank="rk",
         percent_rank="pr",
         ntiles={"five": 5, "seven": 7},
-        running={"cum": "amount"},
+        running={"cum": "amount", "ids": "id"},
     )
-    plain = rank_all(skewed, want, bound=skewed)
-    big = rank_all(skewed, want, small_rows=0, buckets=6)
-    assert rows(plain) == rows(big)
+    same(skewed, want, buckets)
 
 
-def test_bucketed_equals_plain_window_per_group(skewed):
-    want = Ranking(order=[desc("v"), asc("id")], within=["g"], row_number="rn", rank="rk")
-    assert rows(rank_all(skewed, want, bound=skewed)) == rows(rank_all(skewed, want, small_rows=0, buckets=6))
+@pytest.mark.parametrize("buckets", [1, 3, 6])
+def test_equals_plain_window_per_group(skewed, buckets):
+    same(skewed, Ranking(order=[desc("v"), asc("id")], within=["g"], row_number="rn", rank="rk"), buckets)
+
+
+@pytest.mark.parametrize("buckets", [1, 3, 6])
+def test_nan_null_and_zero_keys(spark, buckets):
+    values = [float("nan")] * 20 + [None] * 10 + [0.0, -0.0, 1.5, float("inf")] * 5
+    df = spark.createDataFrame(list(enumerate(values)), "id int, x double").repartition(4)
+    same(df, Ranking(order=[asc("x"), asc("id")], row_number="rn", rank="rk", percent_rank="pr"), buckets)
+    same(df, Ranking(order=[desc("x"), asc("id")], row_number="rn", rank="rk"), buckets)
+
+
+def test_sums_with_nulls(spark):
+    df = spark.createDataFrame([(i, None if i < 3 or i % 2 else i) for i in range(12)], "id int, v int").withColumn("v", F.col("v").cast("decimal(18,2)"))
+    same(df, Ranking(order=[asc("id")], running={"cum": "v"}), 4)
+
+
+def test_group_restarts_are_refused_for_whole_table_columns():
+    for extra in ({"ntiles": {"t": 5}}, {"percent_rank": "p"}, {"running": {"c": "v"}}):
+        with pytest.raises(ValueError):
+            Ranking(order=[asc("id")], within=["g"], **extra)
 
 
 def test_single_run_over_all_buckets(spark):
     df = spark.range(500).withColumn("same", F.lit(1))
-    got = rank_all(df, Ranking(order=[asc("same"), asc("id")], rank="rk", row_number="rn"), small_rows=0, buckets=4)
+    got = rank_all(df, Ranking(order=[asc("same"), asc("id")], rank="rk", row_number="rn"), buckets=4)
     assert {r.rk for r in got.collect()} == {1}
     assert sorted(r.rn for r in got.collect()) == list(range(1, 501))
 
 
 def test_fewer_rows_than_tiles(spark):
-    df = spark.range(3)
-    want = Ranking(order=[asc("id")], ntiles={"t": 5})
-    assert rows(rank_all(df, want, bound=df)) == rows(rank_all(df, want, small_rows=0, buckets=3))
+    same(spark.range(3), Ranking(order=[asc("id")], ntiles={"t": 5}), 3)
 
 
-def test_medians_match_builtin_on_both_paths(skewed):
+@pytest.mark.parametrize("buckets", [1, 6])
+def test_medians_match_builtin(skewed, buckets):
     expected = rows(skewed.groupBy("g").agg(F.median("id").alias("id"), F.median("v").alias("v")))
-    for limit in (10**6, 0):
-        assert rows(group_medians(skewed, ["g"], ["id", "v"], small_group=limit)) == expected
+    assert rows(group_medians(skewed, ["g"], ["id", "v"], buckets=buckets)) == expected
 
 
 def test_quantiles_interpolate(spark):
@@ -83,4 +124,4 @@ def test_latest_puts_null_dates_last(spark):
 def test_no_rows(spark):
     empty = spark.createDataFrame([], "id int, v decimal(10,2)")
     want = Ranking(order=[asc("id")], row_number="rn", rank="rk", ntiles={"t": 5}, running={"cum": "v"})
-    assert rows(rank_all(empty, want, small_rows=-1, buckets=3)) == []
+    assert rows(rank_all(empty, want, buckets=3)) == []

@@ -1,13 +1,13 @@
 """Reports on tiny facts with hand-computed answers, and the traps of their semantics."""
 
 import datetime
+import statistics
 
 import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
 from tallyhouse.plans import customers, indicators, integrity, payments, profiling, reconciliation, sales, sellers
-from tallyhouse.operators.ranking import SMALL_ROWS
 
 FACT = (
     "order_id string, order_item_id int, date_key int, customer_key bigint, seller_key bigint, product_key bigint, order_status string,"
@@ -103,13 +103,20 @@ def test_recency_against_the_newest_of_any_status(star):
     assert got == {"u1": 53, "u3": 0}
 
 
-@pytest.mark.parametrize("small", [SMALL_ROWS, 0])
-def test_quintiles_and_scores_on_both_ranking_paths(star, small):
-    assert rows(customers.customer_quintiles(star, small_rows=small)) == rows(customers.customer_quintiles(star))
-    assert rows(sellers.seller_scoring(star, small_rows=small)) == rows(sellers.seller_scoring(star))
-    assert rows(sellers.pareto_curve(star, small_rows=small)) == rows(sellers.pareto_curve(star))
-    assert rows(sales.rank_in_category(star, small_rows=small)) == rows(sales.rank_in_category(star))
-    assert rows(customers.rfm_segmentation(star, small_rows=small)) == rows(customers.rfm_segmentation(star))
+def test_next_purchase_with_equal_rows(spark, star):
+    """Two equal items of one day: one is followed by the other, the last by the next day."""
+    rows_ = [item("a", 1, 20200101, 9, 1, 1, 5.0), item("a", 1, 20200101, 9, 1, 1, 5.0), item("b", 1, 20200301, 9, 1, 1, 5.0)]
+    got = customers.next_purchase({**star, "fact_orders": spark.createDataFrame(rows_, FACT)}).collect()
+    assert sorted((r.order_id, r.next_date_key) for r in got if r.next_date_key) == [("a", 20200101), ("a", 20200301)]
+    assert [r.order_id for r in got if r.next_date_key is None] == ["b"]
+
+
+@pytest.mark.parametrize("base,step", [(1e8, 0.001), (0.0, 1e-7), (1e12, 1.0)])
+def test_deviation_of_any_magnitude(spark, base, step):
+    values = [base, base + step, base + 2 * step]
+    got = profiling.describe(spark.createDataFrame([(v,) for v in values], "x double"), ["x"]).first()
+    assert got.std == pytest.approx(statistics.stdev(values), rel=1e-4)
+    assert got.mean == pytest.approx(base + step, rel=1e-9)
 
 
 def test_seller_without_delivery_scores_best_on_delay(star):
