@@ -1,8 +1,8 @@
-"""Connected components, and comparing the members of groups block by block."""
+"""Connected components by joins."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from tallyhouse.llm.shared import stage
 
@@ -21,7 +21,7 @@ def components(edges: DataFrame) -> DataFrame:
     while not _stars(forest):
         both = forest.unionByName(forest.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = stage(both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct(), "large")
+        large = stage(both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")), "large")
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         rest = large.join(least, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
         forest = stage(rest.unionByName(least.select("u", F.col("m").alias("v"))).distinct(), "small")
@@ -33,21 +33,3 @@ def _stars(forest: DataFrame) -> bool:
     """Every node has one parent and no parent has a parent."""
     once = forest.groupBy("u").agg(F.count(F.lit(1)).alias("n")).where("n > 1").limit(1).count() == 0
     return once and forest.join(forest.select(F.col("u").alias("x")), F.col("v") == F.col("x"), "left_semi").limit(1).count() == 0
-
-
-def block_pairs(rows: DataFrame, keys: list[str], value: Column, size: int) -> DataFrame:
-    """Every pair of blocks of the same key, also each with itself: keys, left, right (arrays of ``value``), same.
-
-    A key's rows are dealt into blocks of about ``size`` by a hash of the value, so that a key with
-    any number of rows is compared by many tasks; rows with one key alone in a block of one are
-    not emitted. ``value`` must be the same in every evaluation.
-    """
-    item = rows.select(*keys, value.alias("item"))
-    sizes = item.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    sizes = sizes.select(*keys, F.ceil(F.col("n") / size).cast("int").alias("blocks"))
-    dealt = item.join(sizes, keys).withColumn("block", F.pmod(F.xxhash64("item"), F.col("blocks")).cast("int"))
-    packs = stage(dealt.groupBy(*keys, "blocks", "block").agg(F.collect_list("item").alias("items")), "blocks")
-    left = packs.withColumn("other", F.explode(F.sequence("block", F.col("blocks") - 1))).withColumnRenamed("items", "left")
-    right = packs.select(*keys, F.col("block").alias("other"), F.col("items").alias("right"))
-    paired = left.join(right, [*keys, "other"])
-    return paired.select(*keys, "left", "right", (F.col("block") == F.col("other")).alias("same"))

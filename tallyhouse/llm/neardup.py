@@ -11,10 +11,10 @@ shingles of a batch of texts at once and only up to the time that fills the slot
 still miss a slot go on to twice that time.
 
 Equal texts are folded into one before anything is compared. Signatures are cut into bands; texts
-that share a band meet. Within a band, members are compared with one centre, the text that
-meets most others, then with further centres while a band still has members of different
-classes, and what is left is compared block by block by signature. Every link is verified on the
-whole texts. A class is a connected component of links.
+that share a band meet. Within a band, members are first compared with one centre, the text that
+meets most others. In bands whose members are then still in different classes, those outside the
+centre's class are compared with all others block by block: pairs of different classes with enough
+agreeing slots are verified. Every link is verified on the whole texts. A class is a connected component of links.
 """
 
 from __future__ import annotations
@@ -26,16 +26,18 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window, functions as F
 
-from tallyhouse.llm.graphs import block_pairs, components
+from tallyhouse.llm.graphs import components
 from tallyhouse.llm.shared import column, free_name, runs, ship, stage
 from tallyhouse.llm.textarrays import hashed_words, mix, shingles
 
 SLOTS = 64
 ROWS = 4
 WORDS = 5
-#: Agreeing slots that a pair needs for the exact comparison: five deviations below 0.8 of them.
-AGREE = 35
-ROUNDS = 3
+#: Members of a band that are compared as one block.
+BLOCK = 256
+#: Agreeing slots that a pair outside the centres needs for the exact comparison: of two texts at 0.8, one
+#: pair in 10,000 has fewer, less than the bands miss.
+AGREE = 39
 _GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -146,42 +148,75 @@ def overlaps(left: pa.Array, right: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 
 def verify(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) whose texts (rep, text) overlap by at least ``percent`` of a hundred."""
+    """The pairs (a, b, most) whose texts (rep, text) overlap by at least ``percent`` of a hundred."""
 
     def linked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            joined = pc.binary_join_element_wise(batch.column(2), batch.column(3), "")
+            joined = pc.binary_join_element_wise(batch.column(3), batch.column(4), "")
             for lo, hi in runs(joined):
                 part = batch.slice(lo, hi - lo)
-                shared, either = overlaps(part.column(2), part.column(3))
-                yield part.select([0, 1]).filter(pa.array(100 * shared >= percent * np.maximum(either, 1)))
+                shared, either = overlaps(part.column(3), part.column(4))
+                yield part.select([0, 1, 2]).filter(pa.array(100 * shared >= percent * np.maximum(either, 1)))
 
     text_a = texts.select(F.col("rep").alias("a"), F.col("text").alias("text_a"))
     text_b = texts.select(F.col("rep").alias("b"), F.col("text").alias("text_b"))
-    both = pairs.join(text_a, "a").join(text_b, "b").select("a", "b", "text_a", "text_b")
-    return both.mapInArrow(linked, "a long, b long")
+    both = pairs.join(text_a, "a").join(text_b, "b").select("a", "b", "most", "text_a", "text_b")
+    return both.mapInArrow(linked, "a long, b long, most long")
 
 
-def _agreeing(pairs: DataFrame) -> DataFrame:
-    """(a, b) of different classes in block pairs whose signatures agree in enough slots."""
+def _linked_blocks(pairs: DataFrame, percent: int) -> DataFrame:
+    """(a, b): links between members of different classes, of blocks of minors and blocks of their band.
 
-    def agree(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    Signatures pick the candidates, the multisets decide. A pair that shares several bands is taken in
+    the first. Of the links of a member to a class one is given.
+    """
+
+    def opened(items: pa.StructArray) -> tuple:
+        signature = np.frombuffer(b"".join(items.field("signature").to_pylist()), np.uint32).reshape(len(items), SLOTS)
+        return (*(items.field(name).to_numpy() for name in ("rep", "component", "n_shingles")), signature)
+
+    def multisets(items: pa.StructArray, places: np.ndarray) -> dict[int, tuple[np.ndarray, np.ndarray]]:
+        """Sorted shingles and their numbers of the texts at ``places``."""
+        out, texts = {}, items.field("text").take(pa.array(places))
+        for lo, hi in runs(texts):
+            found, before = shingles(*hashed_words(texts[lo:hi]), WORDS)
+            for k, a, b in zip(places[lo:hi].tolist(), before, before[1:]):
+                out[k] = np.unique(found[a:b], return_counts=True)
+        return out
+
+    def linked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for row in batch.select(["left", "right", "same"]).to_pylist():
-                sides = []
-                for side in (row["left"], row["right"]):
-                    raw = np.frombuffer(b"".join(x["signature"] for x in side), np.uint32).reshape(len(side), SLOTS)
-                    sides.append((raw, np.array([x["rep"] for x in side]), np.array([x["component"] for x in side])))
-                (x, id_x, of_x), (y, id_y, of_y) = sides
-                for k in range(0, len(x), 64):
-                    same = (x[k : k + 64, None, :] == y[None, :, :]).sum(2) >= AGREE
-                    i, j = np.nonzero(same & (of_x[k : k + 64, None] != of_y[None, :]))
-                    a, b = id_x[k + i], id_y[j]
-                    if row["same"]:
-                        a, b = a[a < b], b[a < b]
-                    yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], ["a", "b"])
-
-    return pairs.mapInArrow(agree, "a long, b long")
+            for r in range(batch.num_rows):
+                left_items, right_items, nth = batch.column("left")[r].values, batch.column("right")[r].values, batch.column("nth")[r].as_py()
+                (x_rep, x_of, x_n, x_sig), (y_rep, y_of, y_n, y_sig) = opened(left_items), opened(right_items)
+                twice = batch.column("minor")[r].as_py()  # both sides are minors: each pair would come from either side
+                candidates = {}
+                for i in range(len(x_rep)):
+                    equal = y_sig == x_sig[i]
+                    first = equal.reshape(len(equal), -1, ROWS).all(2).argmax(1)
+                    sizes = 100 * np.minimum(x_n[i], y_n) >= percent * np.maximum(x_n[i], y_n)
+                    good = (equal.sum(1) >= AGREE) & (first == nth) & sizes & (y_of != x_of[i])
+                    if twice:
+                        good &= y_rep > x_rep[i]
+                    if good.any():
+                        candidates[i] = np.flatnonzero(good)
+                a, b = [], []
+                if candidates:
+                    x_bags = multisets(left_items, np.array(list(candidates)))
+                    y_bags = multisets(right_items, np.unique(np.concatenate(list(candidates.values()))))
+                    for i, near in candidates.items():
+                        own, own_times = x_bags[i]
+                        keys, times = (np.concatenate([y_bags[j][k] for j in near.tolist()]) for k in (0, 1))
+                        at = np.minimum(np.searchsorted(own, keys), len(own) - 1)
+                        both = np.where(own[at] == keys, np.minimum(own_times[at], times), 0)
+                        shared = np.bincount(np.repeat(np.arange(len(near)), [len(y_bags[j][0]) for j in near.tolist()]), both, len(near)).astype(np.int64)
+                        found = near[100 * shared >= percent * (x_n[i] + y_n[near] - shared)]
+                        _, one = np.unique(y_of[found], return_index=True)
+                        a += [x_rep[i]] * len(one)
+                        b += y_rep[found[one]].tolist()
+                yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
+
+    return pairs.mapInArrow(linked, "a long, b long")
 
 
 def classes(docs: DataFrame, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -193,65 +228,63 @@ def classes(docs: DataFrame, percent: int = 80, id_col: str = "doc_id", text_col
     """
     signed = stage(sign(docs, id_col, text_col), "signatures")
     some = signed.where("n_shingles > 0 and doc_id is not null")
-    reps = stage(some.groupBy("print1", "print2").agg(F.min("doc_id").alias("rep"), F.first("signature").alias("signature")), "reps")
+    first = [F.first(c).alias(c) for c in ("signature", "n_shingles")]
+    reps = stage(some.groupBy("print1", "print2").agg(F.min("doc_id").alias("rep"), *first), "reps")
 
     bands = F.array(*[F.xxhash64(F.substring("signature", 4 * ROWS * k + 1, 4 * ROWS), F.lit(k)) for k in range(SLOTS // ROWS)])
-    met = reps.select("rep", F.explode(bands).alias("band"))
+    met = reps.select("rep", F.posexplode(bands).alias("nth", "band"))
     sizes = met.groupBy("band").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    met = stage(met.join(sizes, "band"), "met")
-    central = met.groupBy("rep").agg(F.sum("n").alias("centre"))
-    met = stage(met.join(central, "rep").drop("n"), "members")
-
+    # A text has one row a band, so the window's groups are bounded by the number of bands.
+    met = met.join(sizes, "band").withColumn("centre", F.sum("n").over(Window.partitionBy("rep"))).drop("n")
+    met = stage(met, "met")
     rows = docs.select(column(docs, id_col, "long").alias("rep"), column(docs, text_col, "string").alias("text"))
-    same_id = some.join(reps.drop("signature"), ["print1", "print2"]).select("doc_id", "rep").where("doc_id <> rep")
-    texts = rows.join(central.select("rep"), "rep", "left_semi")
-    texts = stage(texts.groupBy("rep").agg(F.max("text").alias("text")), "texts")
-
-    links = same_id.where(F.lit(False)).select(F.col("doc_id").alias("a"), F.col("rep").alias("b"))
-    tested = links
-    for _ in range(ROUNDS):
-        now = _open(met, links)
-        if now is None:
-            break
-        centre = now.groupBy("band").agg(F.max(F.struct("centre", (-F.col("rep")).alias("low"), "component")).alias("c"))
-        centre = centre.select("band", (-F.col("c.low")).alias("middle"), F.col("c.component").alias("of"), F.col("c.centre").alias("most"))
-        pairs = now.join(centre, "band").where("component <> of").select(F.least("rep", "middle").alias("a"), F.greatest("rep", "middle").alias("b"))
-        pairs = stage(pairs.distinct().join(tested, ["a", "b"], "left_anti"), "pairs")
-        tested = tested.unionByName(pairs)
-        links = links.unionByName(stage(verify(pairs, texts, percent), "links"))
-        met = stage(met.join(centre.select("band", F.col("middle").alias("rep")).withColumn("used", F.lit(1)), ["band", "rep"], "left").select("band", "rep", F.when(F.col("used") == 1, F.lit(-1)).otherwise(F.col("centre")).cast("long").alias("centre")), "members")
-    now = _open(met, links)
-    if now is not None:
-        open_rows = now.join(reps.select("rep", "signature"), "rep")
-        blocks = block_pairs(open_rows, ["band"], F.struct("rep", "component", "signature"), 1024)
-        pairs = stage(_agreeing(blocks).distinct().join(tested, ["a", "b"], "left_anti"), "pairs")
-        links = links.unionByName(stage(verify(pairs, texts, percent), "links"))
+    members = reps.select("rep", "signature", "n_shingles").join(met.select("rep").distinct(), "rep", "left_semi")
+    texts = rows.join(members, "rep").groupBy("rep").agg(F.max("text").alias("text"), *first)
+    texts = stage(texts, "texts")
+
+    # Every member of a band against its centre, the member that meets most texts in all bands.
+    centre = met.groupBy("band").agg(F.max(F.struct("centre", (-F.col("rep")).alias("low"))).alias("c"))
+    centre = centre.select("band", (-F.col("c.low")).alias("b"), F.col("c.centre").alias("most"))
+    pairs = met.join(centre, "band").where("rep <> b").select(F.col("rep").alias("a"), "b", "most").distinct()
+    star = stage(verify(pairs, texts, percent), "star")
+
+    # Classes as far as the centres tell, over two steps. Bands that still hold several go on, but for
+    # those of two members, whose only pair is tested.
+    near = star.groupBy("a").agg(F.max(F.struct("most", (-F.col("b")).alias("low"))).alias("c")).select("a", (-F.col("c.low")).alias("b"))
+    far = near.select(F.col("a").alias("b"), F.col("b").alias("c"))
+    near = near.join(far, "b", "left").select(F.col("a").alias("rep"), F.coalesce("c", "b").alias("component"))
+    placed = stage(met.join(near, "rep", "left").withColumn("component", F.coalesce("component", "rep")), "placed")
+    main = F.max(F.struct("centre", (-F.col("rep")).alias("low"), "component")).alias("main")
+    bands = placed.groupBy("band").agg(F.min("component").alias("x"), F.max("component").alias("y"), F.count(F.lit(1)).alias("n"), main).where("x <> y and n > 2")
+    bands = bands.select("band", F.col("main.component").alias("main"), F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks"))
+
+    # There, those outside the centre's class against all, in blocks, so that no band is one task's work.
+    left = placed.join(bands, "band").withColumn("minor", F.col("component") != F.col("main"))
+    left = left.select("band", "nth", "rep", "component", "minor", F.pmod(F.xxhash64("rep"), F.col("blocks")).alias("block"))
+    member = F.struct("rep", "component", "n_shingles", "signature", "text")
+    packs = left.join(texts, "rep").groupBy("band", "nth", "minor", "block").agg(F.collect_list(member).alias("items"))
+    packs = stage(packs, "blocks")
+    minors = packs.where("minor").select("band", "nth", F.col("items").alias("left"))
+    pairs = minors.join(packs.select("band", "minor", F.col("items").alias("right")), "band")
+    more = stage(_linked_blocks(pairs, percent), "links")
 
     # An id with several texts links them: all its representatives meet its own smallest.
     several = some.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("doc_id")
-    twice = some.join(several, "doc_id", "left_semi").join(reps.drop("signature"), ["print1", "print2"])
-    links = links.unionByName(twice.select(F.col("doc_id").alias("a"), F.col("rep").alias("b")))
+    twice = some.join(several, "doc_id", "left_semi").join(reps.select("print1", "print2", "rep"), ["print1", "print2"])
+    links = star.select("a", "b").unionByName(more).unionByName(twice.select(F.col("doc_id").alias("a"), F.col("rep").alias("b")))
     of = components(links).withColumnRenamed("node", "rep")
-    classed = some.join(reps.drop("signature"), ["print1", "print2"]).join(of, "rep", "left")
-    classed = classed.select("doc_id", F.coalesce("component", "rep").alias("class_id"), "n_shingles")
+    named = reps.select("print1", "print2", "rep").join(of, "rep", "left").select("print1", "print2", F.coalesce("component", "rep").alias("class_id"))
+    classed = some.join(named, ["print1", "print2"]).select("doc_id", "class_id", "n_shingles")
     alone = signed.where("n_shingles = 0 or doc_id is null").select("doc_id", F.col("doc_id").alias("class_id"), "n_shingles")
     out = classed.unionByName(alone)
     return out.select("doc_id", "class_id", F.coalesce(F.col("doc_id") == F.col("class_id"), F.lit(True)).alias("kept"), "n_shingles")
 
 
-def _open(met: DataFrame, links: DataFrame) -> DataFrame | None:
-    """Members of bands that still hold several classes, with their class; None if there are none."""
-    of = stage(components(links), "components").withColumnRenamed("node", "rep")
-    placed = met.join(of, "rep", "left").select("band", "rep", "centre", F.coalesce("component", "rep").alias("component"))
-    mixed = placed.groupBy("band").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x <> y").select("band")
-    now = stage(placed.join(mixed, "band", "left_semi"), "open")
-    return now if now.limit(1).count() else None
-
-
 def keep_one(docs: DataFrame, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` without all but one document of each class, with the same columns."""
-    gone = classes(docs, percent, id_col, text_col).where(~F.col("kept")).select(F.col("doc_id").alias("gone_id")).distinct()
-    left = docs.join(gone, column(docs, id_col, "long") == F.col("gone_id"), "left_anti")
+    other = free_name(docs, "gone_id")
+    gone = classes(docs, percent, id_col, text_col).where(~F.col("kept")).select(F.col("doc_id").alias(other)).distinct()
+    left = docs.join(gone, column(docs, id_col, "long") == F.col(other), "left_anti")
     nth = free_name(docs, "nth")
     whole = F.xxhash64(*[F.col(f"`{c}`") for c in docs.columns])
     own = column(left, id_col, "long")
