@@ -103,7 +103,7 @@ def signatures(keys: np.ndarray, owner: np.ndarray, weight: np.ndarray, texts: i
 
 
 def sign(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, print1, print2 (of the words in order), n_shingles, signature of every row."""
+    """doc_id, whole (hash of the text), print1, print2 (of the words in order), n_shingles, signature of every row."""
     ship(docs.sparkSession)
 
     def signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -121,12 +121,12 @@ def sign(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
                 found = signatures(*bag(keys, np.repeat(np.arange(texts), counts)), texts)
                 raw = pa.FixedSizeBinaryArray.from_buffers(pa.binary(4 * SLOTS), texts, [None, pa.py_buffer(found.astype("<u4").tobytes())])
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0)[lo:hi], *prints, pa.array(counts.astype(np.int64)), raw.cast(pa.binary())],
-                    ["doc_id", "print1", "print2", "n_shingles", "signature"],
+                    [batch.column(0)[lo:hi], batch.column(2)[lo:hi], *prints, pa.array(counts.astype(np.int64)), raw.cast(pa.binary())],
+                    ["doc_id", "whole", "print1", "print2", "n_shingles", "signature"],
                 )
 
-    rows = docs.select(column(docs, id_col, "long").alias("doc_id"), column(docs, text_col, "string").alias("text"))
-    return rows.mapInArrow(signed, "doc_id long, print1 long, print2 long, n_shingles long, signature binary")
+    rows = docs.select(column(docs, id_col, "long").alias("doc_id"), column(docs, text_col, "string").alias("text")).withColumn("whole", F.xxhash64("text"))
+    return rows.mapInArrow(signed, "doc_id long, whole long, print1 long, print2 long, n_shingles long, signature binary")
 
 
 def overlaps(left: pa.Array, right: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -229,7 +229,8 @@ def classes(docs: DataFrame, percent: int = 80, id_col: str = "doc_id", text_col
     signed = stage(sign(docs, id_col, text_col), "signatures")
     some = signed.where("n_shingles > 0 and doc_id is not null")
     first = [F.first(c).alias(c) for c in ("signature", "n_shingles")]
-    reps = stage(some.groupBy("print1", "print2").agg(F.min("doc_id").alias("rep"), *first), "reps")
+    reps = some.groupBy("print1", "print2").agg(F.min(F.struct("doc_id", "whole")).alias("least"), *first)
+    reps = stage(reps.withColumn("rep", F.monotonically_increasing_id()), "reps")  # numbers of distinct texts
 
     bands = F.array(*[F.xxhash64(F.substring("signature", 4 * ROWS * k + 1, 4 * ROWS), F.lit(k)) for k in range(SLOTS // ROWS)])
     met = reps.select("rep", F.posexplode(bands).alias("nth", "band"))
@@ -237,9 +238,9 @@ def classes(docs: DataFrame, percent: int = 80, id_col: str = "doc_id", text_col
     # A text has one row a band, so the window's groups are bounded by the number of bands.
     met = met.join(sizes, "band").withColumn("centre", F.sum("n").over(Window.partitionBy("rep"))).drop("n")
     met = stage(met, "met")
-    rows = docs.select(column(docs, id_col, "long").alias("rep"), column(docs, text_col, "string").alias("text"))
-    members = reps.select("rep", "signature", "n_shingles").join(met.select("rep").distinct(), "rep", "left_semi")
-    texts = rows.join(members, "rep").groupBy("rep").agg(F.max("text").alias("text"), *first)
+    rows = docs.select(column(docs, id_col, "long").alias("doc_id"), column(docs, text_col, "string").alias("text")).withColumn("whole", F.xxhash64("text"))
+    members = reps.join(met.select("rep").distinct(), "rep", "left_semi").select("rep", "least.doc_id", "least.whole", "signature", "n_shingles")
+    texts = rows.join(members, ["doc_id", "whole"]).groupBy("rep").agg(F.max("text").alias("text"), *first)
     texts = stage(texts, "texts")
 
     # Every member of a band against its centre, the member that meets most texts in all bands.
@@ -268,12 +269,16 @@ def classes(docs: DataFrame, percent: int = 80, id_col: str = "doc_id", text_col
     pairs = minors.join(packs.select("band", "minor", F.col("items").alias("right")), "band")
     more = stage(_linked_blocks(pairs, percent), "links")
 
-    # An id with several texts links them: all its representatives meet its own smallest.
+    # An id with several texts links them.
     several = some.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("doc_id")
-    twice = some.join(several, "doc_id", "left_semi").join(reps.select("print1", "print2", "rep"), ["print1", "print2"])
-    links = star.select("a", "b").unionByName(more).unionByName(twice.select(F.col("doc_id").alias("a"), F.col("rep").alias("b")))
+    twice = some.join(several, "doc_id", "left_semi").join(reps.select("print1", "print2", "rep"), ["print1", "print2"]).select("doc_id", "rep")
+    twice = twice.join(twice.groupBy("doc_id").agg(F.min("rep").alias("b")), "doc_id").select(F.col("rep").alias("a"), "b")
+    links = star.select("a", "b").unionByName(more).unionByName(twice)
     of = components(links).withColumnRenamed("node", "rep")
-    named = reps.select("print1", "print2", "rep").join(of, "rep", "left").select("print1", "print2", F.coalesce("component", "rep").alias("class_id"))
+    named = reps.select("print1", "print2", "rep", "least.doc_id").join(of, "rep", "left").withColumn("component", F.coalesce("component", "rep"))
+    named = stage(named, "named")
+    smallest = named.groupBy("component").agg(F.min("doc_id").alias("class_id"))
+    named = named.join(smallest, "component").select("print1", "print2", "class_id")
     classed = some.join(named, ["print1", "print2"]).select("doc_id", "class_id", "n_shingles")
     alone = signed.where("n_shingles = 0 or doc_id is null").select("doc_id", F.col("doc_id").alias("class_id"), "n_shingles")
     out = classed.unionByName(alone)
