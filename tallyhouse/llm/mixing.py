@@ -23,7 +23,6 @@ from tallyhouse.llm.shared import WORD, column, free_name, stage
 LEAST = 0.5
 COARSE = 128
 FINE = 128 * COARSE
-_SIZES = "key string, size long, weight double"
 
 
 def quality_weight(text: Column) -> Column:
@@ -45,7 +44,7 @@ def numbered(keys: DataFrame) -> DataFrame:
 def targets(sized: DataFrame, weights: Sequence[float], total: float, most: float) -> DataFrame:
     """key, source_size, target of every source.
 
-    The total is shared by weight; what exceeds ``most`` times a source's size is shared again
+    The total is shared by weight, to a millionth of a word; what exceeds ``most`` times a source's size is shared again
     among the others until none is above. Each round is one aggregate of one row.
     """
     sources = sized.groupBy("key").agg(F.sum("size").alias("source_size"))
@@ -69,7 +68,7 @@ def targets(sized: DataFrame, weights: Sequence[float], total: float, most: floa
         if higher <= level * (1 + 1e-12):
             break
         level = higher
-    return sources.select("key", "source_size", F.least(F.col("share") * F.lit(level), cap).alias("target"))
+    return sources.select("key", "source_size", F.round(F.least(F.col("share") * F.lit(level), cap), 6).alias("target"))
 
 
 def prefix_cut(rows: DataFrame, budgets: DataFrame, nearest: bool) -> DataFrame:
@@ -79,6 +78,7 @@ def prefix_cut(rows: DataFrame, budgets: DataFrame, nearest: bool) -> DataFrame:
     """
     place = F.least(F.lit(1.0) - F.pow(F.col("draw"), F.lit(LEAST) / F.col("weight")), F.lit(1.0 - 1e-12))
     placed = rows.withColumn("coarse", F.floor(place * COARSE)).withColumn("fine", F.floor(place * FINE))
+    placed = placed.repartition("key", "fine")  # for the sums, the window and the join below, which else would stay dealt by source
     fine = placed.groupBy("key", "coarse", "fine").agg(F.sum("size").alias("n"))
     coarse = fine.groupBy("key", "coarse").agg(F.sum("n").alias("n"))
     over = lambda keys, by: F.sum("n").over(Window.partitionBy(*keys).orderBy(by)) - F.col("n")
@@ -114,8 +114,9 @@ def mix(docs: DataFrame, weights: Sequence[float] = (3, 1, 2), total: float = 1.
         F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long").alias("size"),
         quality_weight(text).alias("weight"),
     )
-    hashed = F.shiftrightunsigned(F.xxhash64(F.col("id"), F.lit(seed)), 11).cast("double")
-    rows = stage(rows.withColumn("draw", (hashed + 0.5) / float(2**53)), "sizes")
+    named = F.concat(F.coalesce(F.col("id").cast("string"), F.lit("")), F.lit(f":{seed}"))
+    hashed = F.conv(F.substring(F.md5(named.cast("binary")), 1, 13), 16, 10).cast("double")
+    rows = stage(rows.withColumn("draw", (hashed + 0.5) / float(2**52)), "sizes")
     aims = stage(targets(rows, weights, total, most), "targets")
     epochs = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size") + F.lit(1e-9))).otherwise(F.lit(0))
     aims = aims.withColumn("epochs", epochs)
@@ -125,6 +126,7 @@ def mix(docs: DataFrame, weights: Sequence[float] = (3, 1, 2), total: float = 1.
     first = stage(prefix_cut(rows, budgets, nearest=False), "first")
     used = first.where("picked").groupBy("key").agg(F.sum("size").alias("used"))
     left = budgets.join(used, "key", "left").select("key", (F.col("budget") - F.coalesce("used", F.lit(0))).alias("budget"))
+    left = stage(left, "left")  # a row per source, whose size Spark then knows
     beyond = first.where(~F.col("picked")).drop("picked")
     small = beyond.join(left.withColumnRenamed("budget", "left"), "key").withColumn("fits", F.col("size") <= 2 * F.col("left")).drop("left")
     second = prefix_cut(small.where("fits").drop("fits"), left, nearest=True)
