@@ -1,6 +1,7 @@
 """SQL twins of sources, cleaning, modelling, payments, profiling, reconciliation and integrity."""
 
 from oracles.base import div, rnd, sql, stamp, strip, title
+from tallyhouse.schemas import RAW as SCHEMAS
 
 SQL: dict[str, str] = {}
 
@@ -66,7 +67,17 @@ FACT_ROWS = """SELECT order_id, item AS order_item_id, dkey AS date_key, custome
     sgeo AS seller_geo_key, status AS order_status, price, freight AS freight_value, paid AS order_payment_total, kind AS payment_type,
     score AS review_score, days AS delivery_days, est AS estimated_days, days - est AS delivery_delta_days FROM wfact"""
 add("s3_write_star_schema", FACT, FACT_ROWS)
-add("s3_fact_key_is_dense", "b lowest, b highest, b keys", "SELECT 1 AS lowest, COUNT(*) AS highest, COUNT(*) AS keys FROM wfact")
+add("s3_fact_key_is_unique", "b rows, b keyed, b keys", "SELECT COUNT(*) AS rows, COUNT(*) AS keyed, COUNT(*) AS keys FROM wfact")
+add(
+    "s3_fact_by_month",
+    "b order_month, b rows, b first_key, b last_key",
+    "SELECT dkey // 100 AS order_month, COUNT(*) AS rows, MIN(dkey) AS first_key, MAX(dkey) AS last_key FROM wfact GROUP BY 1",
+)
+add(
+    "k22_published_month",
+    "b date_key, b items, b orders",
+    "SELECT dkey AS date_key, COUNT(*) AS items, COUNT(DISTINCT order_id) AS orders FROM wfact WHERE dkey // 100 = 199706 GROUP BY 1",
+)
 add(
     "s4_atomic_refresh",
     "s order_status, b n, b orders",
@@ -84,8 +95,34 @@ for k in ("customer_key", "seller_key", "product_key"):
 add("s7_four_phase_job", "s measure, b n", union(COUNTED))
 add(
     "s8_rebuild_if_stale",
-    "s snapshot, b stale",
-    "SELECT 'no snapshot' AS snapshot, 1 AS stale UNION ALL SELECT 'old snapshot', 1 UNION ALL SELECT 'new snapshot', 0",
+    "s step, b built, b items, b reviewed",
+    """SELECT 'first' AS step, 1 AS built, COUNT(*) AS items, COUNT(score) AS reviewed FROM wfact
+        UNION ALL SELECT 'same files', 0, COUNT(*), COUNT(score) FROM wfact
+        UNION ALL SELECT 'new reviews', 1, COUNT(*), COUNT(*) FILTER (order_id IN (SELECT order_id FROM raw_reviews WHERE score >= 3)) FROM wfact""",
+)
+NUMBERS = {"lat", "lng", "price", "freight", "val", "name_len", "desc_len", "photos", "weight", "length", "height", "width"}
+CELLS = {
+    "customers": "customer_id person zip city state",
+    "geolocation": "zip lat lng city state",
+    "orders": "order_id customer_id status bought approved carrier arrived estimated",
+    "order_items": "order_id item product_id seller_id limit_date price freight",
+    "order_payments": "order_id seq kind inst val",
+    "order_reviews": "review_id order_id score title message created answered",
+    "products": "product_id category name_len desc_len photos weight length height width",
+    "sellers": "seller_id zip city state",
+    "category_translation": "pt en",
+}
+
+
+def checksum(columns: str) -> str:
+    cells = [f"coalesce(CAST({f'CAST(ROUND(CAST({c} AS DOUBLE) * 100000) AS BIGINT)' if c in NUMBERS else c} AS VARCHAR), chr(30))" for c in columns.split()]
+    return f"CAST(SUM(CAST(('0x' || substr(md5(concat_ws(chr(31), {', '.join(cells)})), 1, 15))::BIGINT AS HUGEINT)) AS VARCHAR)"
+
+
+add(
+    "s9_ingest_manifest",
+    "s dataset, b rows, b has_bytes, s checksum",
+    union([f"SELECT '{d}' AS dataset, COUNT(*) AS rows, 1 AS has_bytes, {checksum(CELLS[d])} AS checksum FROM {r}" for d, (r, _) in RAW.items()]),
 )
 add(
     "s10_warehouse_inventory",
@@ -95,8 +132,23 @@ add(
 
 # ---- C -----------------------------------------------------------------------------------
 
-add("c1_drop_full_duplicates", "b user_id, s event_type", "SELECT DISTINCT user_id, event_type FROM events")
-add("c2_parse_timestamps", "s order_id, s order_approved_at", f"SELECT order_id, {stamp('TRY_CAST(approved AS TIMESTAMP)')} AS order_approved_at FROM raw_orders")
+add(
+    "c1_drop_full_duplicates",
+    "b event_id, s ts, b user_id, s event_type, d value, s props",
+    f"SELECT DISTINCT event_id, {stamp('ts')} AS ts, user_id, event_type, value, props FROM events",
+)
+STAMPS = {
+    "order_purchase_timestamp": "bought",
+    "order_approved_at": "approved",
+    "order_delivered_carrier_date": "carrier",
+    "order_delivered_customer_date": "arrived",
+    "order_estimated_delivery_date": "estimated",
+}
+add(
+    "c2_parse_timestamps",
+    "s order_id, " + ", ".join(f"s {c}" for c in STAMPS),
+    "SELECT order_id, " + ", ".join(f"{stamp(f'TRY_CAST({x} AS TIMESTAMP)')} AS {c}" for c, x in STAMPS.items()) + " FROM raw_orders",
+)
 add("c3_strip_strings", "b doc_id, s text", f"SELECT doc_id, {strip('text')} AS text FROM documents")
 add(
     "c4_normalise_geography",
@@ -299,12 +351,12 @@ PRODUCT = {
 TEXT = {"product_id": "product_id", "product_category_name": "category"}
 add(
     "r2_column_profile",
-    "s column, s dtype, b non_null, b n_unique, d missing_pct",
+    "s dataset, s column, s dtype, b non_null, b n_unique, d missing_pct",
     union(
         [
-            f"SELECT '{c}' AS \"column\", '{kind}' AS dtype, COUNT({x}) AS non_null, COUNT(DISTINCT {x}) AS n_unique, {div(f'(COUNT(*) - COUNT({x})) * 100', 'COUNT(*)')} AS missing_pct FROM raw_products"
-            for cols, kind in ((TEXT, "string"), (PRODUCT, "double"))
-            for c, x in cols.items()
+            f"SELECT '{d}' AS dataset, '{f.name}' AS \"column\", '{f.dataType.simpleString()}' AS dtype, COUNT({x}) AS non_null, COUNT(DISTINCT {x}) AS n_unique, {div(f'(COUNT(*) - COUNT({x})) * 100', 'COUNT(*)')} AS missing_pct FROM {RAW[d][0]}"
+            for d in RAW
+            for f, x in zip(SCHEMAS[d], CELLS[d].split())
         ]
     ),
 )
@@ -336,7 +388,11 @@ def describe(columns: dict[str, str], source: str) -> str:
 
 PHYSICAL = {c: PRODUCT[c] for c in ("product_weight_g", "product_length_cm", "product_height_cm", "product_width_cm")}
 DERIVED = {c: PRODUCT[c] for c in ("product_name_lenght", "product_description_lenght")}
-add("r2_describe", DESCRIBE, describe(PRODUCT, "raw_products"))
+def numbers(d: str) -> dict[str, str]:
+    return {f.name: f"CAST({x} AS DOUBLE)" for f, x in zip(SCHEMAS[d], CELLS[d].split()) if f.dataType.typeName() != "string"}
+
+
+add("r2_describe", f"s dataset, {DESCRIBE}", union([f"SELECT '{d}' AS dataset, * FROM ({describe(numbers(d), RAW[d][0])})" for d in RAW if numbers(d)]))
 add("r19_physical_describe", DESCRIBE, describe(PHYSICAL, "raw_products"))
 add("r19_derived_describe", DESCRIBE, describe(DERIVED, "raw_products"))
 FKS = [
@@ -627,13 +683,24 @@ add(
        FROM raw_orders o LEFT JOIN (SELECT DISTINCT order_id FROM raw_items) i ON i.order_id = o.order_id
        LEFT JOIN (SELECT DISTINCT order_id FROM wfact WHERE dkey IS NOT NULL) w ON w.order_id = o.order_id GROUP BY 1""",
 )
-SHAPE = {"category_translation": (4, 2), "products": (2000, 9), "sellers": (100, 4), "customers": (1, 5)}
+LINES = "(SELECT COUNT(*) FROM (SELECT DISTINCT l_orderkey, l_linenumber FROM lineitem))"
+SHAPE = {
+    "category_translation": ("(SELECT COUNT(DISTINCT p_type) FROM part WHERE p_type NOT IN ('PROMO', 'SMALL'))", 2),
+    "customers": ("(SELECT COUNT(*) FROM orders)", 5),
+    "geolocation": ("(SELECT COUNT(*) FROM customer)", 5),
+    "order_items": (LINES, 7),
+    "order_payments": (LINES, 5),
+    "order_reviews": ("(SELECT COUNT(*) FROM events)", 7),
+    "orders": ("(SELECT COUNT(*) FROM orders)", 7),
+    "products": ("(SELECT COUNT(*) FROM part)", 9),
+    "sellers": ("1", 4),
+}
 add(
     "l7_expected_shape",
     "s dataset, b expected_rows, b rows, b expected_columns, b columns, b ok",
     union(
         [
-            f"SELECT '{d}' AS dataset, {n} AS expected_rows, COUNT(*) AS rows, {c} AS expected_columns, {RAW[d][1]} AS columns, CASE WHEN COUNT(*) = {n} THEN 1 ELSE 0 END AS ok FROM {RAW[d][0]}"
+            f"SELECT '{d}' AS dataset, {n} AS expected_rows, COUNT(*) AS rows, {c} AS expected_columns, {RAW[d][1]} AS columns, CASE WHEN COUNT(*) = {n} AND {RAW[d][1]} = {c} THEN 1 ELSE 0 END AS ok FROM {RAW[d][0]}"
             for d, (n, c) in SHAPE.items()
         ]
     ),

@@ -3,11 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
-from multiprocessing import TimeoutError
-from multiprocessing.pool import ThreadPool
+from functools import reduce
 
-from py4j.protocol import Py4JError
-from pyspark.sql import Column, DataFrame, Observation, functions as F, types as T
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from tallyhouse.functions.columns import at_least, clamp, pad_zip, strip, title_case
 from tallyhouse.operators.groups import group_medians, group_modes
@@ -25,33 +23,22 @@ PRODUCT_MEASURES = (
 
 
 class CleaningLog:
-    """Row counts observed while the cleaned tables are being written, without an extra pass."""
+    """What the cleaners drop, each count an aggregate of its own, so that none can be missing."""
 
     def __init__(self) -> None:
-        self._seen: dict[str, Observation] = {}
+        self._counters: dict[str, DataFrame] = {}
 
     def watch(self, df: DataFrame, label: str, counter: Column) -> DataFrame:
-        self._seen[label] = seen = Observation(label)
-        return df.observe(seen, counter.alias("n"))
+        self._counters[label] = df.agg(counter.alias("n"))
+        return df
+
+    def table(self) -> DataFrame:
+        """measure, n: one row per counter."""
+        parts = [df.select(F.lit(label).alias("measure"), "n") for label, df in self._counters.items()]
+        return reduce(DataFrame.unionByName, parts)
 
     def counts(self) -> dict[str, int]:
-        """Call after an action. Labels whose rows no job has read are left out."""
-        found = {label: observed(seen) for label, seen in self._seen.items()}
-        return {label: row["n"] for label, row in found.items() if row is not None}
-
-
-def observed(seen: Observation, patience: float = 5.0) -> dict | None:
-    """Metrics of an observation, or None where no job reached it.
-
-    The optimizer drops the observed branch of a join with an empty side: ``get`` then fails, or
-    waits for ever if the table was not read at all. Finished jobs report through a queue,
-    hence the patience.
-    """
-    done = ThreadPool(1).apply_async(lambda: seen.get)
-    try:
-        return done.get(patience)
-    except (TimeoutError, Py4JError):
-        return None
+        return {r["measure"]: r["n"] for r in self.table().collect()}  # one row per counter
 
 
 # ---- building blocks ------------------------------------------------------------

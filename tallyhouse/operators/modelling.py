@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame, Observation, Window as W, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from tallyhouse.functions.columns import date_key, days_between, money_sum
 from tallyhouse.operators.groups import latest_per_group
@@ -21,19 +21,6 @@ def surrogate_key(df: DataFrame, name: str, natural_key: str) -> DataFrame:
     return keyed.select(name, *df.columns)
 
 
-def stored_row_key(written: DataFrame, name: str) -> DataFrame:
-    """Dense key from 1 over a written table: rows in earlier files plus the row's index.
-
-    Moves no row. The offsets table has one row per file.
-    """
-    located = written.select("*", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.row_index").alias("_row"))
-    files = located.groupBy("_file").agg(F.count(F.lit(1)).alias("n"))
-    earlier = W.orderBy("_file").rowsBetween(W.unboundedPreceding, -1)
-    offsets = files.select("_file", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("_before"))
-    keyed = located.join(F.broadcast(offsets), "_file")
-    return keyed.select((F.col("_before") + F.col("_row") + 1).alias(name), *written.columns)
-
-
 # ---- dimensions -----------------------------------------------------------------
 
 
@@ -155,9 +142,8 @@ def build_fact_orders(
     dim_customers: DataFrame,
     dim_sellers: DataFrame,
     dim_products: DataFrame,
-    unresolved: Observation | None = None,
 ) -> DataFrame:
-    """One row per order item; keys that do not resolve stay null and are counted in ``unresolved``."""
+    """One row per order item; keys that do not resolve stay null."""
     seller = dim_sellers.select("seller_id", "seller_key", F.col("geo_key").alias("seller_geo_key"))
     product = dim_products.select("product_id", "product_key")
     fact = (
@@ -167,9 +153,6 @@ def build_fact_orders(
         .join(product, "product_id", "left")
         .withColumn("delivery_delta_days", F.col("delivery_days") - F.col("estimated_days"))
     )
-    if unresolved is not None:
-        keys = ("customer_key", "seller_key", "product_key")
-        fact = fact.observe(unresolved, *[F.count_if(F.col(k).isNull()).alias(k) for k in keys])
     return fact.select([c for c in STAR["fact_orders"].names if c != "fact_key"])
 
 
@@ -184,7 +167,7 @@ def build_dimensions(clean: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
     }
 
 
-def build_star(clean: Mapping[str, DataFrame], unresolved: Observation | None = None) -> dict[str, DataFrame]:
+def build_star(clean: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
     """All six tables; the fact gets its ``fact_key`` when it is written.
 
     The orders feed both the calendar and the fact, so their deduplication runs once.
@@ -199,6 +182,5 @@ def build_star(clean: Mapping[str, DataFrame], unresolved: Observation | None =
         star["dim_customers"],
         star["dim_sellers"],
         star["dim_products"],
-        unresolved,
     )
     return star

@@ -71,6 +71,11 @@ def rfm_raw(star: Star, as_of: date | None = None) -> DataFrame:
     )
 
 
+# Names of the segments.
+SEGMENTS = ("At Risk", "Champions", "Lost", "Loyal", "New", "Others")
+SEGMENTS_AT_RISK = ("At Risk", "Lost")
+
+
 def rfm_scored(star: Star, as_of: date | None = None) -> DataFrame:
     """Three quintiles, 5 is best, and the segment.
 

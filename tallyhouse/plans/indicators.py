@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from tallyhouse.functions.columns import month_label, ratio
+from tallyhouse.plans.customers import SEGMENTS_AT_RISK
 
 CURVE = [f"m{i}" for i in range(1, 12)]
 
@@ -91,7 +92,7 @@ def best_ltv(ltv: DataFrame, min_size: int = 500, fallback: int = 6) -> DataFram
 
 def segment_summary(rfm: DataFrame) -> DataFrame:
     """Dominant segment and its share, and the head count of segments at risk."""
-    at_risk = F.col("segment").rlike("(?i)At Risk|Lost|Hibernating")
+    at_risk = F.col("segment").isin(*SEGMENTS_AT_RISK)
     return rfm.agg(
         _first_best("segment", "nb_customers").alias("dominant_segment"),
         F.max("nb_customers").alias("dominant_customers"),

@@ -166,14 +166,12 @@ def row_counts(raw: Tables, star: Tables) -> DataFrame:
 
 def revenue_totals(raw: Tables, star: Tables, tolerance: float = 1e-6) -> DataFrame:
     """Price and freight sums within a relative tolerance."""
-    parts = []
-    for c in ("price", "freight_value"):
-        total = raw["order_items"].distinct().agg(money_total(at_least(c, 0.0)).alias("raw_total"))
-        parts.append(
-            total.select(F.lit(c).alias("check"), "raw_total", star["fact_orders"].agg(money_total(c)).scalar().alias("total"))
-        )
+    amounts = ("price", "freight_value")
+    totals = raw["order_items"].distinct().agg(*[money_total(at_least(c, 0.0)).alias(f"raw_{c}") for c in amounts])
+    stored = star["fact_orders"].agg(F.struct(*[money_total(c).alias(c) for c in amounts]).alias("s")).scalar()
+    pairs = [F.struct(F.lit(c).alias("check"), F.col(f"raw_{c}").alias("raw_total"), F.col("s").getField(c).alias("total")) for c in amounts]
     gap = F.abs(F.col("total") - F.col("raw_total")).cast("double")
-    return stack(parts).withColumn("n_violations", (gap > F.abs(F.col("raw_total").cast("double")) * tolerance).cast("bigint"))
+    return totals.withColumn("s", stored).select(F.inline(F.array(*pairs))).withColumn("n_violations", (gap > F.abs(F.col("raw_total").cast("double")) * tolerance).cast("bigint"))
 
 
 def payment_totals(clean: Tables, star: Tables) -> DataFrame:

@@ -52,6 +52,17 @@ def dataset_summary(raw: Raw) -> DataFrame:
     return stack(parts)
 
 
+def profile_all(raw: Raw) -> DataFrame:
+    """``column_profile`` of every dataset."""
+    return stack([_name(column_profile(df), "dataset", name) for name, df in raw.items()])
+
+
+def describe_all(raw: Raw) -> DataFrame:
+    """``describe`` of the numeric columns of every dataset that has any."""
+    found = {name: numeric_columns(df) for name, df in raw.items()}
+    return stack([_name(describe(raw[name], columns), "dataset", name) for name, columns in found.items() if columns])
+
+
 def column_profile(df: DataFrame) -> DataFrame:
     """Per column: type, non-null count, distinct values, percent missing.
 
@@ -133,27 +144,33 @@ def _size_stats(sizes: DataFrame) -> DataFrame:
 
 def cardinalities(raw: Raw) -> DataFrame:
     """Children per foreign key value: mean, max, and values with more than one child."""
+    return _foreign_values(raw).groupBy("relation").agg(
+        _rows().alias("parents"),
+        ratio(F.sum("n"), _rows()).alias("mean"),
+        F.max("n").alias("max"),
+        F.count_if(F.col("n") > 1).alias("multiple"),
+    )
+
+
+def _foreign_values(raw: Raw) -> DataFrame:
+    """relation, parent, value, n: rows per foreign key value, each child table read once for all its keys."""
     parts = []
-    for child, fk, parent in FOREIGN_KEYS:
-        sizes = raw[child].filter(F.col(fk).isNotNull()).groupBy(fk).agg(_rows().alias("n"))
-        one = sizes.agg(
-            _rows().alias("parents"),
-            ratio(F.sum("n"), _rows()).alias("mean"),
-            F.max("n").alias("max"),
-            F.count_if(F.col("n") > 1).alias("multiple"),
-        )
-        parts.append(_name(one, "relation", f"{child}.{fk} -> {parent}"))
-    return stack(parts)
+    for child in dict.fromkeys(c for c, _, _ in FOREIGN_KEYS):
+        keys = [(fk, parent) for c, fk, parent in FOREIGN_KEYS if c == child]
+        cells = [
+            F.struct(F.lit(f"{child}.{fk} -> {parent}").alias("relation"), F.lit(parent).alias("parent"), F.col(fk).alias("value")) for fk, parent in keys
+        ]
+        parts.append(raw[child].select(F.inline(F.array(*cells))))
+    return stack(parts).filter("value is not null").groupBy("relation", "parent", "value").agg(_rows().alias("n"))
 
 
 def orphans(raw: Raw) -> DataFrame:
     """Distinct foreign key values without a parent row."""
-    parts = []
-    for child, fk, parent in FOREIGN_KEYS:
-        keys = raw[child].select(fk).filter(F.col(fk).isNotNull()).distinct()
-        lost = keys.join(raw[parent].select(fk), fk, "left_anti").agg(_rows().alias("orphans"))
-        parts.append(_name(lost, "relation", f"{child}.{fk} -> {parent}"))
-    return stack(parts)
+    parents = stack([
+        raw[parent].select(F.lit(parent).alias("parent"), F.col(fk).alias("value")) for parent, fk in dict.fromkeys((p, fk) for _, fk, p in FOREIGN_KEYS)
+    ])
+    met = _foreign_values(raw).join(parents.distinct().withColumn("known", F.lit(1)), ["parent", "value"], "left")
+    return met.groupBy("relation").agg(F.count_if(F.col("known").isNull()).alias("orphans"))
 
 
 def child_histogram(raw: Raw, child: str, clip: int | None = None) -> DataFrame:

@@ -173,15 +173,15 @@ def months(raw: Tables, star: Tables) -> DataFrame:
     return both.withColumn("residual", left_over).orderBy("year_month")
 
 
-def expected_shape(raw: Tables, expected: Mapping[str, tuple[int, int]]) -> DataFrame:
-    """Row and column counts per dataset against expected ones."""
+def expected_shape(raw: Tables, expected: Mapping[str, tuple[int | Column, int]]) -> DataFrame:
+    """Row and column counts per dataset against expected ones, a number or a scalar of another table."""
     parts = []
     for name, (rows, columns) in expected.items():
         one = raw[name].agg(_n().alias("rows"))
         parts.append(
             one.select(
                 F.lit(name).alias("dataset"),
-                F.lit(rows).cast("bigint").alias("expected_rows"),
+                (F.lit(rows) if isinstance(rows, int) else rows).cast("bigint").alias("expected_rows"),
                 "rows",
                 F.lit(columns).alias("expected_columns"),
                 F.lit(len(raw[name].columns)).alias("columns"),

@@ -19,6 +19,7 @@ from tallyhouse.functions.columns import (
 )
 from tallyhouse.operators.ranking import Ranking, asc, desc, rank_all
 from tallyhouse.plans.views import DELIVERED, Star, delivered, monthly_sales, with_category
+from tallyhouse.schemas import MONTH
 
 
 def by_month() -> WindowSpec:
@@ -107,9 +108,8 @@ def top_categories(star: Star, limit: int = 10) -> DataFrame:
 
 
 def delivered_items_of_year(star: Star, year: int = 2017) -> DataFrame:
-    """Items of one year, dearest first; the key range reaches the Parquet reader."""
-    key = F.col("date_key")
-    items = delivered(star).filter((key >= year * 10000 + 101) & (key < (year + 1) * 10000 + 101))
+    """Items of one year, dearest first."""
+    items = within_days(delivered(star), year * 10000 + 101, year * 10000 + 1231)
     return items.select("order_id", date_of("date_key").alias("order_date"), "price").orderBy(
         F.desc("price"), "order_id"
     )
@@ -294,8 +294,20 @@ def items_per_score_band(star: Star) -> DataFrame:
     return banded.groupBy("segment").agg(F.count(F.lit(1)).alias("nb_items"), money_total("price").alias("revenue"))
 
 
+def within_days(fact: DataFrame, first_key: int, last_key: int | None = None) -> DataFrame:
+    """Rows of a range of days on the integer date key.
+
+    A published fact is stored by month, so its files of other months are not even listed for reading.
+    """
+    chosen = F.col("date_key") >= first_key
+    if last_key is not None:
+        chosen = F.col("date_key").between(first_key, last_key)
+    if MONTH in fact.columns:
+        month = F.col(MONTH)
+        chosen = chosen & (month >= first_key // 100 if last_key is None else month.between(first_key // 100, last_key // 100))
+    return fact.filter(chosen)
+
+
 def rows_between_days(star: Star, first_key: int, last_key: int | None = None) -> DataFrame:
-    """Rows of one day (both keys equal) or from a day on, as a range on the integer date key."""
-    key = F.col("date_key")
-    chosen = key >= first_key if last_key is None else key.between(first_key, last_key)
-    return star["fact_orders"].filter(chosen)
+    """Rows of one day (both keys equal) or from a day on."""
+    return within_days(star["fact_orders"], first_key, last_key)

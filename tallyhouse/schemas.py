@@ -111,3 +111,6 @@ ORDER_STATUSES = (
     "unavailable",
 )
 PAYMENT_TYPES = ("boleto", "credit_card", "debit_card", "not_defined", "voucher")
+
+# Last column of the published fact: the calendar month of date_key, by which its files are stored.
+MONTH = "order_month"

@@ -1,27 +1,30 @@
 """Publish the star schema as one checked, atomically switched snapshot.
 
-    <root>/snapshots/<id>/<table>/   Parquet, never changed after publishing
+    <root>/snapshots/<id>/<table>/   Parquet, never changed after publishing; the fact by month
+    <root>/snapshots/<id>/sources/   the source files that the snapshot was built from
     <root>/CURRENT                   id of the published snapshot
 
 A refresh writes a new snapshot, checks it, and replaces the pointer in one rename. A failed
-check or a lost job leaves the pointer, and so every reader, on the old snapshot.
+check or a lost job leaves the pointer, and so every reader, on the old snapshot. Old snapshots
+stay until ``expire`` is called with an age that no reader exceeds.
 """
 
 from __future__ import annotations
 
 import uuid
 from collections.abc import Mapping
-from datetime import datetime, timezone
+from datetime import datetime, timedelta, timezone
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from tallyhouse.operators.modelling import DIMENSION_ORDER, stored_row_key
-from tallyhouse.operators.staging import stage
+from tallyhouse.operators.modelling import DIMENSION_ORDER
 from tallyhouse.plans.integrity import constraint_violations, stack
 from tallyhouse.plans.views import register_views
-from tallyhouse.schemas import STAR
+from tallyhouse.schemas import MONTH, STAR
+from tallyhouse.sources.raw import LISTING
 
 POINTER = "CURRENT"
+SOURCES = "sources"
 TABLES = (*DIMENSION_ORDER, "fact_orders")
 
 
@@ -40,25 +43,38 @@ def conform(df: DataFrame, table: str) -> DataFrame:
 
 
 def write_tables(star: Mapping[str, DataFrame], folder: str) -> None:
-    """Dimensions first, then the fact, sorted inside files so date and status filters skip row groups."""
+    """Dimensions first, then the fact, written once.
+
+    The fact is clustered by month, in tasks of even size that adaptive execution makes of large and
+    small months, and sorted by day inside files. Its key is unique: the task's number and the
+    row's place in the task.
+    """
     for name in DIMENSION_ORDER:
         conform(star[name], name).write.mode("overwrite").parquet(f"{folder}/{name}")
-    fact = stage(star["fact_orders"].drop("fact_key").sortWithinPartitions("date_key"), "fact")
-    conform(stored_row_key(fact, "fact_key"), "fact_orders").write.mode("overwrite").parquet(f"{folder}/fact_orders")
+    fact = star["fact_orders"].drop("fact_key").withColumn(MONTH, F.floor(F.col("date_key") / 100).cast("int"))
+    fact = fact.hint("rebalance", F.col(MONTH)).sortWithinPartitions(MONTH, "date_key")
+    fact = fact.withColumn("fact_key", F.monotonically_increasing_id() + 1)
+    keyed = fact.select(*[F.col(f.name).cast(f.dataType) for f in STAR["fact_orders"]], MONTH)
+    keyed.write.mode("overwrite").partitionBy(MONTH).parquet(f"{folder}/fact_orders")
 
 
 def read_tables(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
-    return {name: spark.read.schema(STAR[name]).parquet(f"{folder}/{name}") for name in TABLES}
+    """The tables of a snapshot; the fact has its month as a last column, by which files are pruned."""
+    schemas = {name: STAR[name] for name in TABLES}
+    schemas["fact_orders"] = T.StructType([*STAR["fact_orders"], T.StructField(MONTH, T.IntegerType())])
+    return {name: spark.read.schema(schemas[name]).parquet(f"{folder}/{name}") for name in TABLES}
 
 
-def publish(spark: SparkSession, star: Mapping[str, DataFrame], root: str, keep: int = 2) -> str:
-    """Write, check, switch. Returns the snapshot id.
+def publish(spark: SparkSession, star: Mapping[str, DataFrame], root: str, sources: DataFrame | None = None) -> str:
+    """Write, check, switch. Returns the snapshot id; a failed attempt is removed.
 
-    A failed attempt is removed. The last ``keep`` snapshots stay, for readers that still hold one.
+    ``sources`` is the listing of the files that ``star`` was read from, taken before reading.
     """
     snapshot = f"{datetime.now(timezone.utc):%Y%m%dT%H%M%S%f}-{uuid.uuid4().hex[:8]}"
     folder = f"{root}/snapshots/{snapshot}"
     try:
+        if sources is not None:
+            sources.write.parquet(f"{folder}/{SOURCES}")
         write_tables(star, folder)
         broken = constraint_violations(read_tables(spark, folder)).filter("n_violations > 0").collect()  # one row per rule
         if broken:
@@ -67,12 +83,28 @@ def publish(spark: SparkSession, star: Mapping[str, DataFrame], root: str, keep:
         _remove(spark, folder)
         raise
     _switch(spark, root, snapshot)
-    for old in snapshots(spark, root)[:-keep]:
-        if old != snapshot:
-            _remove(spark, f"{root}/snapshots/{old}")
     return snapshot
 
 
+def expire(spark: SparkSession, root: str, older_than: timedelta) -> list[str]:
+    """Remove unpublished snapshots that were written longer ago than ``older_than``; returns their ids."""
+    current, limit = current_snapshot(spark, root), datetime.now(timezone.utc) - older_than
+    written = lambda s: datetime.strptime(s.split("-")[0], "%Y%m%dT%H%M%S%f").replace(tzinfo=timezone.utc)
+    old = [s for s in snapshots(spark, root) if s != current and written(s) < limit]
+    for s in old:
+        _remove(spark, f"{root}/snapshots/{s}")
+    return old
+
+
+def published_sources(spark: SparkSession, root: str) -> DataFrame | None:
+    """Listing of the source files of the published snapshot; None without a snapshot or a listing."""
+    snapshot = current_snapshot(spark, root)
+    if snapshot is None:
+        return None
+    path, fs = _hadoop(spark, f"{root}/snapshots/{snapshot}/{SOURCES}")
+    return spark.read.schema(LISTING).parquet(path.toString()) if fs.exists(path) else None
+
+
 def snapshots(spark: SparkSession, root: str) -> list[str]:
     """Ids below the root, oldest first."""
     folder, fs = _hadoop(spark, f"{root}/snapshots")
@@ -104,13 +136,6 @@ def current_snapshot(spark: SparkSession, root: str) -> str | None:
     return spark.read.text(f"{root}/{POINTER}", wholetext=True).first()[0].strip()
 
 
-def published_at(spark: SparkSession, root: str):
-    """Time of the last publication, on the clock of the file system like the sources' times."""
-    if current_snapshot(spark, root) is None:
-        return None
-    return spark.read.format("binaryFile").load(f"{root}/{POINTER}").select("modificationTime").first()[0]
-
-
 def read_star(spark: SparkSession, root: str, views: bool = False) -> dict[str, DataFrame]:
     snapshot = current_snapshot(spark, root)
     if snapshot is None:

@@ -8,6 +8,7 @@ on data that grows with the given tables.
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping
+from datetime import date, timedelta
 from functools import partial
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -59,7 +60,6 @@ class Tables(Mapping):
 
 
 def _case(c: str, mapping: dict[str, str], default: str) -> Column:
-    """Nested so that a comparison with one label folds into a comparison the Parquet reader takes."""
     out = F.lit(default)
     for value, label in reversed(mapping.items()):
         out = F.when(F.col(c) == value, label).otherwise(out)
@@ -111,8 +111,18 @@ def star_products(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def star_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
-    orders = table(spark, sf_dir, "orders").select(
+def star_fact(spark: SparkSession, sf_dir: str, status: str | None = None, first_day: date | None = None, last_day: date | None = None) -> DataFrame:
+    """Items with their order. A status or a range of days is a filter on the columns of ``orders``, so the
+    Parquet reader skips what the mapped columns would only drop later."""
+    found = table(spark, sf_dir, "orders")
+    if status is not None:
+        found = found.filter(F.col("o_orderstatus") == next(k for k, label in STATUS.items() if label == status))
+    if first_day is not None:
+        found = found.filter(F.col("o_orderdate") >= F.lit(first_day).cast("timestamp_ntz"))
+    if last_day is not None:
+        found = found.filter(F.col("o_orderdate") < F.lit(last_day + timedelta(days=1)).cast("timestamp_ntz"))
+    chosen = not (status is None and first_day is None and last_day is None)
+    orders = found.select(
         F.col("o_orderkey").alias("order_id"),
         F.col("o_custkey").alias("customer_key"),
         date_key("o_orderdate").alias("date_key"),
@@ -124,7 +134,7 @@ def star_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
     freight = _tax_cents(cents("l_extendedprice"), F.col("l_tax")) / 100.0
     days = days_between("l_shipdate", "o_orderdate")
     lines = table(spark, sf_dir, "lineitem").withColumn("order_id", F.col("l_orderkey"))
-    return lines.join(orders, "order_id", "left").select(
+    return lines.join(orders, "order_id", "inner" if chosen else "left").select(
         "order_id",
         F.col("l_linenumber").alias("order_item_id"),
         "date_key",
@@ -152,8 +162,10 @@ STAR_BUILDERS = {
 }
 
 
-def star(spark: SparkSession, sf_dir: str) -> Tables:
-    return Tables({name: partial(build, spark, sf_dir) for name, build in STAR_BUILDERS.items()})
+def star(spark: SparkSession, sf_dir: str, **where) -> Tables:
+    """The star schema; ``where`` narrows the fact at its source, see ``star_fact``."""
+    builders = {**STAR_BUILDERS, "fact_orders": partial(star_fact, **where)}
+    return Tables({name: partial(build, spark, sf_dir) for name, build in builders.items()})
 
 
 # ---- raw datasets -------------------------------------------------------------------
@@ -222,15 +234,31 @@ def raw_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-_lines: dict[tuple[str, str], DataFrame] = {}
+_lines: dict[tuple, DataFrame] = {}
+
+
+def state_of(spark: SparkSession, sf_dir: str) -> tuple:
+    """Application, folder and the length and time of every table's files, from the listing."""
+    found = [spark.sparkContext.applicationId, sf_dir]
+    for name in COLUMNS:
+        path = spark._jvm.org.apache.hadoop.fs.Path(f"{sf_dir}/{name}.parquet")
+        fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
+        if fs.exists(path):
+            found += [(s.getPath().getName(), s.getLen(), s.getModificationTime()) for s in fs.listStatus(path)]
+    return tuple(found)
+
+
+def forget() -> None:
+    """Stage the merged lines anew from here on."""
+    _lines.clear()
 
 
 def order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Line items merged per (order, line number), which is not unique in the given table.
 
-    Written once per application: items and payments both start from it.
+    Written once for each state of the tables: items and payments both start from it.
     """
-    key = (spark.sparkContext.applicationId, sf_dir)
+    key = state_of(spark, sf_dir)
     if key not in _lines:
         merged = table(spark, sf_dir, "lineitem").groupBy("l_orderkey", "l_linenumber").agg(
             F.min("l_partkey").alias("part"),

@@ -6,6 +6,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
+from tallyhouse.catalogue import QUERIES
 
 SF = "/root/testdata/sf0.001"
 TABLES = "region nation customer supplier part orders lineitem events documents".split()
@@ -24,7 +25,7 @@ def normal(rows, names):
     return sorted(repr(tuple(r[i] for i in order)) for r in rows)
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(spark, con, name):
     df = entry.queries()[name](spark, SF)
     mine = df.collect()
@@ -37,6 +38,10 @@ def test_query(spark, con, name):
     assert normal(mine, df.columns) == normal(cur.fetchall(), names)
 
 
+def test_all_are_handed_to_the_driver():
+    assert set(QUERIES) <= set(entry.queries()) and set(QUERIES) <= set(entry.oracle_sql())
+
+
 def test_every_oracle_has_a_query():
     assert set(entry.oracle_sql()) <= set(entry.queries())
 

@@ -2,14 +2,14 @@ import datetime
 
 import pytest
 from conftest import ROWS, rows
-from pyspark.sql import functions as F
+from pyspark.sql import functions as F, types as T
 
 from tallyhouse import refresh
 from tallyhouse.operators import staging
-from tallyhouse.plans import views
-from tallyhouse.schemas import RAW, STAR
+from tallyhouse.plans import sales, views
+from tallyhouse.schemas import MONTH, RAW, STAR
 from tallyhouse.sinks import snapshot
-from tallyhouse.sources import raw as sources
+from tallyhouse.sources import given, raw as sources
 
 NAMES = {"category_translation": "product_category_name_translation.csv"}
 
@@ -23,13 +23,36 @@ def folder(spark, raw, tmp_path):
 
 def test_schemas_and_order(published):
     for name, df in published["star"].items():
-        assert [(f.name, f.dataType) for f in df.schema] == [(f.name, f.dataType) for f in STAR[name]]
+        expected = [(f.name, f.dataType) for f in STAR[name]] + [(MONTH, T.IntegerType())] * (name == "fact_orders")
+        assert [(f.name, f.dataType) for f in df.schema] == expected
 
 
-def test_row_counts_and_dense_fact_key(published):
+def test_row_counts_and_unique_fact_key(published):
     star = published["star"]
     assert {n: df.count() for n, df in star.items()} == {"dim_dates": 6, "dim_geolocation": 2, "dim_customers": 3, "dim_sellers": 2, "dim_products": 3, "fact_orders": 3}
-    assert sorted(r.fact_key for r in star["fact_orders"].collect()) == [1, 2, 3]
+    assert len({r.fact_key for r in star["fact_orders"].collect()}) == 3
+
+
+def test_files_of_other_months_are_not_read(published):
+    """A range of days selects the month folders; a day inside goes on to the reader."""
+    fact = published["star"]["fact_orders"]
+    one = sales.within_days(fact, 20180101, 20180131)
+    plan = one._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(order_month" in plan and "GreaterThanOrEqual(date_key,20180101)" in plan
+    assert one.count() == 2 and len(one.inputFiles()) <= len(fact.inputFiles())
+    assert sales.rows_between_days(published["star"], 20180201).count() == 1
+    assert sales.delivered_items_of_year(published["star"], 2018).count() == 2
+
+
+def test_source_filters_reach_the_reader(spark):
+    """The reports that keep one status or a range of days push both down to the orders' files."""
+    spark.conf.set("spark.sql.maxMetadataStringLength", 2000)
+    star = given.star(spark, "/root/testdata/sf0.001", status="delivered", first_day=datetime.date(1997, 1, 1), last_day=datetime.date(1997, 12, 31))
+    plan = sales.delivered_items_of_year(star, 1997)._jdf.queryExecution().executedPlan().toString()
+    spark.conf.unset("spark.sql.maxMetadataStringLength")
+    pushed = next(line for line in plan.split("\n") if "o_orderstatus" in line and "PushedFilters" in line)
+    for part in ("EqualTo(o_orderstatus,F)", "GreaterThanOrEqual(o_orderdate,1997-01-01T00:00", "LessThan(o_orderdate,1998-01-01T00:00"):
+        assert part in pushed
 
 
 def test_publishing_twice_changes_nothing(spark, built, tmp_path):
@@ -57,10 +80,13 @@ def test_failed_check_leaves_the_old_snapshot(spark, built, tmp_path):
     assert snapshot.read_star(spark, root)["fact_orders"].count() == 3
 
 
-def test_old_snapshots_expire(spark, built, tmp_path):
+def test_old_snapshots_expire_by_age(spark, built, tmp_path):
     root = str(tmp_path)
     ids = [snapshot.publish(spark, built, root) for _ in range(3)]
-    assert snapshot.snapshots(spark, root) == ids[1:]
+    assert snapshot.snapshots(spark, root) == ids
+    assert snapshot.expire(spark, root, datetime.timedelta(hours=1)) == []
+    assert snapshot.expire(spark, root, datetime.timedelta(0)) == ids[:2]
+    assert snapshot.snapshots(spark, root) == ids[2:]
 
 
 def test_nothing_published(spark, tmp_path):
@@ -123,8 +149,33 @@ def test_whole_job_then_fresh(spark, folder, tmp_path_factory):
     assert report.cleaning["orders in"] == 2 and report.cleaning["payment_type rejected"] == 0
     assert refresh.run_if_stale(spark, folder, root) is None
     assert refresh.run_if_stale(spark, folder, root, force=True) is not None
-    assert not sources.needs_refresh(spark, folder, datetime.datetime(2200, 1, 1))
-    assert sources.needs_refresh(spark, folder, datetime.datetime(1990, 1, 1))
+
+
+def test_a_file_that_lands_during_the_build_is_new(spark, folder, tmp_path_factory, monkeypatch):
+    """The listing is taken before anything is read, so a later delivery is not lost."""
+    root = str(tmp_path_factory.mktemp("late"))
+    read = refresh.load_all_raw
+
+    def and_then_deliver(*args):
+        loaded = read(*args)
+        with open(f"{folder}/x_sellers_dataset.csv", "a") as f:
+            f.write("s9,1234,sao paulo,sp\n")
+        return loaded
+
+    monkeypatch.setattr(refresh, "load_all_raw", and_then_deliver)
+    assert refresh.run_if_stale(spark, folder, root) is not None
+    monkeypatch.setattr(refresh, "load_all_raw", read)
+    assert refresh.run_if_stale(spark, folder, root) is not None
+    assert refresh.run_if_stale(spark, folder, root) is None
+    assert sources.needs_refresh(sources.source_files(spark, folder), None)
+
+
+def test_two_deliveries_are_refused(spark, folder):
+    with open(f"{folder}/x_sellers_dataset.csv") as f, open(f"{folder}/y_sellers_dataset.csv", "w") as g:
+        g.write(f.read())
+    with pytest.raises(sources.SourceError, match="2 matches"):
+        sources.load_raw_csv(spark, folder, "sellers")
+    assert sources.load_raw_csv(spark, folder, "sellers", {"sellers": "*_sellers_dataset.csv"}).count() == 2 * len(ROWS["sellers"])
 
 
 def test_errors_carry_their_phase(spark, raw, tmp_path):
@@ -167,9 +218,12 @@ class FakeSession:
             return default
 
     class sparkContext:
-        applicationId = "fake"
         master = "spark://cluster:7077"
 
+        @staticmethod
+        def getCheckpointDir():
+            return None
+
 
 def test_cluster_without_shared_folder_is_an_error():
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
