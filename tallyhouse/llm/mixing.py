@@ -105,18 +105,19 @@ def mix(docs: DataFrame, weights: Sequence[float] = (3, 1, 2), total: float = 1.
     in the order of code points, null last. A row of size 0 takes nothing. Equal ids draw equal
     keys and are ordered by size; fully equal rows are interchangeable. An empty table gives no
     rows. Extra columns are ignored. The draw depends on the id and the seed alone, so reruns agree.
+    ``id_value`` is given back in place of the id, to tell rows of one id apart.
     """
     source, text = column(docs, source_col, "string"), column(docs, text_col, "string")
-    ident = column(docs, id_col, "long") if id_value is None else id_value
+    ident = column(docs, id_col, "long")
     rows = docs.select(
-        ident.alias("id"),
+        (ident if id_value is None else id_value).alias("id"),
+        F.concat(F.coalesce(ident.cast("string"), F.lit("")), F.lit(f":{seed}")).alias("named"),
         F.when(source.isNull(), F.lit("1")).otherwise(F.concat(F.lit("0"), source)).alias("key"),
         F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long").alias("size"),
         quality_weight(text).alias("weight"),
     )
-    named = F.concat(F.coalesce(F.col("id").cast("string"), F.lit("")), F.lit(f":{seed}"))
-    hashed = F.conv(F.substring(F.md5(named.cast("binary")), 1, 13), 16, 10).cast("double")
-    rows = stage(rows.withColumn("draw", (hashed + 0.5) / float(2**52)), "sizes")
+    hashed = F.conv(F.substring(F.md5(F.col("named").cast("binary")), 1, 13), 16, 10).cast("double")
+    rows = stage(rows.withColumn("draw", (hashed + 0.5) / float(2**52)).drop("named"), "sizes")
     aims = stage(targets(rows, weights, total, most), "targets")
     epochs = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size") + F.lit(1e-9))).otherwise(F.lit(0))
     aims = aims.withColumn("epochs", epochs)
