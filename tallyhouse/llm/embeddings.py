@@ -89,13 +89,16 @@ def _linked(kind: str, least: float):
                 a, b, budget = cut[block]
                 left = opened(batch.column("left")[i].values, size)
                 right = left if same else opened(batch.column("right")[i].values, size)
-                x, y = left[5][:, a:b].astype(np.float32), right[5][:, a:b].astype(np.float32)
-                y_sq, found = (y * y).sum(1), []
+                # One product gives minus half the squared distance: the lengths ride along as coordinates.
+                x, y = (np.ascontiguousarray(side[5][:, a:b]) for side in (left, right))
+                x = np.hstack([x, -(x * x).sum(1)[:, None] / 2, np.ones((len(x), 1))]).astype(np.float32)
+                y = np.ascontiguousarray(np.hstack([y, np.ones((len(y), 1)), -(y * y).sum(1)[:, None] / 2]).T.astype(np.float32))
+                least_score, found = np.float32(-(budget * 1.0001 + 1e-5) / 2), []
                 for k in range(0, len(x), 512):
                     part = x[k : k + 512]
-                    near = (part * part).sum(1)[:, None] + y_sq - 2 * (part @ y.T) <= np.float32(budget * 1.0001 + 1e-5)
+                    near = part @ y >= least_score
                     if same:
-                        near &= np.arange(len(y)) > np.arange(k, k + len(part))[:, None]
+                        near &= np.arange(y.shape[1]) > np.arange(k, k + len(part))[:, None]
                     p, q = np.nonzero(near)
                     for s in range(0, len(p), 65536):
                         u, v = p[s : s + 65536] + k, q[s : s + 65536]
