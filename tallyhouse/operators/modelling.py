@@ -110,17 +110,11 @@ def latest_review_per_order(reviews: DataFrame) -> DataFrame:
     return latest_per_group(reviews, ["order_id"], newest, ["review_score"])
 
 
-def order_facts(
-    orders: DataFrame, payments: DataFrame, reviews: DataFrame, dim_customers: DataFrame
-) -> DataFrame:
-    """Everything known per order, one row per order id seen in any of the three sources.
-
-    Joined before the items, so the item rows move only once and a hot order meets one row.
-    The full joins keep payments and reviews of orders that cleaning dropped.
-    """
+def known_orders(orders: DataFrame, dim_customers: DataFrame) -> DataFrame:
+    """Orders with their customer's keys and their days."""
     customer = dim_customers.select("customer_id", "customer_key", F.col("geo_key").alias("customer_geo_key"))
     bought, received = F.col("order_purchase_timestamp"), F.col("order_delivered_customer_date")
-    known = orders.join(customer, "customer_id", "left").select(
+    return orders.join(customer, "customer_id", "left").select(
         "order_id",
         "order_status",
         "customer_key",
@@ -129,6 +123,16 @@ def order_facts(
         days_between(received, bought).alias("delivery_days"),
         days_between("order_estimated_delivery_date", bought).alias("estimated_days"),
     )
+
+
+def order_facts(
+    orders: DataFrame, payments: DataFrame, reviews: DataFrame, dim_customers: DataFrame
+) -> DataFrame:
+    """Everything known per order, one row per order id seen in any of the three sources.
+
+    The full joins keep payments and reviews of orders that cleaning dropped.
+    """
+    known = known_orders(orders, dim_customers)
     return known.join(payments_per_order(payments), "order_id", "full_outer").join(
         latest_review_per_order(reviews), "order_id", "full_outer"
     )
@@ -143,12 +147,18 @@ def build_fact_orders(
     dim_sellers: DataFrame,
     dim_products: DataFrame,
 ) -> DataFrame:
-    """One row per order item; keys that do not resolve stay null."""
+    """One row per order item; keys that do not resolve stay null.
+
+    The items are dealt by order once, and the three left joins by order keep that; payments and
+    reviews of orders that cleaning dropped still meet their items.
+    """
     seller = dim_sellers.select("seller_id", "seller_key", F.col("geo_key").alias("seller_geo_key"))
     product = dim_products.select("product_id", "product_key")
     fact = (
         order_items.select("order_id", "order_item_id", "product_id", "seller_id", "price", "freight_value")
-        .join(order_facts(orders, payments, reviews, dim_customers), "order_id", "left")
+        .join(known_orders(orders, dim_customers), "order_id", "left")
+        .join(payments_per_order(payments), "order_id", "left")
+        .join(latest_review_per_order(reviews), "order_id", "left")
         .join(seller, "seller_id", "left")
         .join(product, "product_id", "left")
         .withColumn("delivery_delta_days", F.col("delivery_days") - F.col("estimated_days"))

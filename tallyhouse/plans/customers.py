@@ -51,7 +51,7 @@ def customer_months(star: Star) -> DataFrame:
 
 def rfm_raw(star: Star, as_of: date | None = None) -> DataFrame:
     """Recency against the newest purchase of any status, distinct orders, spend."""
-    newest = star["fact_orders"].agg(F.max(date_of("date_key"))).scalar() if as_of is None else F.lit(as_of)
+    newest = star["fact_orders"].agg(F.max("date_key").alias("date_key")).select(date_of("date_key")).scalar() if as_of is None else F.lit(as_of)
     per_key = (
         delivered(star, dated=True)
         .groupBy("customer_key")

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from tallyhouse.functions.columns import money, money_sum, money_total, month_label, month_of, ratio
 from tallyhouse.plans.integrity import stack
 from tallyhouse.plans.profiling import histogram
+from tallyhouse.schemas import MONTH
 
 Tables = Mapping[str, DataFrame]
 
@@ -34,6 +35,11 @@ def _label(df: DataFrame, name: str, value: str) -> DataFrame:
     return df.select(F.lit(value).alias(name), *df.columns)
 
 
+def _modelled(df: DataFrame) -> list[str]:
+    """Columns without the month by which the fact's files are stored."""
+    return [c for c in df.columns if c != MONTH]
+
+
 def volumes(raw: Tables, star: Tables) -> DataFrame:
     """Rows and columns of the sources of each table, of the table, and their ratio."""
     parts = []
@@ -45,7 +51,7 @@ def volumes(raw: Tables, star: Tables) -> DataFrame:
             "source_rows",
             F.lit(sum(len(raw[s].columns) for s in sources)).alias("source_columns"),
             star[target].agg(_n()).scalar().alias("target_rows"),
-            F.lit(len(star[target].columns)).alias("target_columns"),
+            F.lit(len(_modelled(star[target]))).alias("target_columns"),
         )
         parts.append(one)
     return stack(parts).withColumn("ratio", F.round(ratio(F.col("source_rows"), F.col("target_rows")), 1))
@@ -131,7 +137,7 @@ def lineage(raw: Tables, star: Tables) -> DataFrame:
     """Columns kept, lost and gained per table, with the non-null values found behind each."""
     parts = []
     for target, sources in SOURCES.items():
-        here = star[target].columns
+        here = _modelled(star[target])
         there = dict.fromkeys(c for s in sources for c in raw[s].columns)
         for s in sources:
             fates = {c: "kept" if c in here else "lost" for c in raw[s].columns}
