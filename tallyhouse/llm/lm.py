@@ -7,9 +7,11 @@ collected but its ``HEAD`` most frequent words, chosen by a histogram of counts.
 Model: a word is one of ``CLASSES`` classes, the end of a text, one of the most frequent words, or
 "rare". The log-bilinear network predicts a class from the two before it: the context vectors,
 each scaled by its position, are added and multiplied with the vectors of all classes. It is
-trained on the driver by noise-contrastive estimation over a bounded sample of training texts, with
-the classes' unigram distribution as noise. Afterwards batched matrix products over all pairs of
-context classes give exact normalisers, so the scores are proper log-probabilities. A rare word
+trained by noise-contrastive estimation on all training texts: (context, class) pairs are counted
+inside the tasks, summed by Spark and staged as one row per context of two classes, and every step
+adds up the gradient over all of them in one Spark job. The classes' unigram distribution is the
+noise; its expectation is exact, no noise is drawn. Afterwards batched matrix products over all pairs
+of context classes give exact normalisers, so the scores are proper log-probabilities. A rare word
 is spelt by its own share within the rare class, from the corpus counts, where all unseen words share
 one more count: P(word | rare) = (c + 1) / (N_rare + V_rare + 1).
 
@@ -20,12 +22,12 @@ Words are known by a 64-bit hash of their bytes.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
+from pyspark import Broadcast, TaskContext
 from pyspark.sql import DataFrame, functions as F
 
 from tallyhouse.llm.shared import column, fold, runs, ship, stage, utf8
@@ -35,8 +37,12 @@ from tallyhouse.llm.textarrays import word_hashes, word_spans
 HEAD = 1 << 20
 CLASSES = 512
 DIMENSION = 24
-#: Training texts of the network, those with the smallest hashes of their ids.
-SAMPLE = 1200
+#: Gradient steps of an epoch, each over all contexts.
+STEPS = 8
+#: Counted (context, class) pairs up to which the driver adds up the same gradient itself, without a Spark job a step.
+LOCAL = 1 << 17
+#: Contexts of one dense block.
+_BLOCK = 512
 #: Hash that stands for the end of a text.
 END = np.uint64(0x5E0D5E0D5E0D5E0D)
 _LOWER = np.arange(256, dtype=np.uint8)
@@ -103,6 +109,18 @@ class Model:
         at = np.minimum(np.searchsorted(self.words, hashes), len(self.words) - 1)
         return at, self.words[at] == hashes
 
+    @property
+    def size(self) -> int:
+        """Number of classes."""
+        return len(self.first)
+
+    def numbers(self, hashes: np.ndarray) -> np.ndarray:
+        """Class of each token."""
+        if not len(self.words):
+            return np.where(hashes == END, 0, self.size - 1)
+        at, there = self.look_up(hashes)
+        return np.where(there, self.classes[at], np.where(hashes == END, 0, self.size - 1))
+
     def class_logs(self, classes: np.ndarray, before: np.ndarray) -> np.ndarray:
         """Natural log-probability of each token's class in its text; classes outside a text are the end."""
         end = np.int64(0)
@@ -116,47 +134,63 @@ class Model:
         return self.first[two, classes] + self.second[one, classes] - self.normaliser[two, one]
 
 
-def learn(streams: list[np.ndarray], classes: int, dimension: int = DIMENSION, noise: int = 8, epochs: int = 3, batch: int = 512, rate: float = 0.15, seed: int = 5) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def contexts(classes: np.ndarray, before: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct (class before last, class before, class) of texts as one number each, and how often; the end pads the front."""
+    starts = before[:-1][np.diff(before) > 0]
+    one, two = np.zeros(len(classes), np.int64), np.zeros(len(classes), np.int64)
+    one[1:], two[2:] = classes[:-1], classes[:-2]
+    one[starts] = two[starts] = 0
+    two[starts[starts + 1 < len(two)] + 1] = 0
+    return np.unique((two * size + one) * size + classes, return_counts=True)
+
+
+def gradient(parameters: list[np.ndarray], noise: np.ndarray, context: np.ndarray, owner: np.ndarray, target: np.ndarray, n: np.ndarray) -> list[np.ndarray]:
+    """Gradient of the contrastive loss over contexts; ``owner``, ``target``, ``n``: the classes counted behind each.
+
+    ``noise`` is the expected number of noise words of each class for one token.
+    """
+    r, q, scale, b = parameters
+    out = [np.zeros_like(x) for x in parameters]
+    starts = np.searchsorted(owner, np.arange(0, len(context) + _BLOCK, _BLOCK))
+    vectors, bias, noise = q.astype(np.float32), (b - np.log(noise)).astype(np.float32), noise.astype(np.float32)
+    for k, lo, hi in zip(range(0, len(context), _BLOCK), starts[:-1], starts[1:]):
+        c2, c1 = np.divmod(context[k : k + _BLOCK], len(b))
+        seen = np.zeros((len(c2), len(b)), np.float32)
+        seen[owner[lo:hi] - k, target[lo:hi]] = n[lo:hi]
+        predicted = (scale[0] * r[c2] + scale[1] * r[c1]).astype(np.float32)
+        # With x = exp(score) / noise: every noise word pushes down by x / (1 + x), every seen one up by 1 / (1 + x).
+        push = predicted @ vectors.T
+        push += bias
+        np.clip(push, -60, 60, out=push)
+        np.exp(push, out=push)
+        down = seen.sum(1)[:, None] * noise
+        down *= push
+        down -= seen
+        push += 1
+        down /= push
+        back = (down @ vectors).astype(np.float64)
+        out[1] += down.T @ predicted
+        out[3] += down.sum(0)
+        np.add.at(out[0], c2, back * scale[0])
+        np.add.at(out[0], c1, back * scale[1])
+        out[2] += np.stack([(back * r[c2]).sum(0), (back * r[c1]).sum(0)])
+    return out
+
+
+def descend(share: np.ndarray, summed: Callable[[list[np.ndarray], np.ndarray], list[np.ndarray]], dimension: int = DIMENSION, noise: int = 8, epochs: int = 3, rate: float = 0.1, seed: int = 5) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Log-bilinear parameters by noise-contrastive estimation, as tables of both positions, and the normalisers.
 
-    ``streams`` are texts as class numbers, each with its end (class 0), which also pads the front.
+    ``share`` is the distribution of classes; ``summed`` gives the mean gradient over all tokens.
     """
-    rng = np.random.Generator(np.random.Philox(seed))
-    r = rng.normal(0, 0.1, (classes, dimension))
-    q = rng.normal(0, 0.1, (classes, dimension))
-    scale = np.ones((2, dimension))
-    padded = [np.concatenate([[0, 0], s]) for s in streams if len(s)]
-    two, one, target = (np.concatenate([p[k : len(p) - 2 + k] for p in padded]) if padded else np.zeros(0, np.int64) for k in range(3))
-    share = (np.bincount(target, minlength=classes) + 1.0) / (len(target) + classes)
-    log_noise, b, steps = np.log(noise * share), np.log(share), np.cumsum(share)
-    moments = [np.full(x.shape, 1e-6) for x in (r, q, scale, b)]
-
-    def descend(x: np.ndarray, seen: np.ndarray, gradient: np.ndarray) -> None:
-        seen += gradient * gradient
-        x -= rate * gradient / np.sqrt(seen)
-
-    for _ in range(epochs):
-        order = rng.permutation(len(target))
-        for k in range(0, len(order), batch):
-            own = order[k : k + batch]
-            c2, c1, w = two[own], one[own], target[own]
-            fake = np.minimum(np.searchsorted(steps, rng.random(noise * 8)), classes - 1)  # shared by the batch
-            predicted = scale[0] * r[c2] + scale[1] * r[c1]
-            true = (predicted * q[w]).sum(1) + b[w] - log_noise[w]
-            false = predicted @ q[fake].T + b[fake] - log_noise[fake]
-            g_true = 1 / (1 + np.exp(-true)) - 1
-            g_false = 1 / (1 + np.exp(-false)) / 8
-            g_pred = g_true[:, None] * q[w] + g_false @ q[fake]
-            g_q, g_b, g_r = np.zeros_like(q), np.zeros_like(b), np.zeros_like(r)
-            np.add.at(g_q, w, g_true[:, None] * predicted)
-            np.add.at(g_q, fake, g_false.T @ predicted)
-            np.add.at(g_b, w, g_true)
-            np.add.at(g_b, fake, g_false.sum(0))
-            np.add.at(g_r, c2, g_pred * scale[0])
-            np.add.at(g_r, c1, g_pred * scale[1])
-            g_scale = np.stack([(g_pred * r[c2]).sum(0), (g_pred * r[c1]).sum(0)])
-            for x, seen, gradient in zip((r, q, scale, b), moments, (g_r, g_q, g_scale, g_b)):
-                descend(x, seen, gradient / len(own))
+    rng, classes = np.random.Generator(np.random.Philox(seed)), len(share)
+    parameters = [rng.normal(0, 0.1, (classes, dimension)), rng.normal(0, 0.1, (classes, dimension)), np.ones((2, dimension)), np.log(share)]
+    mean, square = [np.zeros_like(x) for x in parameters], [np.zeros_like(x) for x in parameters]
+    for step in range(1, epochs * STEPS + 1):
+        for x, m, v, g in zip(parameters, mean, square, summed(parameters, noise * share)):
+            m += 0.1 * (g - m)
+            v += 0.01 * (g * g - v)
+            x -= rate * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.99**step)) + 1e-8)
+    r, q, scale, b = parameters
     first, second = (scale[0] * r) @ q.T, (scale[1] * r) @ q.T + b
     normaliser = np.empty((classes, classes))
     for k in range(classes):  # one product-sized block per class before last
@@ -166,8 +200,83 @@ def learn(streams: list[np.ndarray], classes: int, dimension: int = DIMENSION, n
     return first, second, normaliser
 
 
-def fit(training: DataFrame, head: int = HEAD, classes: int = CLASSES, sample: int = SAMPLE) -> tuple[Model, DataFrame]:
-    """The model and the staged counts (word, n) of ``training`` (id, text)."""
+def learn(streams: list[np.ndarray], classes: int, **options) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """``descend`` over texts in memory, given as class numbers, each with its end (class 0)."""
+    flat = np.concatenate([np.zeros(0, np.int64), *streams])
+    keys, n = contexts(flat, np.cumsum([0, *map(len, streams)]), classes)
+    context, owner = np.unique(keys // classes, return_inverse=True)
+    share = (np.bincount(keys % classes, n, classes) + 1.0) / (len(flat) + classes)
+    return descend(share, lambda p, noise: [g / max(len(flat), 1) for g in gradient(p, noise, context, owner, keys % classes, n)], **options)
+
+
+def count_contexts(rows: DataFrame, held: Broadcast) -> DataFrame:
+    """context, seen (class, n) of the texts of ``rows`` (one text column), staged."""
+
+    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        size = held.value.size
+        kept: list[tuple[np.ndarray, np.ndarray]] = []
+
+        def merged() -> tuple[np.ndarray, np.ndarray]:
+            keys, which = np.unique(np.concatenate([k for k, _ in kept]), return_inverse=True)
+            return keys, np.bincount(which, np.concatenate([n for _, n in kept])).astype(np.int64)
+
+        def out() -> pa.RecordBatch:
+            keys, n = merged()
+            kept.clear()
+            return pa.RecordBatch.from_arrays([pa.array((keys // size).astype(np.int32)), pa.array((keys % size).astype(np.int32)), pa.array(n)], ["context", "class", "n"])
+
+        for batch in batches:
+            for lo, hi in runs(batch.column(0), 8_000_000):
+                hashes, before = token_hashes(batch.column(0)[lo:hi])
+                kept.append(contexts(held.value.numbers(hashes), before, size))
+                if sum(len(k) for k, _ in kept) > 2_000_000:
+                    kept[:] = [merged()]
+                    if len(kept[0][0]) > 1_000_000:
+                        yield out()
+        if kept:
+            yield out()
+
+    summed = rows.mapInArrow(counted, "context int, class int, n long").groupBy("context", "class").agg(F.sum("n").alias("n"))
+    # A context has at most as many rows as there are classes.
+    return stage(summed.groupBy("context").agg(F.collect_list(F.struct("class", "n")).alias("seen")).sortWithinPartitions("context"), "contexts")
+
+
+def gradients(found: DataFrame, total: int) -> Callable[[list[np.ndarray], np.ndarray], list[np.ndarray]]:
+    """The ``summed`` of ``descend`` over staged contexts."""
+
+    def unpacked(context: pa.Array, seen: pa.Array) -> tuple[np.ndarray, ...]:
+        owner = np.repeat(np.arange(len(seen)), np.diff(seen.offsets.to_numpy()))
+        return context.to_numpy(), owner, *(x.to_numpy() for x in seen.flatten().flatten())
+
+    if found.agg(F.sum(F.size("seen"))).first()[0] <= LOCAL:
+        held_here = unpacked(*(c.combine_chunks() for c in found.orderBy("context").toArrow().columns))
+        return lambda parameters, noise: [g / total for g in gradient(parameters, noise, *held_here)]
+
+    def summed(parameters: list[np.ndarray], noise: np.ndarray) -> list[np.ndarray]:
+        held = found.sparkSession.sparkContext.broadcast((parameters, noise))
+
+        def partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            sums = None
+            for batch in batches:
+                own = gradient(*held.value, *unpacked(*batch.columns))
+                sums = own if sums is None else [a + b for a, b in zip(sums, own)]
+            if sums is not None:
+                yield pa.RecordBatch.from_arrays([pa.array([np.concatenate([x.ravel() for x in sums]).tobytes()])], ["sums"])
+
+        got = found.mapInArrow(partial, "sums binary").toArrow()["sums"].to_pylist()  # a row a task, as long as the parameters
+        held.destroy()
+        flat = np.sum([np.frombuffer(x) for x in got], axis=0) / total
+        ends = np.cumsum([x.size for x in parameters])
+        return [x.reshape(p.shape) for x, p in zip(np.split(flat, ends[:-1]), parameters)]
+
+    return summed
+
+
+def fit(training: DataFrame, head: int = HEAD, classes: int = CLASSES, sample: int | None = None) -> tuple[Model, DataFrame]:
+    """The model and the staged counts (word, n) of ``training`` (id, text).
+
+    A ``sample`` is for trials: the network then learns only from the texts with so many of the smallest hashes of ids.
+    """
     ship(training.sparkSession)
     counts = stage(count_words(training.select("text")), "words")
     sums = counts.agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("v")).first()
@@ -179,8 +288,8 @@ def fit(training: DataFrame, head: int = HEAD, classes: int = CLASSES, sample: i
         if taken + row["v"] > head:
             break
         taken, least = taken + row["v"], row["least"]
-    found = counts.where(F.col("n") >= (least if least is not None else 2**62)).toArrow()  # at most ``head`` rows
-    words, n = found["word"].to_numpy().view(np.uint64), found["n"].to_numpy()
+    head_words = counts.where(F.col("n") >= (least if least is not None else 2**62)).toArrow()  # at most ``head`` rows
+    words, n = head_words["word"].to_numpy().view(np.uint64), head_words["n"].to_numpy()
     order = np.argsort(words)
     words, n = words[order], n[order]
     number = np.full(len(words), classes - 1, np.int64)
@@ -190,29 +299,24 @@ def fit(training: DataFrame, head: int = HEAD, classes: int = CLASSES, sample: i
     number[words == END] = 0
     own = int(n[number < classes - 1].sum())
     rare = (total - own) + (distinct - int((number < classes - 1).sum())) + 1
-    model = Model(words, n, number, total, distinct, rare, *[np.zeros((0, 0))] * 3)
-
-    draw = F.xxhash64("id", F.lit(13))
-    drawn = [r[0] for r in training.select(draw.alias("draw")).orderBy("draw").limit(sample).collect()]
-    streams: list[np.ndarray] = []
-    if drawn:
-        held = training.sparkSession.sparkContext.broadcast(model)
-
-        def numbered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                hashes, before = token_hashes(batch.column(1))
-                at, there = held.value.look_up(hashes)
-                numbers = np.where(there, held.value.classes[at], classes - 1).astype(np.int16)
-                yield pa.RecordBatch.from_arrays([batch.column(0), pa.ListArray.from_arrays(pa.array(before, pa.int32()), pa.array(numbers))], ["draw", "numbers"])
-
-        got = training.where(draw <= drawn[-1]).select(draw.alias("draw"), "text").mapInArrow(numbered, "draw long, numbers array<short>").limit(2 * sample).toArrow()
-        pairs = sorted(zip(got["draw"].to_pylist(), (x.values.to_numpy() for x in got["numbers"])), key=lambda p: (p[0], len(p[1])))
-        streams = [x.astype(np.int64) for _, x in pairs]
-    first, second, normaliser = learn(streams, classes)
+    model = Model(words, n, number, total, distinct, rare, *[np.zeros((classes, 0))] * 3)
+
+    texts = training
+    if sample is not None:
+        draw = F.xxhash64("id", F.lit(13))
+        drawn = [r[0] for r in training.select(draw.alias("draw")).orderBy("draw").limit(sample).collect()]
+        texts = training.where(draw <= drawn[-1]) if drawn else training
+    found = count_contexts(texts.select("text"), training.sparkSession.sparkContext.broadcast(model))
+    share = np.zeros(classes)
+    for row in found.select(F.inline("seen")).groupBy("class").agg(F.sum("n").alias("n")).collect():
+        share[row["class"]] = row["n"]
+    tokens = int(share.sum())
+    share = (share + 1.0) / (tokens + classes)
+    first, second, normaliser = descend(share, gradients(found, tokens)) if tokens else learn([], classes)
     return Model(words, n, number, total, distinct, rare, *(x.astype(np.float32) for x in (first, second, normaliser))), counts
 
 
-def score(docs: DataFrame, head: int = HEAD, classes: int = CLASSES, sample: int = SAMPLE, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def score(docs: DataFrame, head: int = HEAD, classes: int = CLASSES, sample: int | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score of every row.
 
     Null and empty texts have one token, their end. Repeated rows count and are scored one by
@@ -231,11 +335,7 @@ def score(docs: DataFrame, head: int = HEAD, classes: int = CLASSES, sample: int
             for lo, hi in runs(batch.column(1), 4_000_000):
                 hashes, before = token_hashes(batch.column(1)[lo:hi])
                 at, there = model.look_up(hashes)
-                if not len(model.words):
-                    numbers, log = np.full(len(hashes), classes - 1), np.zeros(len(hashes))
-                else:
-                    numbers, log = np.where(there, model.classes[at], classes - 1), np.where(there, logs[at], 0.0)
-                numbers[hashes == END] = 0
+                numbers, log = model.numbers(hashes), np.where(there, logs[at], 0.0) if len(model.words) else np.zeros(len(hashes))
                 rare = numbers == classes - 1
                 by = model.class_logs(numbers, before).astype(np.float64) / np.log(10) + np.where(rare, log - np.log10(model.rare), 0.0)
                 owner = np.repeat(np.arange(hi - lo), np.diff(before))

@@ -196,6 +196,20 @@ def test_learning_finds_a_pattern():
     assert np.exp(logs[3]) > 0.9
 
 
+@pytest.mark.parametrize("local", [1 << 17, 0])
+def test_every_training_text_is_learnt_from(documents, spark, monkeypatch, local):
+    monkeypatch.setattr(lm, "LOCAL", local, raising=False)
+    ids = [i for i in range(1800) if part(i, 7) != 2]
+    drawn = {r.id: r.draw for r in spark.createDataFrame([(i,) for i in ids], "id long").selectExpr("id", "xxhash64(id, 13) draw").collect()}
+    late = set(sorted(ids, key=drawn.get)[1200:])
+    assert len(late) > 300
+    rows = [(i, "la li lu " * 4 if i in late else "lu li la " * 4) for i in ids]
+    model, _ = lm.fit(documents(rows).selectExpr("doc_id id", "text"), classes=6)
+    la, li, lu = model.classes[model.look_up(lm.token_hashes(pa.array(["la li lu"]))[0])[0]][:3]
+    after = np.exp(model.first[la] + model.second[li] - model.normaliser[la, li])
+    assert after[lu] > 0.8
+
+
 def test_no_texts_to_learn_from(documents):
     only = [i for i in range(60) if part(i, 7) == 2][:3]
     got = lm.score(documents([(i, "a b") for i in only]), classes=8).collect()
