@@ -1,8 +1,8 @@
 """Toxicity by the nearest labelled examples under exact TF-IDF cosine.
 
 Terms are words and their first 3 to 7 bytes, lower-cased, so that a family of word forms shares
-terms. The vocabulary is the ``TERMS`` terms whose presence depends most on the label (chi squared,
-more frequent in toxic texts); document frequencies and weights come from the examples, a
+terms. The vocabulary is every term whose presence depends on the label (chi squared of at least
+``DEPENDS``, more frequent in toxic texts); document frequencies and weights come from the examples, a
 bounded sample of labelled training rows: those with the ``EXAMPLES`` smallest hashes of
 their ids.
 
@@ -28,7 +28,6 @@ from tallyhouse.llm.shared import column, fold, runs, ship, stage, utf8
 from tallyhouse.llm.textarrays import mix, word_hashes
 
 EXAMPLES = 20_000
-TERMS = 256
 NEIGHBOURS = 25
 BLOCK = 64
 PREFIXES = (3, 4, 5, 6, 7)
@@ -63,12 +62,22 @@ class Index:
     idf: np.ndarray
     ids: np.ndarray  # of the examples, in blocks
     toxic: np.ndarray
-    weights: np.ndarray  # blocks x BLOCK x terms
+    ends: np.ndarray  # of each block's weights, from 0
+    row: np.ndarray  # example in its block, place and weight of every weight
+    place: np.ndarray
+    weight: np.ndarray
     most: np.ndarray  # blocks x terms
     empty: float  # probability without any term
     steps: np.ndarray  # calibration: votes and probabilities
     values: np.ndarray
 
+    @property
+    def weights(self) -> np.ndarray:
+        """All weights as blocks x BLOCK x terms."""
+        out = np.zeros((len(self.most), BLOCK, len(self.terms)))
+        out[np.repeat(np.arange(len(self.most)), np.diff(self.ends)), self.row, self.place] = self.weight
+        return out
+
     def vectors(self, hashes: np.ndarray, owner: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
         """(text, places, unit TF-IDF weights) of every text with a term of the vocabulary."""
         if not len(self.terms):
@@ -85,11 +94,14 @@ class Index:
     def nearest(self, place: np.ndarray, value: np.ndarray, k: int = NEIGHBOURS, without: int = -1) -> tuple[np.ndarray, np.ndarray]:
         """The k examples of highest cosine (above 0), ties by place; ``without`` leaves one example out."""
         bound = self.most[:, place] @ value
+        query = np.zeros(len(self.terms))
+        query[place] = value
         best, who, least = np.zeros(0), np.zeros(0, np.int64), 0.0
         for block in np.argsort(-bound, kind="stable"):
             if bound[block] <= 0 or (len(best) == k and bound[block] < least - 1e-9):
                 break
-            cosine = self.weights[block][:, place] @ value
+            own = slice(self.ends[block], self.ends[block + 1])
+            cosine = np.bincount(self.row[own], self.weight[own] * query[self.place[own]], BLOCK)
             own = np.flatnonzero(cosine > 0)
             best, who = np.append(best, cosine[own]), np.append(who, own + block * BLOCK)
             if without >= 0:
@@ -127,17 +139,18 @@ def build(ids: np.ndarray, toxic: np.ndarray, hashes: list[np.ndarray], terms: n
     """The index over examples given by the term hashes (with repeats) of each."""
     order = np.argsort(terms)
     terms, idf = terms[order], np.log((1 + len(ids)) / (1 + seen[order])) + 1
-    index = Index(terms, idf, ids, toxic, np.zeros((0, BLOCK, len(terms))), np.zeros((0, len(terms))), 0.0, np.zeros(0), np.zeros(0))
+    index = Index(terms, idf, ids, toxic, np.zeros(1, np.int64), *[np.zeros(0, np.int64)] * 2, np.zeros(0), np.zeros((0, len(terms))), 0.0, np.zeros(0), np.zeros(0))
     owner = np.repeat(np.arange(len(hashes)), [len(h) for h in hashes])
     found = list(index.vectors(np.concatenate(hashes) if hashes else np.zeros(0, np.uint64), owner))
     # Examples with the same heaviest term lie together, so that block maxima tell blocks apart.
     found.sort(key=lambda f: (int(f[1][np.argmax(f[2])]), len(f[1]), f[0]))
     number = -(-len(found) // BLOCK)
-    index.weights = np.zeros((number * BLOCK, len(terms)))
-    for k, (_, place, value) in enumerate(found):
-        index.weights[k, place] = value
-    index.weights = index.weights.reshape(number, BLOCK, len(terms))
-    index.most = index.weights.max(1) if number else index.most
+    if found:
+        example = np.repeat(np.arange(len(found)), [len(place) for _, place, _ in found])
+        index.row, index.place, index.weight = example % BLOCK, np.concatenate([f[1] for f in found]), np.concatenate([f[2] for f in found])
+        index.ends = np.searchsorted(example, np.arange(number + 1) * BLOCK)
+        index.most = np.zeros((number, len(terms)))
+        np.maximum.at(index.most, (example // BLOCK, index.place), index.weight)
     mine = [text for text, _, _ in found]
     index.ids, index.toxic = ids[mine], toxic[mine].astype(float)
     rest = np.setdiff1d(np.arange(len(ids)), mine)
@@ -181,7 +194,7 @@ def fit(docs: DataFrame, labels: DataFrame, examples: int = EXAMPLES, parts: int
     c, d = F.lit(p) - a, F.lit(n - p) - b
     chi = F.lit(n) * F.pow(a * d - b * c, F.lit(2)) / F.greatest((a + b) * (c + d) * (a + c) * (b + d), F.lit(1e-9))
     counted = rows.select("text", "toxic").mapInArrow(presence, "term long, bad long, seen long").groupBy("term").agg(F.sum("bad").alias("bad"), F.sum("seen").alias("seen"))
-    top = counted.withColumn("chi", chi).where((F.col("chi") >= DEPENDS) & (a * F.lit(n) > F.col("seen") * F.lit(p))).orderBy(F.desc("chi"), "term").limit(TERMS).collect()
+    top = counted.withColumn("chi", chi).where((F.col("chi") >= DEPENDS) & (a * F.lit(n) > F.col("seen") * F.lit(p))).orderBy(F.desc("chi"), "term").collect()  # bounded by the examples
     terms = np.array([r["term"] for r in top], np.int64).view(np.uint64)
     seen = np.array([r["seen"] for r in top], np.float64)
     held_terms = np.sort(terms)

@@ -145,6 +145,16 @@ def test_neighbours_equal_a_full_scan(judged):
         assert who[0] not in without
 
 
+def test_every_telling_term_is_kept(documents, spark, prose):
+    ids = [i for i in range(1500) if part(i, 5)][:1000]
+    words = [f"zq{k:03d}" for k in range(320)]
+    rows = [(d, prose(d, 12) + " " + " ".join(words[(i // 10 * 20 + j) % 320] for j in range(20)) if i % 10 == 0 else prose(d, 30)) for i, d in enumerate(ids)]
+    labels = spark.createDataFrame([(d, 1, int(i % 10 == 0)) for i, d in enumerate(ids)], "doc_id long, quality int, toxic int")
+    index = toxicity.fit(documents(rows), labels)
+    hashes = toxicity.text_terms(pa.array([" ".join(words)]))[0]
+    assert np.isin(hashes[: len(words)], index.terms).all()
+
+
 def test_isotonic_is_monotone():
     x, y = isotonic = toxicity.isotonic(np.array([0.1, 0.2, 0.3, 0.3, 0.8, 0.9]), np.array([0, 1, 0, 0, 1, 1.0]))
     assert (np.diff(x) > 0).all() and (np.diff(y) >= 0).all() and len(isotonic) == 2
