@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallyhouse.llm import embeddings, extraction, language, lm, mixing, neardup, packing, quality, tokens, toxicity
+from tallyhouse.llm import clusters, codes, embeddings, extraction, language, lm, mixing, neardup, packing, quality, tokens, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -78,3 +78,13 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("op3_html_extraction")
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extraction.extract(read(spark, sf_dir, "pages"))
+
+
+@register("op12_vector_codes")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return codes.compress(read(spark, sf_dir, "embeddings"))
+
+
+@register("op13_centroid_clusters")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return clusters.cluster(read(spark, sf_dir, "embeddings"))

@@ -88,9 +88,55 @@ taken AS (SELECT *, CASE WHEN size > 0 THEN epochs::BIGINT + (first OR second)::
 SELECT doc_id, size, source_size, target, (copies * size)::BIGINT AS taken, copies::BIGINT AS copies FROM taken
 """
 
+def floors(scale: int) -> str:
+    return f"list_transform(embedding, lambda x: floor(greatest(least({scale}.0::DOUBLE * x::DOUBLE, 134217728.0::DOUBLE), -134217728.0::DOUBLE)))"
+
+
+FINITE = "embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0"
+
+
+def rounds(number: int, parts: str, start: str) -> str:
+    """Tables near_0 .. near_<number> (rid, part, entry, d) and book_0 .. book_<number> (part, entry, c).
+
+    ``parts`` has rid, part and v, ``start`` part, entry and c, all components as whole doubles: their
+    products are exact. The nearest entry is the least of distance and index as one number.
+    """
+    out = [f"book_0 AS MATERIALIZED ({start})"]
+    for k in range(number + 1):
+        out.append(f"""best_{k} AS MATERIALIZED (SELECT rid, part, min(1000::HUGEINT * (list_inner_product(v, v) - 2 * list_inner_product(v, c) + list_inner_product(c, c))::BIGINT + entry) AS m
+            FROM {parts} JOIN book_{k} USING (part) GROUP BY rid, part),
+            near_{k} AS MATERIALIZED (SELECT rid, part, (m % 1000)::INT AS entry, (m // 1000)::BIGINT AS d FROM best_{k})""")
+        if k < number:
+            out.append(f"""sums_{k} AS (SELECT part, entry, i, sum(x::BIGINT)::BIGINT AS s, count(*) AS n FROM (SELECT part, entry, unnest(v) AS x, unnest(range(len(v))) AS i
+                FROM near_{k} JOIN {parts} USING (rid, part)) GROUP BY ALL),
+                means_{k} AS (SELECT part, entry, list(((s - ((s % n) + n) % n) // n)::DOUBLE ORDER BY i) AS mean FROM sums_{k} GROUP BY ALL),
+                book_{k + 1} AS MATERIALIZED (SELECT part, entry, coalesce(mean, c) AS c FROM book_{k} LEFT JOIN means_{k} USING (part, entry))""")
+    return ",\n".join(out)
+
+
+CODES = f"""
+WITH whole AS MATERIALIZED (SELECT row_number() OVER () AS rid, vec_id, label, {floors(1024)} AS v, len(embedding) // 4 AS w FROM embeddings WHERE {FINITE}),
+parts AS MATERIALIZED (SELECT rid, part, list_slice(v, part * w + 1, part * w + w) AS v FROM whole, (SELECT unnest(range(4)) AS part)),
+chosen AS (SELECT rid, row_number() OVER (ORDER BY vec_id NULLS LAST, v) - 1 AS entry FROM whole QUALIFY entry < 256),
+{rounds(4, "parts", "SELECT part, entry, v AS c FROM chosen JOIN parts USING (rid)")},
+books AS (SELECT sha256(string_agg(array_to_string(c::BIGINT[], ','), ',' ORDER BY part, entry)) AS codebooks_sha256 FROM book_4),
+coded AS (SELECT rid, string_agg(printf('%02x', entry), '' ORDER BY part) AS code, sum(d)::BIGINT AS error FROM near_4 GROUP BY rid)
+SELECT vec_id, code, error, (sum(error) OVER (PARTITION BY label))::BIGINT AS label_error, codebooks_sha256 FROM whole JOIN coded USING (rid), books
+"""
+
+CLUSTERS = f"""
+WITH whole AS MATERIALIZED (SELECT row_number() OVER () AS rid, 0 AS part, vec_id, {floors(256)} AS v FROM embeddings WHERE {FINITE} AND len(embedding) = 64),
+chosen AS (SELECT rid, row_number() OVER (ORDER BY sha256('2:' || coalesce(vec_id::VARCHAR, '')), v) - 1 AS entry FROM whole QUALIFY entry < 40),
+{rounds(5, "whole", "SELECT part, entry, v AS c FROM chosen JOIN whole USING (rid)")}
+SELECT vec_id, entry AS cluster, d AS distance, (sum(d) OVER (PARTITION BY entry))::BIGINT AS cluster_inertia, (sum(d) OVER ())::BIGINT AS inertia,
+    sha256(array_to_string(c::BIGINT[], ',')) AS centroid_sha256 FROM whole JOIN near_5 USING (rid, part) JOIN book_5 USING (part, entry)
+"""
+
 SQL: dict[str, str] = {
     "op1_quality_rules": QUALITY,
     "op5_minhash_near_dedup": NEAR,
     "op7_embedding_near_dedup": VECTORS,
     "op10_mixing": MIX,
+    "op12_vector_codes": CODES,
+    "op13_centroid_clusters": CLUSTERS,
 }
