@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallyhouse.llm import clusters, codes, embeddings, extraction, language, lm, mixing, neardup, packing, quality, tokens, toxicity
+from tallyhouse.llm import clusters, codes, embeddings, extraction, language, lm, mixing, neardup, packing, quality, tokens, toxicity, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -88,3 +88,8 @@ def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("op13_centroid_clusters")
 def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
     return clusters.cluster(read(spark, sf_dir, "embeddings"))
+
+
+@register("op11_warc")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.archive(read(spark, sf_dir, "pages"))

@@ -132,11 +132,24 @@ SELECT vec_id, entry AS cluster, d AS distance, (sum(d) OVER (PARTITION BY entry
     sha256(array_to_string(c::BIGINT[], ',')) AS centroid_sha256 FROM whole JOIN near_5 USING (rid, part) JOIN book_5 USING (part, entry)
 """
 
+def base32(hexadecimal: str) -> str:
+    """Base32 of 40 hexadecimal digits: five digits make four characters."""
+    return f"""array_to_string(list_transform(range(32), lambda k: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+        ((('0x' || substr({hexadecimal}, (k // 4 * 5 + 1)::INT, 5))::INT >> (15 - k % 4 * 5)::INT) & 31) + 1, 1)), '')"""
+
+
+WARC = f"""
+WITH whole AS (SELECT page_id, coalesce(html, '') AS payload, min(page_id) OVER (PARTITION BY coalesce(html, '')) AS first FROM pages)
+SELECT page_id, octet_length(encode(payload))::BIGINT AS payload_bytes, {base32("sha1(payload)")} AS payload_digest,
+    CASE WHEN page_id IS DISTINCT FROM first THEN 'revisit' ELSE 'response' END AS record_type, CASE WHEN page_id IS DISTINCT FROM first THEN first END AS refers_to FROM whole
+"""
+
 SQL: dict[str, str] = {
     "op1_quality_rules": QUALITY,
     "op5_minhash_near_dedup": NEAR,
     "op7_embedding_near_dedup": VECTORS,
     "op10_mixing": MIX,
+    "op11_warc": WARC,
     "op12_vector_codes": CODES,
     "op13_centroid_clusters": CLUSTERS,
 }
