@@ -23,9 +23,9 @@ from pyspark.sql import DataFrame, functions as F
 from tallyhouse.llm.shared import column, ship, stage
 from tallyhouse.llm.whole import finite, floors, long_sum, matrix, moved, sums_by
 
-PARTS, ENTRIES, ROUNDS, SCALE, PIVOTS = 4, 256, 4, 1024, 8
+PARTS, ENTRIES, ROUNDS, SCALE, PIVOTS = 4, 256, 4, 1024, 16
 #: Rows of one step of the search, and shares of a label in the last join.
-ROWS, SHARES = 2048, 16
+ROWS, SHARES = 256, 16
 #: Distances are square roots in doubles; bounds are lowered by this share of the largest distance.
 _SLACK = 1e-9
 
@@ -65,7 +65,7 @@ def nearest(rows: np.ndarray, near: np.ndarray, entries: np.ndarray, between: np
         i, j = np.nonzero(low[open_, at:to] <= np.sqrt(best[open_])[:, None])
         gaps = rows[open_[i]] - entries[tried[i, j]]
         found = np.full(tried.shape, np.iinfo(np.int64).max)
-        found[i, j] = (gaps * gaps).sum(1)
+        found[i, j] = np.einsum("ij,ij->i", gaps, gaps)
         evaluated += len(i)
         least = found.min(1)
         index = np.where(found == least[:, None], tried, len(entries)).min(1)
