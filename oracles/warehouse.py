@@ -149,7 +149,11 @@ add(
     "s order_id, " + ", ".join(f"s {c}" for c in STAMPS),
     "SELECT order_id, " + ", ".join(f"{stamp(f'TRY_CAST({x} AS TIMESTAMP)')} AS {c}" for c, x in STAMPS.items()) + " FROM raw_orders",
 )
-add("c3_strip_strings", "b doc_id, s text", f"SELECT doc_id, {strip('text')} AS text FROM documents")
+add(
+    "c3_strip_strings",
+    "b doc_id, s text, s lang, s source, b n_chars",
+    f"SELECT doc_id, {strip('text')} AS text, {strip('lang')} AS lang, {strip('source')} AS source, n_chars FROM documents",
+)
 add(
     "c4_normalise_geography",
     "s x_city, s x_state, s x_zip_code_prefix",

@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
-from functools import reduce
+from functools import partial, reduce
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from tallyhouse.functions.columns import at_least, clamp, pad_zip, strip, title_case
 from tallyhouse.operators.groups import group_medians, group_modes
+from tallyhouse.operators.staging import at_once, stage
 from tallyhouse.schemas import ORDER_STATUSES, ORDER_TIMESTAMPS, PAYMENT_TYPES
 
 PRODUCT_MEASURES = (
@@ -34,7 +35,7 @@ class CleaningLog:
 
     def table(self) -> DataFrame:
         """measure, n: one row per counter."""
-        parts = [df.select(F.lit(label).alias("measure"), "n") for label, df in self._counters.items()]
+        parts = [df.select(F.lit(label).alias("measure"), "n") for label, df in sorted(self._counters.items())]
         return reduce(DataFrame.unionByName, parts)
 
     def counts(self) -> dict[str, int]:
@@ -45,10 +46,19 @@ class CleaningLog:
 
 
 def drop_full_duplicates(df: DataFrame, log: CleaningLog | None = None, label: str = "rows") -> DataFrame:
+    """Distinct whole rows.
+
+    With a log they are staged with their multiplicities, so that rows in and rows distinct are
+    sums over the written table, which also serves whatever reads the result.
+    """
     if log is None:
         return df.dropDuplicates()
-    before = log.watch(df, f"{label} in", F.count(F.lit(1)))
-    return log.watch(before.dropDuplicates(), f"{label} distinct", F.count(F.lit(1)))
+    copies = "copies"
+    while copies in df.columns:
+        copies += "_"
+    counted = stage(df.groupBy(*[F.col(f"`{c}`") for c in df.columns]).agg(F.count(F.lit(1)).alias(copies)), "distinct")
+    log.watch(counted, f"{label} in", F.coalesce(F.sum(copies), F.lit(0)))
+    return log.watch(counted, f"{label} distinct", F.count(F.lit(1))).drop(copies)
 
 
 def parse_timestamps(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -132,9 +142,13 @@ def clean_products(df: DataFrame, translation: DataFrame, log: CleaningLog | Non
 
 
 def impute_medians(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Fill nulls with the column's median over the whole table (left null if there is none)."""
-    medians = group_medians(df, [], columns).select(F.struct(*columns)).scalar()
-    return df.withColumns({c: F.coalesce(c, medians.getField(c)) for c in columns})
+    """Fill nulls with the column's median over the whole table (left null if there is none).
+
+    The table is staged, as medians are selected in several passes over it.
+    """
+    held = stage(df, "imputed")
+    found = group_medians(held, [], columns).first()  # one row
+    return held.withColumns({c: F.coalesce(c, F.lit(found[c] if found else None).cast("double")) for c in columns})
 
 
 def clean_category_translation(df: DataFrame, log: CleaningLog | None = None) -> DataFrame:
@@ -157,8 +171,13 @@ CLEANERS: dict[str, tuple[Callable[..., DataFrame], tuple[str, ...]]] = {
 
 
 def clean_all(raw: Mapping[str, DataFrame], log: CleaningLog | None = None) -> dict[str, DataFrame]:
-    """Clean every dataset; a cleaner receives the cleaned datasets it depends on."""
-    done: dict[str, DataFrame] = {}
-    for name, (cleaner, needs) in CLEANERS.items():
-        done[name] = cleaner(raw[name], *[done[n] for n in needs], log=log)
-    return done
+    """Clean every dataset; a cleaner receives the cleaned datasets it depends on.
+
+    What cleaners stage, they stage at once.
+    """
+    inputs, done = {name: raw[name] for name in CLEANERS}, {}
+    for depends in (False, True):
+        names = [n for n, (_, needs) in CLEANERS.items() if bool(needs) == depends]
+        clean = lambda n: CLEANERS[n][0](inputs[n], *[done[d] for d in CLEANERS[n][1]], log=log)
+        done |= zip(names, at_once([partial(clean, n) for n in names]))
+    return {n: done[n] for n in CLEANERS}

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, functions as F
 from tallyhouse.functions.columns import date_key, days_between, money_sum
 from tallyhouse.operators.groups import latest_per_group
 from tallyhouse.operators.ranking import Ranking, asc, rank_all
-from tallyhouse.operators.staging import stage
+from tallyhouse.operators.staging import at_once, stage
 from tallyhouse.schemas import ORDER_TIMESTAMPS, STAR
 
 DIMENSION_ORDER = ("dim_dates", "dim_geolocation", "dim_customers", "dim_sellers", "dim_products")
@@ -167,14 +167,14 @@ def build_fact_orders(
 
 
 def build_dimensions(clean: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
+    """The geography first, as others take its keys; the rest is numbered at once."""
     geo = build_dim_geolocation(clean["geolocation"])
-    return {
-        "dim_dates": build_dim_dates(clean["orders"]),
-        "dim_geolocation": geo,
-        "dim_customers": build_dim_customers(clean["customers"], geo),
-        "dim_sellers": build_dim_sellers(clean["sellers"], geo),
-        "dim_products": build_dim_products(clean["products"]),
-    }
+    customers, sellers, products = at_once([
+        lambda: build_dim_customers(clean["customers"], geo),
+        lambda: build_dim_sellers(clean["sellers"], geo),
+        lambda: build_dim_products(clean["products"]),
+    ])
+    return {"dim_dates": build_dim_dates(clean["orders"]), "dim_geolocation": geo, "dim_customers": customers, "dim_sellers": sellers, "dim_products": products}
 
 
 def build_star(clean: Mapping[str, DataFrame]) -> dict[str, DataFrame]:

@@ -9,9 +9,15 @@ from __future__ import annotations
 import re
 import tempfile
 import uuid
+from collections.abc import Callable, Sequence
+from concurrent.futures import ThreadPoolExecutor
+from typing import TypeVar
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
+Result = TypeVar("Result")
+
 SETTING = "spark.checkpoint.dir"
 #: Masters whose only executor is the driver itself.
 _ONE_PROCESS = re.compile(r"local(\[[^,\]]*(,[^,\]]*)?\])?")
@@ -46,3 +52,10 @@ def stage(df: DataFrame, name: str = "stage") -> DataFrame:
     path = staging_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def at_once(tasks: Sequence[Callable[[], Result]]) -> list[Result]:
+    """Results of independent tasks whose jobs share the cluster; the first error is raised when all have ended."""
+    inherit = inheritable_thread_target(SparkSession.active())
+    with ThreadPoolExecutor(max(1, len(tasks))) as pool:
+        return [f.result() for f in [pool.submit(inherit(t)) for t in tasks]]

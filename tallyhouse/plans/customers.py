@@ -19,7 +19,8 @@ from tallyhouse.functions.columns import (
     months_between_keys,
     ratio,
 )
-from tallyhouse.operators.ranking import Ranking, asc, desc, rank_all
+from tallyhouse.operators.ranking import asc, desc
+from tallyhouse.operators.selection import add_tiles
 from tallyhouse.plans.views import Star, delivered
 
 
@@ -81,9 +82,8 @@ def rfm_scored(star: Star, as_of: date | None = None) -> DataFrame:
 
     Fixed values: segment names and their rules, tested in this order.
     """
-    scored, person = rfm_raw(star, as_of), asc("customer_unique_id")
-    for score, key in (("r_score", desc("recency")), ("f_score", asc("frequency")), ("m_score", asc("monetary"))):
-        scored = rank_all(scored, Ranking(order=[key, person], ntiles={score: 5}))
+    axes = {"r_score": desc("recency"), "f_score": asc("frequency"), "m_score": asc("monetary")}
+    scored = add_tiles(rfm_raw(star, as_of), axes, 5, "customer_unique_id")
     r, f = F.col("r_score"), F.col("f_score")
     segment = (
         F.when((r >= 4) & (f >= 4), "Champions")
@@ -117,8 +117,7 @@ def customer_quintiles(star: Star) -> DataFrame:
         .groupBy(F.col("customer_unique_id").alias("customer_id"))
         .agg(F.sum("spent").alias("total_spent"))
     )
-    want = Ranking(order=[desc("total_spent"), asc("customer_id")], ntiles={"quintile": 5})
-    ranked = rank_all(totals, want)
+    ranked = add_tiles(totals, {"quintile": desc("total_spent")}, 5, "customer_id")
     return ranked.orderBy(F.desc("total_spent"), "customer_id")
 
 

@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame, Window as W, functions as F, types as
 
 from tallyhouse.functions.columns import ratio
 from tallyhouse.operators.groups import group_quantiles, melt
+from tallyhouse.operators.selection import double_form, quantiles
+from tallyhouse.operators.staging import stage
 from tallyhouse.plans.integrity import stack
 from tallyhouse.schemas import ORDER_TIMESTAMPS
 
@@ -59,22 +61,23 @@ def profile_all(raw: Raw) -> DataFrame:
 
 def describe_all(raw: Raw) -> DataFrame:
     """``describe`` of the numeric columns of every dataset that has any."""
-    found = {name: numeric_columns(df) for name, df in raw.items()}
-    return stack([_name(describe(raw[name], columns), "dataset", name) for name, columns in found.items() if columns])
+    return _described({name: (df, numeric_columns(df)) for name, df in raw.items()})
 
 
 def column_profile(df: DataFrame) -> DataFrame:
     """Per column: type, non-null count, distinct values, percent missing.
 
-    Cells become (column, value) pairs and are counted per distinct pair, so one shuffle
-    serves every column and none needs an expansion per distinct count.
+    Cells become (column, 128-bit fingerprint) pairs and are counted per distinct pair, in the
+    tasks first, so one shuffle serves every column and a cell weighs the same whatever its text.
     """
     types = {f.name: f.dataType.simpleString() for f in df.schema}
-    cells = melt(df, [], df.columns, "string").groupBy("column", "value").agg(_rows().alias("n"))
+    cells = melt(df, [], df.columns, "string")
     seen = F.col("value").isNotNull()
-    per_column = cells.groupBy("column").agg(
-        F.coalesce(F.sum(F.when(seen, F.col("n"))), F.lit(0)).alias("non_null"),
-        F.count_if(seen).alias("n_unique"),
+    prints = [F.when(seen, F.xxhash64(F.lit(salt), "value")).alias(f"print{salt}") for salt in (1, 2)]
+    counted = cells.select("column", seen.alias("seen"), *prints).groupBy("column", "seen", "print1", "print2").agg(_rows().alias("n"))
+    per_column = counted.groupBy("column").agg(
+        F.coalesce(F.sum(F.when(F.col("seen"), F.col("n"))), F.lit(0)).alias("non_null"),
+        F.count_if("seen").alias("n_unique"),
         F.sum("n").alias("rows"),
     )
     kind = F.lit(None).cast("string")
@@ -94,19 +97,28 @@ def describe(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
     Mean and deviation are of any magnitude, to ten significant digits; the rest is exact.
     """
-    long = melt(df, [], columns, "double")
-    stats = long.groupBy("column").agg(
+    return _described({"": (df, columns)}).drop("dataset")
+
+
+def _described(parts: Mapping[str, tuple[DataFrame, Sequence[str]]]) -> DataFrame:
+    """``describe`` of the columns of several datasets, whose quartiles are selected together."""
+    parts = {name: (df, columns) for name, (df, columns) in parts.items() if columns}
+    long = stack([_name(melt(df, [], columns, "double"), "dataset", name) for name, (df, columns) in parts.items()])
+    stats = long.groupBy("dataset", "column").agg(
         F.count("value").alias("count"),
         significant(F.avg("value")).alias("mean"),
         significant(F.stddev_samp("value")).alias("std"),
         F.min("value").alias("min"),
         F.max("value").alias("max"),
     )
-    quartiles = group_quantiles(df, [], columns, QUARTILES)
-    cells = [F.max(F.when(F.col("p") == p, F.col("value"))).alias(f"p{int(p * 100)}") for p in QUARTILES]
-    wide = quartiles.groupBy("column").agg(*cells)
-    return stats.join(wide, "column", "left").select(
-        "column", "count", "mean", "std", "min", "p25", "p50", "p75", "max"
+    names = {str(k): name for k, name in enumerate((name, c) for name, (_, columns) in parts.items() for c in columns)}
+    series = {name: k for k, name in names.items()}
+    keys = stack([double_form(df, {series[name, c]: c for c in columns}) for name, (df, columns) in parts.items()])
+    found = quantiles(keys, QUARTILES)
+    rows = [(*names[k], *[found[k, p] for p in QUARTILES]) for k in names if (k, QUARTILES[0]) in found]  # one per column
+    wide = long.sparkSession.createDataFrame(rows, "dataset string, column string, p25 double, p50 double, p75 double")
+    return stats.join(F.broadcast(wide), ["dataset", "column"], "left").select(
+        "dataset", "column", "count", "mean", "std", "min", "p25", "p50", "p75", "max"
     )
 
 
@@ -127,8 +139,8 @@ def children_per_parent(raw: Raw) -> DataFrame:
 
 
 def _size_stats(sizes: DataFrame) -> DataFrame:
-    """Statistics of a column ``n`` of group sizes."""
-    n = F.col("n")
+    """Statistics of a column ``n`` of group sizes, which is staged, as the median is selected in passes."""
+    n, sizes = F.col("n"), stage(sizes.select("n"), "sizes")
     medians = group_quantiles(sizes, [], ["n"], [0.5]).agg(F.max("value")).scalar()
     one = sizes.agg(
         _rows().alias("parents"),
@@ -208,7 +220,8 @@ def coordinate_spread(raw: Raw) -> DataFrame:
         F.round(F.stddev_samp("geolocation_lat"), 6).alias("lat_std"),
         F.round(F.stddev_samp("geolocation_lng"), 6).alias("lng_std"),
     )
-    return describe(per_zip.dropna(subset=["lat_std", "lng_std"]), ["lat_std", "lng_std"])
+    spread = stage(per_zip.select("lat_std", "lng_std").dropna(), "spread")
+    return describe(spread, ["lat_std", "lng_std"])
 
 
 def spellings_per_zip(raw: Raw) -> DataFrame:

@@ -17,7 +17,8 @@ from tallyhouse.functions.columns import (
     percent_change,
     ratio,
 )
-from tallyhouse.operators.ranking import Ranking, asc, desc, rank_all
+from tallyhouse.operators.groups import rank_within
+from tallyhouse.operators.ranking import desc
 from tallyhouse.plans.views import DELIVERED, Star, delivered, monthly_sales, with_category
 from tallyhouse.schemas import MONTH
 
@@ -216,12 +217,8 @@ def top_products_share(star: Star, limit: int = 10) -> DataFrame:
 
 def rank_in_category(star: Star) -> DataFrame:
     """All products ranked by revenue inside their category, equal revenue sharing a rank."""
-    want = Ranking(
-        order=[desc("revenue"), asc("product_id")], within=["category"], rank="rank_in_category"
-    )
-    return rank_all(product_revenue(star), want).select(
-        "category", "product_id", "revenue", "rank_in_category"
-    )
+    ranked = rank_within(product_revenue(star), ["category"], desc("revenue"), "rank_in_category")
+    return ranked.select("category", "product_id", "revenue", "rank_in_category")
 
 
 def top_products_per_category(star: Star, k: int = 3) -> DataFrame:

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window as W, functions as F
 
 from tallyhouse.functions.columns import money_sum, ratio
 from tallyhouse.operators.ranking import Ranking, asc, desc, rank_all
+from tallyhouse.operators.selection import add_tiles
 from tallyhouse.plans.sales import mean_days, mean_score
 from tallyhouse.plans.views import Star, delivered
 
@@ -102,9 +103,7 @@ AXES = {
 
 def scored_sellers(star: Star) -> DataFrame:
     """Quintile per axis, 5 is best. A seller without deliveries sorts last and so scores 5 on delay."""
-    scored = seller_metrics(star)
-    for score, key in AXES.items():
-        scored = rank_all(scored, Ranking(order=[key, asc("seller_id")], ntiles={score: 5}))
+    scored = add_tiles(seller_metrics(star), AXES, 5, "seller_id")
     return scored.withColumn("total_score", sum((F.col(c) for c in AXES), F.lit(0)))
 
 
@@ -131,7 +130,7 @@ def seller_scoring(star: Star, limit: int = 50) -> DataFrame:
 def seller_total_scores(star: Star) -> DataFrame:
     """Score of every seller over unrounded metrics, without location."""
     on_time = F.avg(F.when(F.col("delivery_delta_days") <= 0, 1.0).otherwise(0.0)) * 100
-    scored = (
+    metrics = (
         delivered(star)
         .groupBy("seller_key")
         .agg(
@@ -144,8 +143,7 @@ def seller_total_scores(star: Star) -> DataFrame:
         .join(star["dim_sellers"].select("seller_key", "seller_id"), "seller_key")
         .drop("seller_key")
     )
-    for score, key in AXES.items():
-        scored = rank_all(scored, Ranking(order=[key, asc("seller_id")], ntiles={score: 5}))
+    scored = add_tiles(metrics, AXES, 5, "seller_id")
     total = sum((F.col(c) for c in AXES), F.lit(0))
     return scored.select("seller_id", total.alias("total_score")).orderBy(F.desc("total_score"), "seller_id")
 
@@ -165,8 +163,7 @@ def top_sellers_per_state(star: Star, k: int = 3) -> DataFrame:
 
 def revenue_share_by_quintile(star: Star) -> DataFrame:
     """Share of revenue per fifth of the sellers, best fifth first."""
-    want = Ranking(order=BEST_FIRST, ntiles={"quintile": 5})
-    tiles = rank_all(seller_revenue(star), want)
+    tiles = add_tiles(seller_revenue(star), {"quintile": desc("total_revenue")}, 5, "seller_id")
     per_tile = tiles.groupBy("quintile").agg(F.sum("total_revenue").alias("segment_revenue"))
     everything = F.sum("segment_revenue").over(W.partitionBy())
     return per_tile.withColumn("pct_of_total", ratio(F.col("segment_revenue") * 100, everything)).orderBy("quintile")

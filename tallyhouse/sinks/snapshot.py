@@ -1,10 +1,13 @@
 """Publish the star schema as one checked, atomically switched snapshot.
 
-    <root>/snapshots/<id>/<table>/   Parquet, never changed after publishing; the fact by month
+    <root>/snapshots/<id>/<table>/   a dimension in Parquet, never changed after publishing
+    <root>/snapshots/<id>/months/    the months of the fact: who wrote their files, rows, fingerprint
     <root>/snapshots/<id>/sources/   the source files that the snapshot was built from
+    <root>/fact_orders/<month>/version=<id>/   rows of one month as that snapshot wrote them
     <root>/CURRENT                   id of the published snapshot
 
-A refresh writes a new snapshot, checks it, and replaces the pointer in one rename. A failed
+A month whose rows are those of the published snapshot keeps its files: a refresh writes only the
+months that changed, and snapshots share the others. A refresh writes a new snapshot, checks it, and replaces the pointer in one rename. A failed
 check or a lost job leaves the pointer, and so every reader, on the old snapshot. Old snapshots
 stay until ``expire`` is called with an age that no reader exceeds.
 """
@@ -14,10 +17,12 @@ from __future__ import annotations
 import uuid
 from collections.abc import Mapping
 from datetime import datetime, timedelta, timezone
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from tallyhouse.operators.modelling import DIMENSION_ORDER
+from tallyhouse.operators.staging import at_once
 from tallyhouse.plans.integrity import constraint_violations, stack
 from tallyhouse.plans.views import register_views
 from tallyhouse.schemas import MONTH, STAR
@@ -25,7 +30,13 @@ from tallyhouse.sources.raw import LISTING
 
 POINTER = "CURRENT"
 SOURCES = "sources"
-TABLES = (*DIMENSION_ORDER, "fact_orders")
+FACT, VERSION = "fact_orders", "version"
+TABLES = (*DIMENSION_ORDER, FACT)
+MONTHS = T.StructType([
+    T.StructField(MONTH, T.IntegerType()), T.StructField("rows", T.LongType()), T.StructField("print1", T.DecimalType(38, 0)), T.StructField("print2", T.DecimalType(38, 0)),
+    T.StructField(VERSION, T.StringType()),
+])
+_KEY_BITS = 52  # of a fact key, below the month: tasks and their rows
 
 
 class PublishError(Exception):
@@ -42,27 +53,59 @@ def conform(df: DataFrame, table: str) -> DataFrame:
     return df.select([F.col(f.name).cast(f.dataType) for f in STAR[table]])
 
 
-def write_tables(star: Mapping[str, DataFrame], folder: str) -> None:
-    """Dimensions first, then the fact, written once.
+def write_dimensions(star: Mapping[str, DataFrame], folder: str) -> None:
+    at_once([partial(conform(star[name], name).write.mode("overwrite").parquet, f"{folder}/{name}") for name in DIMENSION_ORDER])
+
+
+def month_prints(fact: DataFrame) -> DataFrame:
+    """Rows and additive fingerprints per month; the stored key is no content."""
+    cells = [F.col(f.name) for f in STAR[FACT] if f.name != "fact_key"]
+    prints = [F.sum(F.xxhash64(F.lit(salt), *cells).cast("decimal(38,0)")).alias(f"print{salt}") for salt in (1, 2)]
+    return fact.groupBy(MONTH).agg(F.count(F.lit(1)).alias("rows"), *prints)
 
-    The fact is clustered by month, in tasks of even size that adaptive execution makes of large and
-    small months, and sorted by day inside files. Its key is unique: the task's number and the
-    row's place in the task.
-    """
-    for name in DIMENSION_ORDER:
-        conform(star[name], name).write.mode("overwrite").parquet(f"{folder}/{name}")
-    fact = star["fact_orders"].drop("fact_key").withColumn(MONTH, F.floor(F.col("date_key") / 100).cast("int"))
-    fact = fact.hint("rebalance", F.col(MONTH)).sortWithinPartitions(MONTH, "date_key")
-    fact = fact.withColumn("fact_key", F.monotonically_increasing_id() + 1)
-    keyed = fact.select(*[F.col(f.name).cast(f.dataType) for f in STAR["fact_orders"]], MONTH)
-    keyed.write.mode("overwrite").partitionBy(MONTH).parquet(f"{folder}/fact_orders")
 
+def write_fact(fact: DataFrame, root: str, snapshot: str, published: DataFrame | None) -> DataFrame:
+    """Write the months that ``published`` does not hold with the same rows; returns all months with the version that holds them.
 
-def read_tables(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
-    """The tables of a snapshot; the fact has its month as a last column, by which files are pruned."""
-    schemas = {name: STAR[name] for name in TABLES}
-    schemas["fact_orders"] = T.StructType([*STAR["fact_orders"], T.StructField(MONTH, T.IntegerType())])
-    return {name: spark.read.schema(schemas[name]).parquet(f"{folder}/{name}") for name in TABLES}
+    A month is written whole, in tasks of even size that adaptive execution makes of large and
+    small months, and sorted by day inside files. Its keys are unique in the fact: the month, the
+    task's number, the row's place in the task.
+    """
+    spark, month = fact.sparkSession, F.floor(F.col("date_key") / 100).cast("int")
+    fact = fact.drop("fact_key").withColumn(MONTH, month).withColumn("fact_key", F.lit(0))
+    fact = fact.select(*[F.col(f.name).cast(f.dataType) for f in STAR[FACT]], MONTH)
+    kept = []
+    if published is not None:
+        now = {r[MONTH]: tuple(r) for r in month_prints(fact).collect()}  # a row per calendar month
+        kept = [r for r in published.collect() if now.get(r[MONTH]) == tuple(r)[: len(MONTHS) - 1]]
+        same = [r[MONTH] for r in kept if r[MONTH] is not None]
+        stays = F.when(F.col(MONTH).isNull(), F.lit(any(r[MONTH] is None for r in kept))).otherwise(F.col(MONTH).isin(same))
+        fact = fact.filter(~stays)
+    ordinal = F.coalesce((F.floor(F.col(MONTH) / 100) - 2000) * 12 + F.col(MONTH) % 100, F.lit(0)).cast("bigint")
+    dealt = fact.hint("rebalance", F.col(MONTH)).sortWithinPartitions(MONTH, "date_key")
+    keyed = dealt.withColumn("fact_key", F.shiftleft(ordinal, _KEY_BITS) + F.monotonically_increasing_id() + 1).withColumn(VERSION, F.lit(snapshot))
+    keyed.write.mode("append").partitionBy(MONTH, VERSION).parquet(f"{root}/{FACT}")
+    written = month_prints(_fact(spark, root, f"*/{VERSION}={snapshot}")).withColumn(VERSION, F.lit(snapshot))
+    return spark.createDataFrame([*kept, *written.collect()], MONTHS)
+
+
+def _fact(spark: SparkSession, root: str, *folders: str) -> DataFrame:
+    """The fact from some of its folders, without their versions; its month is the last column, by which files are pruned."""
+    schema = T.StructType([*STAR[FACT], T.StructField(MONTH, T.IntegerType()), T.StructField(VERSION, T.StringType())])
+    folder, fs = _hadoop(spark, f"{root}/{FACT}")
+    there = [f for f in folders if "*" not in f or fs.globStatus(_hadoop(spark, f"{root}/{FACT}/{f}")[0])]
+    read = spark.read.schema(schema).option("basePath", folder.toString())
+    fact = read.parquet(*[f"{root}/{FACT}/{f}" for f in there]) if there else spark.createDataFrame([], schema)
+    return fact.drop(VERSION)
+
+
+def read_tables(spark: SparkSession, root: str, snapshot: str) -> dict[str, DataFrame]:
+    """The tables of a snapshot."""
+    folder = f"{root}/snapshots/{snapshot}"
+    tables = {name: spark.read.schema(STAR[name]).parquet(f"{folder}/{name}") for name in DIMENSION_ORDER}
+    months = spark.read.schema(MONTHS).parquet(f"{folder}/months").collect()  # a row per calendar month
+    named = lambda m: "__HIVE_DEFAULT_PARTITION__" if m is None else m
+    return tables | {FACT: _fact(spark, root, *sorted(f"{MONTH}={named(r[MONTH])}/{VERSION}={r[VERSION]}" for r in months))}
 
 
 def publish(spark: SparkSession, star: Mapping[str, DataFrame], root: str, sources: DataFrame | None = None) -> str:
@@ -71,28 +114,49 @@ def publish(spark: SparkSession, star: Mapping[str, DataFrame], root: str, sourc
     ``sources`` is the listing of the files that ``star`` was read from, taken before reading.
     """
     snapshot = f"{datetime.now(timezone.utc):%Y%m%dT%H%M%S%f}-{uuid.uuid4().hex[:8]}"
-    folder = f"{root}/snapshots/{snapshot}"
+    folder, current = f"{root}/snapshots/{snapshot}", current_snapshot(spark, root)
+    published = None if current is None else spark.read.schema(MONTHS).parquet(f"{root}/snapshots/{current}/months")
     try:
         if sources is not None:
             sources.write.parquet(f"{folder}/{SOURCES}")
-        write_tables(star, folder)
-        broken = constraint_violations(read_tables(spark, folder)).filter("n_violations > 0").collect()  # one row per rule
+        write_dimensions(star, folder)
+        write_fact(star[FACT], root, snapshot, published).coalesce(1).write.parquet(f"{folder}/months")
+        broken = constraint_violations(read_tables(spark, root, snapshot)).filter("n_violations > 0").collect()  # one row per rule
         if broken:
             raise PublishError("; ".join(f"{r['check']}: {r['n_violations']}" for r in broken))
     except Exception:
         _remove(spark, folder)
+        for _, path in _versions(spark, root, snapshot):
+            _remove(spark, path)
         raise
     _switch(spark, root, snapshot)
     return snapshot
 
 
+def _versions(spark: SparkSession, root: str, snapshot: str = "*") -> list[tuple[str, str]]:
+    """(snapshot that wrote it, folder) of stored months: as many as calendar months times kept versions."""
+    pattern, fs = _hadoop(spark, f"{root}/{FACT}/{MONTH}=*/{VERSION}={snapshot}")
+    return [(s.getPath().getName().split("=")[1], s.getPath().toString()) for s in fs.globStatus(pattern) or []]
+
+
 def expire(spark: SparkSession, root: str, older_than: timedelta) -> list[str]:
-    """Remove unpublished snapshots that were written longer ago than ``older_than``; returns their ids."""
+    """Remove unpublished snapshots that were written longer ago than ``older_than``; returns their ids.
+
+    Files of a month go when they are as old and no snapshot that stays has them.
+    """
     current, limit = current_snapshot(spark, root), datetime.now(timezone.utc) - older_than
     written = lambda s: datetime.strptime(s.split("-")[0], "%Y%m%dT%H%M%S%f").replace(tzinfo=timezone.utc)
-    old = [s for s in snapshots(spark, root) if s != current and written(s) < limit]
+    everything = snapshots(spark, root)
+    old = [s for s in everything if s != current and written(s) < limit]
+    stay = [f"{root}/snapshots/{s}/months" for s in everything if s not in old]
+    present = [p for p in stay if _hadoop(spark, p)[1].exists(_hadoop(spark, p)[0])]
+    used = {tuple(r) for r in spark.read.schema(MONTHS).parquet(*present).select(MONTH, VERSION).distinct().collect()} if present else set()
     for s in old:
         _remove(spark, f"{root}/snapshots/{s}")
+    for s, path in _versions(spark, root):
+        month = path.rstrip("/").split("/")[-2].split("=")[1]
+        if s != current and written(s) < limit and (int(month) if month.isdecimal() else None, s) not in used:
+            _remove(spark, path)
     return old
 
 
@@ -140,7 +204,7 @@ def read_star(spark: SparkSession, root: str, views: bool = False) -> dict[str,
     snapshot = current_snapshot(spark, root)
     if snapshot is None:
         raise PublishError(f"nothing published at {root}")
-    star = read_tables(spark, f"{root}/snapshots/{snapshot}")
+    star = read_tables(spark, root, snapshot)
     if views:
         register_views(star)
     return star

@@ -1,4 +1,5 @@
 import datetime
+import os
 
 import pytest
 from conftest import ROWS, rows
@@ -131,7 +132,7 @@ def test_unknown_dataset_and_missing_file(spark, tmp_path):
 def test_load_all_and_manifest(spark, folder):
     loaded = sources.load_all_raw(spark, folder)
     assert set(loaded) == set(RAW)
-    got = {r.dataset: r for r in sources.manifest(spark, folder).collect()}
+    got = {r.dataset: r for r in sources.manifest_totals(sources.manifest(spark, folder)).collect()}
     assert {n: r.rows for n, r in got.items()} == {n: len(v) for n, v in ROWS.items()}
     assert all(r.bytes > 0 and r.checksum for r in got.values())
 
@@ -235,3 +236,93 @@ def test_staged_tables_live_in_the_shared_folder(spark):
     assert path.startswith(staging.shared_dir(spark))
     staged = staging.stage(spark.range(10).filter("id > 3"))
     assert staged.count() == 6 and "Range" not in staged._jdf.queryExecution().executedPlan().toString()
+
+
+def test_an_unchanged_month_keeps_its_files(spark, built, tmp_path):
+    root = str(tmp_path)
+    files = lambda: {f.split("/fact_orders/")[1] for f in snapshot.read_star(spark, root)["fact_orders"].inputFiles()}
+    first = snapshot.publish(spark, built, root)
+    before, old = files(), snapshot.read_star(spark, root)
+    held = rows(old["fact_orders"])
+    one_day = built["fact_orders"].withColumn("price", F.when(F.col("date_key") == 20180220, 77.0).otherwise(F.col("price")))
+    second = snapshot.publish(spark, {**built, "fact_orders": one_day}, root)
+    after = files()
+    assert {f for f in before if "order_month=201801" in f} < after
+    assert {f.split("version=")[1].split("/")[0] for f in after - before} == {second}
+    assert all("order_month=201802" in f for f in after ^ before)
+    new = snapshot.read_star(spark, root)["fact_orders"]
+    assert sorted(r.price for r in new.collect()) == [77.0, 100.0, 200.0]
+    assert len({r.fact_key for r in new.collect()}) == 3
+    assert rows(old["fact_orders"]) == held  # a reader of the old snapshot goes on
+    assert snapshot.expire(spark, root, datetime.timedelta(0)) == [first]
+    assert rows(snapshot.read_star(spark, root)["fact_orders"]) == rows(new)
+    assert files() == after and not [p for p in tmp_path.rglob(f"order_month=201802/version={first}")]
+
+
+def test_months_that_come_and_go(spark, built, tmp_path):
+    """A month without rows is in no later snapshot, one without date is a month of its own, a failed publish leaves no files."""
+    root, fact = str(tmp_path), built["fact_orders"]
+    snapshot.publish(spark, built, root)
+    snapshot.publish(spark, {**built, "fact_orders": fact.filter("date_key < 20180201")}, root)
+    assert snapshot.read_star(spark, root)["fact_orders"].count() == 2
+    undated = fact.withColumn("date_key", F.when(F.col("date_key") < 20180201, F.col("date_key")))
+    for _ in range(2):
+        snapshot.publish(spark, {**built, "fact_orders": undated}, root)
+        assert sorted(rows(snapshot.read_star(spark, root)["fact_orders"].select(MONTH)), key=str) == [(201801,), (201801,), (None,)]
+    with pytest.raises(snapshot.PublishError):
+        snapshot.publish(spark, {**built, "fact_orders": undated.withColumn("price", F.lit(-1.0))}, root)
+    kept = {v for v, _ in snapshot._versions(spark, root)}
+    assert kept <= set(snapshot.snapshots(spark, root))
+    assert len(snapshot._versions(spark, root)) == 3  # both first months, and the undated one
+
+
+def test_empty_fact_is_published(spark, built, tmp_path):
+    snapshot.publish(spark, {**built, "fact_orders": built["fact_orders"].filter("false")}, str(tmp_path))
+    assert snapshot.read_star(spark, str(tmp_path))["fact_orders"].count() == 0
+
+
+def test_known_files_are_not_read_again(spark, folder):
+    first = sources.manifest(spark, folder)
+    path = f"{folder}/x_orders_dataset.csv"
+    stamp, text = os.stat(path), open(path).read()
+
+    def rewrite(content):
+        """Other content under the same length and time."""
+        with open(path, "w") as f:
+            f.write(content)
+        os.utime(path, ns=(stamp.st_atime_ns, stamp.st_mtime_ns))
+
+    rewrite(text.replace("delivered", "DELIVERED"))
+    os.rename(f"{folder}/x_sellers_dataset.csv", f"{folder}/x2_sellers_dataset.csv")
+    with open(f"{folder}/y late_sellers_dataset.csv", "w") as f:
+        f.write("seller_id,seller_zip_code_prefix,seller_city,seller_state\ns9,1234,sao paulo,sp\n")
+    files = {"sellers": "*_sellers_dataset.csv"}
+    second = sources.manifest(spark, folder, files, known=first)
+    old, new = ({(r.dataset, r.path.split("/")[-1]): (r.rows, r.checksum) for r in m.collect()} for m in (first, second))
+    assert new["orders", "x_orders_dataset.csv"] == old["orders", "x_orders_dataset.csv"]
+    assert ("sellers", "x_sellers_dataset.csv") not in new and new["sellers", "y late_sellers_dataset.csv"][0] == 1
+    assert new["sellers", "x2_sellers_dataset.csv"] == old["sellers", "x_sellers_dataset.csv"]
+    rewrite(text)
+    totals = lambda known: rows(sources.manifest_totals(sources.manifest(spark, folder, files, known=known)))
+    assert totals(None) == totals(second) == rows(sources.manifest_totals(second))
+
+
+def test_reviews_come_in_files_of_bounded_size(spark, folder, monkeypatch):
+    monkeypatch.setattr(sources, "WHOLE", 10)
+    with pytest.raises(sources.SourceError, match="order_reviews"):
+        sources.load_raw_csv(spark, folder, "order_reviews")
+    assert sources.load_raw_csv(spark, folder, "orders").count() == 2
+
+
+def test_one_shuffle_per_deduplicated_dataset(spark, raw):
+    """With a log, counters and result read the staged distinct rows: no plan behind them deduplicates again."""
+    from tallyhouse.operators.cleaning import CleaningLog, clean_all
+
+    log = CleaningLog()
+    twice = {**raw, "sellers": raw["sellers"].unionByName(raw["sellers"])}
+    clean = clean_all(twice, log)
+    for name in ("customers", "sellers", "orders", "order_items", "order_payments", "order_reviews", "category_translation"):
+        plan = clean[name]._jdf.queryExecution().executedPlan().toString()
+        assert "Exchange" not in plan and "HashAggregate" not in plan, name
+    counted = log.counts()
+    assert (counted["sellers in"], counted["sellers distinct"]) == (4, 2)
