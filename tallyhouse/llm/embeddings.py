@@ -44,6 +44,11 @@ def rotation(size: int, seed: int = 17) -> np.ndarray:
     return q * np.sign(np.diag(r))
 
 
+def scaled(raw: np.ndarray) -> np.ndarray:
+    """Rows times the power of two that brings their largest component below one: exact, and no square overflows or vanishes."""
+    return np.ldexp(raw, -np.frexp(np.abs(raw).max(1))[1][:, None])
+
+
 def unit(raw: np.ndarray) -> np.ndarray:
     return raw / np.sqrt((raw * raw).sum(1))[:, None]
 
@@ -57,7 +62,7 @@ def _cells(schema_kind: str, least: float):
                 own = np.flatnonzero(lengths == size)
                 part = batch.take(pa.array(own))
                 raw = np.frombuffer(b"".join(part.column(1).to_pylist()), schema_kind).reshape(len(own), size).astype(np.float64)
-                turned = unit(raw) @ turns.setdefault(size, rotation(size))
+                turned = unit(scaled(raw)) @ turns.setdefault(size, rotation(size))
                 for k, (a, b, budget) in enumerate(blocks(size, least)):
                     step = np.sqrt(budget) * (1 + 1e-6)
                     x = np.floor(turned[:, a] / step).astype(np.int32)
@@ -75,7 +80,7 @@ def _linked(kind: str, least: float):
         turns: dict[int, np.ndarray] = {}
 
         def opened(items: pa.Array, size: int):
-            raw = np.frombuffer(b"".join(items.field("raw").to_pylist()), kind).reshape(len(items), size).astype(np.float64)
+            raw = scaled(np.frombuffer(b"".join(items.field("raw").to_pylist()), kind).reshape(len(items), size).astype(np.float64))
             lengths = np.sqrt((raw * raw).sum(1))
             return (
                 items.field("rep").to_numpy(zero_copy_only=False), items.field("print").to_numpy(zero_copy_only=False),
@@ -142,7 +147,8 @@ def near_duplicates(vectors: DataFrame, least: float = 0.9, id_col: str = "vec_i
     A vector that is null, empty, zero or holds null or non-finite components links with nothing and
     is its own component; so does a row without id, whose component is null and which is kept.
     Vectors of different sizes never link. Repeated rows are vectors of their own, and rows with
-    one id share a component. An empty table gives no rows. Extra columns are ignored.
+    one id share a component. Finite components of any size are compared alike, as a row's scale
+    does not matter. An empty table gives no rows. Extra columns are ignored.
     """
     ship(vectors.sparkSession)
     element = vectors.schema[vector_col].dataType.elementType
