@@ -35,9 +35,11 @@ ROWS = 4
 WORDS = 5
 #: Members of a band that are compared as one block.
 BLOCK = 256
-#: Agreeing slots that a pair outside the centres needs for the exact comparison: of two texts at 0.8, one
-#: pair in 10,000 has fewer, less than the bands miss.
-AGREE = 39
+#: Shingles of about one such block, or one longer text.
+PACK = 200_000
+#: Agreeing slots that a pair outside the centres needs for the exact comparison: of pairs at 0.8, fewer than one
+#: in 10^8 agree in less, against two in 10^4 that meet in no band.
+AGREE = 30
 _GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -233,7 +235,7 @@ def classes(docs: DataFrame, percent: int = 80, id_col: str = "doc_id", text_col
     reps = stage(reps.withColumn("rep", F.monotonically_increasing_id()), "reps")  # numbers of distinct texts
 
     bands = F.array(*[F.xxhash64(F.substring("signature", 4 * ROWS * k + 1, 4 * ROWS), F.lit(k)) for k in range(SLOTS // ROWS)])
-    met = reps.select("rep", F.posexplode(bands).alias("nth", "band"))
+    met = reps.select("rep", "n_shingles", F.posexplode(bands).alias("nth", "band"))
     sizes = met.groupBy("band").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     # A text has one row a band, so the window's groups are bounded by the number of bands.
     met = met.join(sizes, "band").withColumn("centre", F.sum("n").over(Window.partitionBy("rep"))).drop("n")
@@ -256,8 +258,9 @@ def classes(docs: DataFrame, percent: int = 80, id_col: str = "doc_id", text_col
     near = near.join(far, "b", "left").select(F.col("a").alias("rep"), F.coalesce("c", "b").alias("component"))
     placed = stage(met.join(near, "rep", "left").withColumn("component", F.coalesce("component", "rep")), "placed")
     main = F.max(F.struct("centre", (-F.col("rep")).alias("low"), "component")).alias("main")
-    bands = placed.groupBy("band").agg(F.min("component").alias("x"), F.max("component").alias("y"), F.count(F.lit(1)).alias("n"), main).where("x <> y and n > 2")
-    bands = bands.select("band", F.col("main.component").alias("main"), F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks"))
+    bands = placed.groupBy("band").agg(F.min("component").alias("x"), F.max("component").alias("y"), F.count(F.lit(1)).alias("n"), F.sum("n_shingles").alias("size"), main).where("x <> y and n > 2")
+    blocks = F.greatest(F.ceil(F.col("n") / BLOCK), F.ceil(F.col("size") / PACK)).cast("int")
+    bands = bands.select("band", F.col("main.component").alias("main"), blocks.alias("blocks"))
 
     # There, those outside the centre's class against all, in blocks, so that no band is one task's work.
     left = placed.join(bands, "band").withColumn("minor", F.col("component") != F.col("main"))

@@ -183,5 +183,20 @@ def test_a_close_pair_is_within_a_share():
         assert near or x @ y < 0.9
 
 
+def test_components_of_any_finite_size(spark):
+    """From 1e-320 to 1e300: as scaled rows by all pairs; no square overflows or vanishes."""
+    rng, rows = np.random.default_rng(8), [(0, [1e200, 0.0, 1e200]), (1, [2e200, 0.0, 2e200]), (2, [1e-200, 2e-200, 0.0]), (3, [5e-324, 0.0, 5e-324]), (4, [1.7e308, 1.7e308, -1.7e308])]
+    for k in range(60):
+        base = rng.normal(size=3)
+        rows += [(100 + 2 * k, (base * 10.0 ** rng.integers(-300, 300)).tolist()), (101 + 2 * k, ((base + 0.1 * rng.normal(size=3)) * 10.0 ** rng.integers(-300, 300)).tolist())]
+    got = {r.vec_id: r for r in embeddings.near_duplicates(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).collect()}
+    unit = [np.array(v) / np.abs(v).max() for _, v in rows]
+    unit = [v / np.linalg.norm(v) for v in unit]
+    near = lambda x, y: x @ y >= 0.9
+    for k, (i, _) in enumerate(rows):
+        assert got[i].n_links == sum(near(unit[k], unit[j]) for j in range(len(rows)) if j != k)
+    assert got[1].component_id == got[3].component_id == 0
+
+
 def test_no_vectors(spark):
     assert embeddings.near_duplicates(spark.createDataFrame([], "vec_id long, embedding array<float>")).collect() == []
