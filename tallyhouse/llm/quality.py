@@ -7,9 +7,13 @@ stratum, the language, from labelled documents:
 
 * For each cutoff, ``k`` of the stratum's ``n`` good documents would be rejected. The cutoff is
   certified if a true rejection rate of ``alpha`` would show ``k`` or fewer with a probability of
-  at most ``delta`` divided by the number of tests (Bonferroni over strata and cutoffs). That is the
-  exact one-sided binomial (Clopper and Pearson) bound, so with probability 1 - delta no chosen
-  cutoff rejects more than ``alpha`` of a stratum's good documents.
+  at most ``delta`` divided by the number of strata. That is the exact one-sided binomial (Clopper
+  and Pearson) bound. Cutoffs are nested and tested from the highest down, in an order fixed before
+  the data, and the first that fails ends a stratum's tests; so cutoffs need no correction among
+  themselves, strata are corrected by Bonferroni, and with probability 1 - delta no chosen cutoff
+  rejects more than ``alpha`` of a stratum's good documents.
+* The trials are distinct documents: an id counts once in a stratum, with its worst severity, and
+  as bad if any of its labels says so, however often its row or its label is repeated.
 * Among certified cutoffs the one that separates bad from good best is used; a stratum without any
   keeps all that the base rules keep.
 
@@ -112,7 +116,8 @@ def cutoffs(scored: DataFrame, labels: DataFrame, alpha: float = 0.01, delta: fl
     rows a stratum, whatever the number of labels.
     """
     known = labels.select(column(labels, "doc_id", "long").alias("doc_id"), column(labels, "quality", "int").alias("quality")).where("quality in (0, 1)")
-    seen = scored.join(known, "doc_id").groupBy("stratum", "severity").agg(
+    trials = scored.join(known, "doc_id").groupBy("stratum", "doc_id").agg(F.max("severity").alias("severity"), F.min("quality").alias("quality"))
+    seen = trials.groupBy("stratum", "severity").agg(
         F.count(F.when(F.col("quality") == 1, 1)).alias("good"), F.count(F.when(F.col("quality") == 0, 1)).alias("bad")
     )
     # One row a stratum with its histogram as a map, then one row a cutoff.
@@ -125,7 +130,8 @@ def cutoffs(scored: DataFrame, labels: DataFrame, alpha: float = 0.01, delta: fl
         total("good", F.lit(0)).alias("n"), total("good", F.col("cutoff")).alias("k"),
         total("bad", F.lit(0)).alias("m"), total("bad", F.col("cutoff")).alias("hits"),
     )
-    number = by.agg((F.count(F.lit(1)) * LEVELS).alias("tests"))  # one row
+    number = by.agg(F.count(F.lit(1)).alias("tests"))  # one row
+    # k grows as the cutoff falls, so the tails do: what passes here is what passes before the first failure.
     certified = tests.crossJoin(F.broadcast(number)).where(binomial_tail(F.col("n"), F.col("k"), alpha) * F.col("tests") <= delta)
     gain = F.col("hits") / F.greatest(F.col("m"), F.lit(1)) - 5 * F.col("k") / F.greatest(F.col("n"), F.lit(1))
     best = F.max(F.struct(gain.alias("gain"), F.col("cutoff"))).alias("best")
@@ -157,7 +163,7 @@ def quality_rules(docs: DataFrame, labels: DataFrame, alpha: float = 0.01, delta
     """doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, kept, severity, cutoff per row.
 
     Null and empty texts have no words and fail the base rules. Repeated rows give repeated
-    results, a label row counts once per row of its document, a null stratum is a stratum, tables
+    results, repeated label rows change nothing, a null stratum is a stratum, tables
     without labels certify nothing, an empty table gives no rows. Extra columns are ignored.
     """
     judged, names = _judged(docs, labels, [], alpha, delta, id_col, text_col, stratum_col)

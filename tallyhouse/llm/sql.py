@@ -27,13 +27,13 @@ features AS (SELECT c.rid, doc_id, lang, n_words, word_chars, n_symbols, (len(ls
 judged AS (SELECT *, CASE WHEN lang IS NULL THEN '-' ELSE '+' || lang END AS stratum, (n_words < 50 OR 100 * n_repeat_words > 50 * n_words) AS base_failed,
     least(20, greatest(100 * n_symbols // greatest(word_chars, 1), 20 * n_dup_lines // greatest(n_lines, 1), 40 * n_repeat_words // greatest(n_words, 1),
         40 * n_capitals // greatest(word_chars, 1), 20 * n_marks // greatest(n_words, 1)))::INT AS severity FROM features),
-labelled AS (SELECT stratum, severity, quality FROM judged JOIN labels USING (doc_id) WHERE NOT base_failed AND quality IN (0, 1)),
+labelled AS (SELECT stratum, doc_id, max(severity) AS severity, min(quality) AS quality FROM judged JOIN labels USING (doc_id) WHERE NOT base_failed AND quality IN (0, 1) GROUP BY stratum, doc_id),
 tests AS (SELECT stratum, c AS cutoff, count(*) FILTER (quality = 1) AS n, count(*) FILTER (quality = 1 AND severity >= c) AS k,
     count(*) FILTER (quality = 0) AS m, count(*) FILTER (quality = 0 AND severity >= c) AS hits FROM labelled, (SELECT unnest(range(1, 21))::INT AS c) GROUP BY ALL),
 bounded AS (SELECT *, CASE WHEN k > n * 0.01 THEN 1.0 ELSE list_sum(list_transform(range(0, k + 1),
     lambda i: exp(lgamma(n + 1) - lgamma(i + 1) - lgamma(n - i + 1) + i * ln(0.01::DOUBLE) + (n - i) * ln(0.99::DOUBLE)))) END AS tail FROM tests),
 certified AS (SELECT stratum, cutoff, hits / greatest(m, 1) - 5 * k / greatest(n, 1) AS gain FROM bounded
-    WHERE tail * 20 * (SELECT count(DISTINCT stratum) FROM labelled) <= 0.05 AND hits > 0),
+    WHERE tail * (SELECT count(DISTINCT stratum) FROM labelled) <= 0.05 AND hits > 0),
 chosen AS (SELECT stratum, cutoff FROM certified QUALIFY row_number() OVER (PARTITION BY stratum ORDER BY gain DESC, cutoff DESC) = 1)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
     (NOT base_failed AND coalesce(severity < cutoff, true)) AS kept, severity, cutoff FROM judged LEFT JOIN chosen USING (stratum)

@@ -70,7 +70,19 @@ def test_cutoffs_are_certified_per_stratum(spark):
     got = {r.stratum: r.cutoff for r in quality.cutoffs(scored, labels, alpha=0.01, delta=0.05).collect()}
     # Enough good documents in "+a"; too few in "+b"; in "-" every cutoff would reject too many.
     assert got == {"+a": 15}
-    assert tail(2000, 0, 0.01) * 3 * quality.LEVELS <= 0.05 < tail(30, 0, 0.01) * 3 * quality.LEVELS
+    assert tail(2000, 0, 0.01) * 3 <= 0.05 < tail(30, 0, 0.01) * 3
+
+
+def test_repeated_labels_certify_nothing(spark):
+    """Trials are distinct documents: repeating rows or labels changes no cutoff, and the worst of an id counts."""
+    rows = [(i, "+a", 0) for i in range(300)] + [(1000 + i, "+a", 15) for i in range(30)]
+    labels = [(i, int(i < 1000)) for i, _, _ in rows]
+    made = lambda scored, known: {r.stratum: r.cutoff for r in quality.cutoffs(spark.createDataFrame(scored, "doc_id long, stratum string, severity int"), spark.createDataFrame(known, "doc_id long, quality int")).collect()}
+    few = [r for r in rows if r[0] < 200 or r[0] >= 1000]
+    assert made(rows, labels) == {"+a": 15} and made(few, labels) == {}
+    assert made(few * 3, labels * 40) == {}
+    assert made(rows + [(0, "+a", 15)] * 50, labels) == made(rows[1:] + [(0, "+a", 15)], labels) == {}
+    assert made(rows, labels + [(i, 0) for i in range(10)]) == {}
 
 
 def test_junk_goes_and_prose_stays(documents, spark, texts):
