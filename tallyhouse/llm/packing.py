@@ -3,12 +3,12 @@
 Only how many pieces have each length matters for a packing, so the search runs over the
 histogram of lengths, which has at most ``limit`` entries however many documents there are:
 
-* Bin completion: take the largest remaining length, enumerate the undominated fillings of
-  the room beside it, apply one of them as often as the histogram allows, and go on. Branches
-  whose waste already rules out a better packing are pruned; the best-fit-decreasing packing is
-  the first incumbent, and the search ends at the lower bound or after ``nodes`` steps.
+* Bin completion: take the largest remaining length, enumerate all undominated fillings of
+  the room beside it by growing waste, apply one of them, and go on. Branches whose waste already
+  rules out a better packing are pruned; the best-fit-decreasing packing is the first incumbent,
+  and the search ends at the lower bound or after ``nodes`` steps.
 * The plan is a short list of (filling, times). Every piece gets a gapless rank among the pieces
-  of its length, spread over ``spread`` buckets so that no length has to fit in one task, and the
+  of its length, spread over ``spread`` buckets or more so that no length has to fit in one task, and the
   plan's rank ranges give its sequence and place by one join with a table bounded by the plan.
 
 Token ids are those that ``tokenizers`` gives for the vocabulary file; the merges themselves run
@@ -21,7 +21,6 @@ from __future__ import annotations
 
 import json
 import zlib
-from bisect import bisect_right
 from collections import defaultdict
 from collections.abc import Iterator
 from functools import lru_cache
@@ -33,7 +32,9 @@ from pyspark.sql import DataFrame, Window, functions as F
 from tallyhouse.llm import tokens
 from tallyhouse.llm.shared import column, ship, stage
 
-#: A filling beside the largest piece: lengths from large to small, the largest first.
+#: Steps of the search for a better packing than best fit, and pieces of one length that are ranked in one task, about.
+NODES, SHARE = 5_000, 100_000
+#: A filling: lengths from large to small, the largest piece first.
 Filling = tuple[int, ...]
 
 
@@ -139,89 +140,120 @@ def best_fit(counts: np.ndarray, limit: int) -> list[tuple[Filling, int]]:
     return [(tuple(f), n) for g in groups.values() for f, n in g]
 
 
-def fillings(counts: np.ndarray, largest: int, limit: int, width: int) -> list[Filling]:
-    """Undominated fillings around one piece of the largest length, by growing waste.
+def _dilated(sums: int, width: int) -> int:
+    """All sums (as bits) raised by 0 to ``width``."""
+    out, done = sums, 0
+    while done < width:
+        step = min(done + 1, width - done)
+        out |= out << step
+        done += step
+    return out
+
 
-    The largest piece that fits alone dominates every set whose sum is no larger, since that set
-    fits into its place; so only sets that fill more can be better. An exact fit dominates all.
+def dominated(chosen: Filling, waste: int, left: dict[int, int]) -> bool:
+    """Whether one piece still ``left`` could take the place of some of ``chosen`` (or of none) and fill no less."""
+    none, one, more = 1, 0, 0  # sums of no, one, and several of the chosen
+    for size in chosen:
+        more |= (one << size) | (more << size)
+        one |= none << size
+    free, held = 0, defaultdict(int)
+    for size in chosen:
+        held[size] += 1
+    for size, n in left.items():
+        if n > held[size]:
+            free |= 1 << size
+    if _dilated(none | more, waste) & free:
+        return True
+    return waste > 0 and bool(_dilated(one << 1, waste - 1) & free)
+
+
+def fillings(counts: np.ndarray, largest: int, limit: int, most: int) -> Iterator[tuple[Filling, int]]:
+    """All undominated fillings around one piece of the largest length with a waste of at most ``most``, by growing waste.
+
+    Depth first over the sets of each sum, larger pieces first; the sums that the pieces from a size
+    down can make, kept as bits, rule out branches that cannot reach the sum.
     """
     room = limit - largest
-    here = counts.copy()
-    here[largest] -= 1
-    present = np.flatnonzero(here[: room + 1]).tolist()
-    if not present:
-        return [(largest,)]
-    alone = present[-1]
-    found: dict[Filling, int] = {(largest, alone): room - alone}
-    if alone == room:
-        return list(found)
-
-    def fit(most: int, used: tuple[int, ...]) -> int:
-        """Largest length up to ``most`` that is still there beside those used."""
-        k = bisect_right(present, most)
-        while k:
-            size = present[k - 1]
-            if here[size] > used.count(size):
-                return size
-            k -= 1
-        return 0
-
-    exact = False
-    for a in reversed(present):
-        b = fit(min(a, room - a), (a,))
-        if not b:
-            continue
-        if a + b > alone:
-            found[(largest, a, b)] = room - a - b
-            exact = exact or a + b == room
-        if a + b < room:
-            c = fit(min(b, room - a - b), (a, b))
-            if c and a + b + c > alone:
-                found[(largest, a, b, c)] = room - a - b - c
-                rest = room - a - b - c
-                more: Filling = (a, b, c)
-                while rest and (d := fit(min(more[-1], rest), more)):
-                    more, rest = (*more, d), rest - d
-                if len(more) > 3:
-                    found[(largest, *more)] = rest
-        if exact and len(found) >= width:
-            break
-    return sorted(found, key=lambda f: (found[f], len(f), [-x for x in f]))[:width]
-
-
-def complete(counts: np.ndarray, limit: int, nodes: int = 20_000, width: int = 3) -> list[tuple[Filling, int]]:
+    left = {int(s): int(counts[s]) - int(s == largest) for s in np.flatnonzero(counts[: room + 1])[::-1]}
+    left = {s: n for s, n in left.items() if n and s}
+    if room in left:  # alone it dominates all others
+        yield (largest, room), 0
+        return
+    sizes, full = list(left), (1 << (room + 1)) - 1
+    reach = [1] * (len(sizes) + 1)
+    for i in range(len(sizes) - 1, -1, -1):
+        sums, n, k = reach[i + 1], min(left[sizes[i]], room // sizes[i]), 1
+        while n:
+            step = min(k, n)
+            sums |= (sums << (step * sizes[i])) & full
+            n, k = n - step, 2 * k
+        reach[i] = sums
+
+    def sets(i: int, rest: int) -> Iterator[Filling]:
+        if not rest:
+            yield ()
+            return
+        while i < len(sizes) and reach[i] >> rest & 1:
+            size = sizes[i]
+            for n in range(min(left[size], rest // size), 0, -1):
+                if reach[i + 1] >> (rest - n * size) & 1:
+                    for more in sets(i + 1, rest - n * size):
+                        yield (size,) * n + more
+            i += 1
+
+    for waste in range(min(room, most) + 1):
+        for chosen in sets(0, room - waste):
+            if not dominated(chosen, waste, left):
+                yield (largest, *chosen), waste
+
+
+def complete(counts: np.ndarray, limit: int, nodes: int = NODES) -> list[tuple[Filling, int]]:
     """Fillings and how often each is used; together they use every piece exactly once.
 
-    ``nodes`` bounds the search. Beyond it the best packing found so far stands, so the result is
-    always complete and never worse than best fit.
+    Depth first: around the largest piece left, every undominated filling is tried, as often as
+    it goes at once and, on other branches, once. Bins around pieces of one length are made in the order of
+    their fillings. ``nodes`` bounds the search; beyond it the best packing found so far stands, so
+    the result is always complete and never worse than best fit.
     """
     best = best_fit(counts, limit)
     bins = sum(n for _, n in best)
     bound, volume = lower_bound(counts, limit), int((counts * np.arange(limit + 1)).sum())
-    stack = [(counts.copy(), None, 0, 0)] if bins > bound else []
+
+    def children(left: np.ndarray, steps: tuple | None, used: int, waste: int, last: tuple) -> Iterator[tuple]:
+        largest = int(np.flatnonzero(left)[-1])
+        for filling, more in fillings(left, largest, limit, (bins - 1) * limit - volume - waste):
+            order = (more, [-x for x in filling])
+            if last and last[0] == largest and order < last[1]:
+                continue
+            need = defaultdict(int)
+            for size in filling:
+                need[size] += 1
+            times = min(int(left[size]) // n for size, n in need.items())
+            for t in {times: 0, 1: 0}:
+                after = left.copy()
+                for size, n in need.items():
+                    after[size] -= n * t
+                yield after, ((filling, t), steps), used + t, waste + t * more, (largest, order)
+
+    stack = [children(counts.copy(), None, 0, 0, ())] if bins > bound and counts.any() else []
     while stack and nodes:
+        node = next(stack[-1], None)
+        if node is None:
+            stack.pop()
+            continue
         nodes -= 1
-        left, steps, used, waste = stack.pop()
+        left, steps, used, waste, _ = node
         if waste > (bins - 1) * limit - volume:
             continue
-        sizes = np.flatnonzero(left)
-        if not len(sizes):
-            best, bins = [], used
-            while steps is not None:
-                best.append(steps[0])
-                steps = steps[1]
-            if bins <= bound:
-                break
+        if left.any():
+            stack.append(children(*node))
             continue
-        for filling in reversed(fillings(left, int(sizes[-1]), limit, width)):
-            need = defaultdict(int)
-            for size in filling:
-                need[size] += 1
-            times = min(int(left[size]) // n for size, n in need.items())
-            after = left.copy()
-            for size, n in need.items():
-                after[size] -= n * times
-            stack.append((after, ((filling, times), steps), used + times, waste + times * (limit - sum(filling))))
+        best, bins = [], used
+        while steps is not None:
+            best.append(steps[0])
+            steps = steps[1]
+        if bins <= bound:
+            break
     return best
 
 
@@ -240,7 +272,7 @@ def segments(plan: list[tuple[Filling, int]]) -> list[tuple[int, int, int, int,
     return out
 
 
-def pack(docs: DataFrame, path: str, limit: int = 1024, end_id: int = 2, spread: int = 256, nodes: int = 20_000, keep_ids: bool = False, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def pack(docs: DataFrame, path: str, limit: int = 1024, end_id: int = 2, spread: int = 256, nodes: int = NODES, keep_ids: bool = False, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Every piece of every document with its sequence and place in it.
 
     Null and empty texts give one piece with the end id alone. Repeated rows and rows with a
@@ -251,6 +283,7 @@ def pack(docs: DataFrame, path: str, limit: int = 1024, end_id: int = 2, spread:
     counts = np.zeros(limit + 1, np.int64)
     for row in pieces.groupBy("length").count().collect():  # at most ``limit`` rows
         counts[row["length"]] = row["count"]
+    spread = max(spread, int(counts.max()) // SHARE)
     table = segments(complete(counts, limit, nodes))
     plan = spark.createDataFrame(table, "size long, first long, ranks long, uses long, sequence long, at long")
 

@@ -1,3 +1,4 @@
+import random
 """Token counts and packing against the library and exhaustive search."""
 
 import itertools
@@ -118,3 +119,57 @@ def test_pieces_round_trip(documents, odd, path, limit):
 def test_empty_tables(documents, path):
     assert tokens.count_tokens(documents([]), path).collect() == []
     assert packing.pack(documents([]), path).collect() == []
+
+
+def fewest(sizes, limit):
+    """Bins of a best packing, by trying every place for every piece."""
+    best, bins = len(sizes), []
+
+    def go(i):
+        nonlocal best
+        if len(bins) >= best:
+            return
+        if i == len(sizes):
+            best = len(bins)
+            return
+        for k in {b: k for k, b in enumerate(bins) if b + sizes[i] <= limit}.values():
+            bins[k] += sizes[i]
+            go(i + 1)
+            bins[k] -= sizes[i]
+        bins.append(sizes[i])
+        go(i + 1)
+        bins.pop()
+
+    go(0)
+    return best
+
+
+def test_bin_completion_finds_the_optimum():
+    rng, better = random.Random(5), 0
+    for _ in range(300):
+        limit = rng.choice([10, 20, 50, 100])
+        sizes = sorted((rng.randint(1, limit if rng.random() < 0.5 else max(1, limit // 2)) for _ in range(rng.randint(3, 11))), reverse=True)
+        counts = np.bincount(sizes, minlength=limit + 1)
+        plan = packing.complete(counts, limit)
+        assert (sum(n * np.bincount(f, minlength=limit + 1) for f, n in plan) == counts).all() and all(sum(f) <= limit for f, _ in plan)
+        assert sum(n for _, n in plan) == fewest(sizes, limit)
+        better += sum(n for _, n in packing.best_fit(counts, limit)) > fewest(sizes, limit)
+    assert better
+
+
+def test_every_undominated_filling_is_there():
+    counts = np.bincount([90, 5, 4, 3, 2], minlength=101)
+    found = [f for f, _ in packing.fillings(counts, 90, 100, 100)]
+    assert found[0] == (90, 5, 3, 2) and (90, 4, 3, 2) not in found
+    for seed in range(30):
+        rng = random.Random(seed)
+        sizes = [rng.randint(1, 20) for _ in range(7)]
+        counts = np.bincount([30, *sizes], minlength=51)
+        got = {tuple(f[1:]): w for f, w in packing.fillings(counts, 30, 50, 50)}
+        sets = {tuple(sorted((s for k, s in enumerate(sizes) if m >> k & 1), reverse=True)) for m in range(1 << len(sizes))}
+        left = {s: sizes.count(s) for s in sizes}
+        fitting = {s: 20 - sum(s) for s in sets if sum(s) <= 20}
+        if 20 in left:
+            assert got == {(20,): 0}
+        else:
+            assert got == {s: w for s, w in fitting.items() if not packing.dominated(s, w, left)}
