@@ -1,8 +1,8 @@
 """Language identification: sparse multinomial logistic regression on TF-IDF character n-grams.
 
 Every whole text becomes counts of its hashed 1- to 3-grams of lower-case letters, where any run
-of other characters counts as one blank. A bounded sample of labelled training rows, the ``sample``
-smallest hashes of their ids, is turned into vectors by Spark; the model is trained on the driver
+of other characters counts as one blank. A bounded sample of labelled training rows, of each language those
+with the smallest hashes of their ids and texts, is turned into vectors by Spark; the model is trained on the driver
 by follow-the-regularised-leader with L1 and L2 penalties, and a temperature fitted on a part
 of the sample that training has not seen turns its outputs into probabilities. Scoring is a
 map over all rows with the model broadcast; its size is bounded by ``buckets`` times the
@@ -18,12 +18,13 @@ from functools import lru_cache
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from tallyhouse.llm.shared import column, fold, ship
 
 BUCKETS = 1 << 14
-SAMPLE = 3000
+#: Training rows in all and of one language, and languages: the most frequent ones.
+SAMPLE, EACH, LANGUAGES = 6000, 750, 50
 UNKNOWN = "und"
 _PART = 1 << 20
 _A, _B, _C = np.uint32(0x9E3779B1), np.uint32(0x85EBCA77), np.uint32(0xC2B2AE3D)
@@ -117,32 +118,44 @@ def train(rows: list[tuple[np.ndarray, np.ndarray, str]], buckets: int = BUCKETS
 
 
 def fit(docs: DataFrame, sample: int = SAMPLE, parts: int = 4, held: int = 2, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> Model | None:
-    """The model of a bounded sample of rows outside the held-out fold with a language; None without such rows."""
+    """The model of a bounded sample of rows outside the held-out fold with a language; None without such rows.
+
+    The ``LANGUAGES`` most frequent languages are learned, each from as many rows as all get of
+    ``sample``, but ``EACH`` at most: those with the smallest hashes of id and text, so a rare language is learned
+    like a common one, repeated rows count once and reruns agree.
+    """
     ship(docs.sparkSession)
     ident, text, lang = column(docs, id_col, "long"), column(docs, text_col, "string"), column(docs, lang_col, "string")
     rows = docs.select(ident.alias("id"), text.alias("text"), lang.alias("lang")).where(fold(F.col("id"), parts) != held).where("lang is not null and text is not null")
-    draw = F.xxhash64("id", F.lit(11))
-    least = [r[0] for r in rows.select(draw.alias("draw")).orderBy("draw").limit(sample).collect()]
-    if not least:
+    rows = rows.select("text", "lang", F.xxhash64("id", F.lit(11)).alias("draw"), F.xxhash64("text").alias("print"))
+    common = [r["lang"] for r in rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "lang").limit(LANGUAGES).collect()]
+    if not common:
         return None
+    each = min(EACH, sample // len(common))
+    nth = F.row_number().over(Window.partitionBy("lang").orderBy("draw", "print"))
+    drawn = rows.where(F.col("lang").isin(common)).select("lang", "draw", "print").distinct().withColumn("nth", nth).where(F.col("nth") <= each).drop("nth")
 
     def vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids, at, counts, langs = [], [], [], []
-            for value, lang, draw in zip(batch.column(0), batch.column(1), batch.column(2)):
+            ids, prints, at, counts, langs = [], [], [], [], []
+            for value, lang, draw, print_ in zip(*batch.columns):
                 found = gram_counts(value.as_py())
                 if found is not None:
                     own = np.flatnonzero(found)
                     ids.append(draw.as_py())
+                    prints.append(print_.as_py())
                     at.append(own.astype(np.int32))
                     counts.append(found[own].astype(np.int32))
                     langs.append(lang.as_py())
-            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(at, pa.list_(pa.int32())), pa.array(counts, pa.list_(pa.int32())), pa.array(langs, pa.string())], ["draw", "at", "counts", "lang"])
-
-    chosen = rows.where(draw <= least[-1]).select("text", "lang", draw.alias("draw"))
-    got = chosen.mapInArrow(vectors, "draw long, at array<int>, counts array<int>, lang string").limit(2 * sample).toArrow()
-    data = sorted(zip(got["draw"].to_pylist(), got["lang"].to_pylist(), map(lambda x: x.values.to_numpy(), got["at"]), map(lambda x: x.values.to_numpy(), got["counts"])), key=lambda r: (r[0], r[1], len(r[2])))
-    return train([(at, counts, lang) for _, lang, at, counts in data]) if data else None
+            lists = [pa.array(x, pa.list_(pa.int32())) for x in (at, counts)]
+            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(prints, pa.int64()), *lists, pa.array(langs, pa.string())], ["draw", "print", "at", "counts", "lang"])
+
+    same = ["lang", "draw", "print"]
+    chosen = rows.join(F.broadcast(drawn), same, "left_semi")  # at most ``sample`` rows, and what repeats them
+    chosen = chosen.groupBy(*same).agg(F.min("text").alias("text")).select("text", "lang", "draw", "print")
+    got = chosen.mapInArrow(vectors, "draw long, print long, at array<int>, counts array<int>, lang string").toArrow()
+    data = sorted(zip(*(got[c].to_pylist() for c in ("draw", "lang", "print")), (x.values.to_numpy() for x in got["at"]), (x.values.to_numpy() for x in got["counts"])), key=lambda r: r[:3])
+    return train([(at, counts, lang) for _, lang, _, at, counts in data]) if data else None
 
 
 def best(model: Model | None, text: str | None) -> tuple[str, float]:
