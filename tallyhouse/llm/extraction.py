@@ -26,7 +26,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from tallyhouse.llm.shared import column, ship
+from tallyhouse.llm.shared import column, runs, ship
 from tallyhouse.llm.textarrays import hashed_words
 
 SAMPLE = 300
@@ -34,6 +34,8 @@ COMPOSED = 1500
 HIDDEN = 16
 PATHS, WORDS = 2048, 512
 PATH_SIZE, WORD_SIZE, MEASURES = 24, 6, 7
+#: Blocks that the network reads at once, padding included, and characters of the longest page that trains it.
+PADDED, LONGEST = 1 << 14, 200_000
 
 # Elements of HTML by how they cut text.
 BLOCKS = frozenset(
@@ -42,7 +44,9 @@ BLOCKS = frozenset(
     "ol optgroup option p pre section select summary table tbody td template textarea tfoot th thead title tr ul video audio".split()
 )
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset("script style svg math template".split())
+RAW = frozenset("script style".split())
+#: Drawings and markup that is not shown, passed over up to their end tag if there is one.
+UNSEEN = frozenset("svg template".split())
 #: Opening one of these ends an open element of the named kinds.
 ENDS = {"li": ("li",), "dd": ("dd", "dt"), "dt": ("dd", "dt"), "tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th"), "option": ("option",), "body": ("head",)}
 #: Elements inside which those ends apply.
@@ -113,7 +117,10 @@ def parse(page: str) -> list[Block]:
             close = re.compile(rf"</{re.escape(tag)}\b[^>]*>?", re.I).search(page, at)
             at = close.end() if close else end
             continue
-        if tag in VOID:
+        if tag in VOID or (tag in ("svg", "math") and m[3].rstrip().endswith("/")):
+            continue
+        if tag in UNSEEN and (close := re.compile(rf"</{tag}\b[^>]*>?", re.I).search(page, at)):
+            at = close.end()
             continue
         ended = ENDS.get(tag, ())
         if tag in CLOSES_P:
@@ -360,7 +367,7 @@ class Network:
             x[i, : len(page), PATH_SIZE + WORD_SIZE :] = page.measures
         return x, (path_row, path_at, word_row, word_at, share)
 
-    def _run(self, side: str, x: np.ndarray, mask: np.ndarray) -> tuple[np.ndarray, list]:
+    def _run(self, side: str, x: np.ndarray, mask: np.ndarray, keep: bool) -> tuple[np.ndarray, list]:
         h, c = np.zeros((len(x), HIDDEN)), np.zeros((len(x), HIDDEN))
         pre = x @ self.p[f"{side}_x"] + self.p[f"{side}_b"]
         out, kept = np.zeros((*x.shape[:2], HIDDEN)), []
@@ -371,18 +378,20 @@ class Network:
             g, m = np.tanh(gates[:, 3 * HIDDEN :]), mask[:, t, None]
             new_c = f * c + i * g
             tanh_c = np.tanh(new_c)
-            kept.append((t, h, c, i, f, o, g, tanh_c))
+            if keep:
+                kept.append((t, h, c, i, f, o, g, tanh_c))
             c = np.where(m, new_c, c)
             h = np.where(m, o * tanh_c, h)
             out[:, t] = h
         return out, kept
 
-    def forward(self, pages: list[Page]):
+    def forward(self, pages: list[Page], keep: bool = True):
+        """Probabilities, and with ``keep`` what the gradient needs of every step."""
         longest = max(map(len, pages))
         x, kept = self.inputs(pages, longest)
         mask = np.arange(longest) < np.array([len(p) for p in pages])[:, None]
-        f, f_kept = self._run("f", x, mask)
-        b, b_kept = self._run("b", x, mask)
+        f, f_kept = self._run("f", x, mask, keep)
+        b, b_kept = self._run("b", x, mask, keep)
         joined = np.concatenate([f, b, x], 2)
         return _sigmoid(joined @ self.p["out"] + self.p["bias"]), (x, kept, mask, joined, f_kept, b_kept)
 
@@ -441,12 +450,16 @@ class Network:
         return mean
 
     def label(self, pages: list[Page], batch: int = 64) -> list[np.ndarray]:
-        """Whether each block of each page is article text; pages of similar length are read together."""
+        """Whether each block of each page is article text; pages of similar length are read together,
+        as many as fit in ``PADDED`` blocks at the length of the longest."""
         out: list[np.ndarray] = [np.zeros(0, bool)] * len(pages)
         order = sorted((k for k in range(len(pages)) if len(pages[k])), key=lambda k: len(pages[k]))
-        for s in range(0, len(order), batch):
-            own = order[s : s + batch]
-            probability, _ = self.forward([pages[k] for k in own])
+        while order:
+            number = batch
+            while number > 1 and number * len(pages[order[:number][-1]]) > PADDED:
+                number //= 2
+            own, order = order[:number], order[number:]
+            probability, _ = self.forward([pages[k] for k in own], keep=False)
             for i, k in enumerate(own):
                 out[k] = probability[i, : len(pages[k])] >= 0.5
         return out
@@ -462,12 +475,19 @@ def _add_rows(target: np.ndarray, rows: np.ndarray, table: np.ndarray, at: np.nd
 
 
 def fit(pages: DataFrame, sample: int = SAMPLE, composed: int = COMPOSED, id_col: str = "page_id", html_col: str = "html", seed: int = 21) -> Network:
-    """A network trained on a bounded sample of ``pages`` and pages composed from its sentences."""
+    """A network trained on a bounded sample of ``pages`` and pages composed from its sentences.
+
+    The sample has the smallest hashes of id and text among pages of at most ``LONGEST`` characters.
+    """
     ship(pages.sparkSession)
-    rows = pages.select(F.xxhash64(column(pages, id_col, "string"), F.lit(seed)).alias("draw"), column(pages, html_col, "string").alias("html")).where("html is not null")
-    drawn = [r[0] for r in rows.select("draw").orderBy("draw").limit(sample).collect()]
-    got = rows.where(F.col("draw") <= drawn[-1]).limit(2 * sample).collect() if drawn else []
-    real = [parse(h) for _, h in sorted(set((r["draw"], r["html"]) for r in got))]
+    page = column(pages, html_col, "string")
+    rows = pages.select(F.xxhash64(column(pages, id_col, "string"), F.lit(seed)).alias("draw"), F.xxhash64(page).alias("print"), page.alias("html"))
+    rows = rows.where(F.length("html") <= LONGEST)
+    drawn = [(r["draw"], r["print"]) for r in rows.select("draw", "print").distinct().orderBy("draw", "print").limit(sample).collect()]
+    last = drawn[-1] if drawn else (0, 0)
+    picked = rows.where((F.col("draw") < last[0]) | ((F.col("draw") == last[0]) & (F.col("print") <= last[1]))) if drawn else rows.where(F.lit(False))
+    got = picked.groupBy("draw", "print").agg(F.min("html").alias("html")).collect()  # ``sample`` pages of bounded length
+    real = [parse(h) for _, _, h in sorted(map(tuple, got))]
     sentences = [b.text for blocks in real for b in blocks if len(b.text) > 20][:20_000] or ["one two three four five six seven eight nine ten eleven twelve"]
     rng = np.random.Generator(np.random.Philox(seed))
     invented = [parse(compose(rng, sentences)) for _ in range(composed)]
@@ -493,6 +513,8 @@ def extract(pages: DataFrame, sample: int = SAMPLE, composed: int = COMPOSED, id
     The whole html is read. Null, empty and text-less pages give an empty text. Character
     references are decoded, white space inside a block becomes one blank, blocks are joined in page
     order by a line feed. Unclosed and stray tags, comments and quotes are accepted as they come.
+    Formulas are text like any other; drawings and templates are none. A page of any length is
+    read whole, in memory that grows with its blocks alone.
     Repeated rows give repeated results, an empty table gives no rows. Extra columns are ignored.
     """
     held = pages.sparkSession.sparkContext.broadcast(model or fit(pages, sample, composed, id_col, html_col))
@@ -501,8 +523,8 @@ def extract(pages: DataFrame, sample: int = SAMPLE, composed: int = COMPOSED, id
         network = held.value
         for batch in batches:
             texts: list[str] = []
-            for k in range(0, batch.num_rows, 512):
-                blocks = [parse(h.as_py() or "") for h in batch.column(2)[k : k + 512]]
+            for lo, hi in runs(batch.column(2)):
+                blocks = [parse(h.as_py() or "") for h in batch.column(2)[lo:hi]]
                 good = network.label(featured(blocks))
                 texts += ["\n".join(b.text for b, keep in zip(own, kept) if keep) for own, kept in zip(blocks, good)]
             chars = pa.array([len(t) for t in texts], pa.int64())
