@@ -4,16 +4,18 @@ Statistics of the whole corpus: every training text's words are hashed and count
 tasks, summed by Spark into one row per distinct word, and staged. Nothing of that table is
 collected but its ``HEAD`` most frequent words, chosen by a histogram of counts.
 
-Model: a word is one of ``CLASSES`` classes, the end of a text, one of the most frequent words, or
-"rare". The log-bilinear network predicts a class from the two before it: the context vectors,
+Model: every word has a class. The end of a text and the most frequent words are classes of their
+own; every other word of the head shares a class with words that follow the same class most tellingly, from
+corpus-wide counts of (class before, word); words outside the head, unseen ones among them, are the
+last class. The log-bilinear network predicts a class from the two before it: the context vectors,
 each scaled by its position, are added and multiplied with the vectors of all classes. It is
 trained by noise-contrastive estimation on all training texts: (context, class) pairs are counted
 inside the tasks, summed by Spark and staged as one row per context of two classes, and every step
 adds up the gradient over all of them in one Spark job. The classes' unigram distribution is the
 noise; its expectation is exact, no noise is drawn. Afterwards batched matrix products over all pairs
-of context classes give exact normalisers, so the scores are proper log-probabilities. A rare word
-is spelt by its own share within the rare class, from the corpus counts, where all unseen words share
-one more count: P(word | rare) = (c + 1) / (N_rare + V_rare + 1).
+of context classes give exact normalisers, so the scores are proper log-probabilities. Within its class
+a word of the head has its share of the class's count; in the last class all unseen words share
+one more count: P(word | last) = (c + 1) / (N_last + V_last + 1).
 
 Scoring: frequent words are looked up in the broadcast head; only words outside it leave a text,
 as (word, times) rows that meet the count table in one join and come back as one sum a text.
@@ -23,7 +25,7 @@ Words are known by a 64-bit hash of their bytes.
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
@@ -39,8 +41,8 @@ CLASSES = 512
 DIMENSION = 24
 #: Gradient steps of an epoch, each over all contexts.
 STEPS = 8
-#: Counted (context, class) pairs up to which the driver adds up the same gradient itself, without a Spark job a step.
-LOCAL = 1 << 17
+#: Parts into which a task's gradient is cut, so that no group holds more of it than one part a task.
+CUTS = 32
 #: Contexts of one dense block.
 _BLOCK = 512
 #: Hash that stands for the end of a text.
@@ -94,13 +96,14 @@ def count_words(rows: DataFrame) -> DataFrame:
 class Model:
     words: np.ndarray  # head: sorted hashes
     counts: np.ndarray
-    classes: np.ndarray  # of each head word; the last class is "rare"
+    classes: np.ndarray  # of each head word; the last class is that of all others
     total: int  # N
     distinct: int  # V
-    rare: int  # N_rare + V_rare + 1
+    rare: int  # N_last + V_last + 1
     first: np.ndarray  # [class before last, class]
     second: np.ndarray  # [class before, class], with the class's own weight
     normaliser: np.ndarray  # [class before last, class before]
+    share: np.ndarray = field(default_factory=lambda: np.zeros(0))  # log10 of P(word | class) of each head word
 
     def look_up(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Place of each hash in the head, and whether it is there."""
@@ -209,6 +212,42 @@ def learn(streams: list[np.ndarray], classes: int, **options) -> tuple[np.ndarra
     return descend(share, lambda p, noise: [g / max(len(flat), 1) for g in gradient(p, noise, context, owner, keys % classes, n)], **options)
 
 
+def telling(rows: DataFrame, held: Broadcast) -> tuple[np.ndarray, np.ndarray]:
+    """For words of the head in the last class of the model: place in the head, and the class that is before them most often beyond chance.
+
+    Counts of (class before, word) are summed over all texts; a word's row has an entry per class at most.
+    """
+
+    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model = held.value
+        for batch in batches:
+            for lo, hi in runs(batch.column(0), 8_000_000):
+                hashes, before = token_hashes(batch.column(0)[lo:hi])
+                at, there = model.look_up(hashes)
+                numbers = model.numbers(hashes)
+                one = np.zeros(len(numbers), np.int64)
+                one[1:] = numbers[:-1]
+                one[before[:-1][np.diff(before) > 0]] = 0
+                own = there & (numbers == model.size - 1)
+                keys, n = np.unique(at[own] * model.size + one[own], return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array((keys // model.size).astype(np.int32)), pa.array((keys % model.size).astype(np.int32)), pa.array(n)], ["place", "before", "n"])
+
+    pairs = stage(rows.mapInArrow(counted, "place int, before int, n long").groupBy("place", "before").agg(F.sum("n").alias("n")), "neighbours")
+    size = held.value.size
+    shares = np.ones(size)
+    for row in pairs.groupBy("before").agg(F.sum("n").alias("n")).collect():
+        shares[row["before"]] = row["n"]
+    shares /= shares.sum()
+    share = F.element_at(F.expr("array(" + ", ".join(f"{x!r}D" for x in shares.tolist()) + ")"), F.col("x.before") + 1)
+    listed = pairs.groupBy("place").agg(F.sum("n").alias("total"), F.collect_list(F.struct("before", "n")).alias("seen"))
+    expected = F.col("total") * share
+    best = listed.select("place", "total", F.explode("seen").alias("x")).groupBy("place").agg(
+        F.max_by("x.before", F.struct(((F.col("x.n") - expected) / F.sqrt(expected)).alias("excess"), (-F.col("x.before")).alias("low"))).alias("before")
+    )
+    got = best.toArrow()  # at most a row per word of the head
+    return got["place"].to_numpy(), got["before"].to_numpy()
+
+
 def count_contexts(rows: DataFrame, held: Broadcast) -> DataFrame:
     """context, seen (class, n) of the texts of ``rows`` (one text column), staged."""
 
@@ -248,10 +287,6 @@ def gradients(found: DataFrame, total: int) -> Callable[[list[np.ndarray], np.nd
         owner = np.repeat(np.arange(len(seen)), np.diff(seen.offsets.to_numpy()))
         return context.to_numpy(), owner, *(x.to_numpy() for x in seen.flatten().flatten())
 
-    if found.agg(F.sum(F.size("seen"))).first()[0] <= LOCAL:
-        held_here = unpacked(*(c.combine_chunks() for c in found.orderBy("context").toArrow().columns))
-        return lambda parameters, noise: [g / total for g in gradient(parameters, noise, *held_here)]
-
     def summed(parameters: list[np.ndarray], noise: np.ndarray) -> list[np.ndarray]:
         held = found.sparkSession.sparkContext.broadcast((parameters, noise))
 
@@ -261,11 +296,19 @@ def gradients(found: DataFrame, total: int) -> Callable[[list[np.ndarray], np.nd
                 own = gradient(*held.value, *unpacked(*batch.columns))
                 sums = own if sums is None else [a + b for a, b in zip(sums, own)]
             if sums is not None:
-                yield pa.RecordBatch.from_arrays([pa.array([np.concatenate([x.ravel() for x in sums]).tobytes()])], ["sums"])
+                cut = np.array_split(np.concatenate([x.ravel() for x in sums]), CUTS)
+                task = pa.array([TaskContext.get().partitionId()] * CUTS, pa.int32())
+                yield pa.RecordBatch.from_arrays([pa.array(range(CUTS), pa.int32()), task, pa.array([c.tobytes() for c in cut])], ["cut", "task", "sums"])
+
+        def added(key: tuple, table: pa.Table) -> pa.Table:
+            """One part over all tasks, in the order of the tasks, so that reruns agree to the last bit."""
+            rows = table.sort_by("task")["sums"].to_pylist()
+            return pa.table({"cut": pa.array([key[0].as_py()], pa.int32()), "sums": pa.array([np.sum([np.frombuffer(r) for r in rows], axis=0).tobytes()])})
 
-        got = found.mapInArrow(partial, "sums binary").toArrow()["sums"].to_pylist()  # a row a task, as long as the parameters
+        parts = found.mapInArrow(partial, "cut int, task int, sums binary").groupBy("cut").applyInArrow(added, "cut int, sums binary")
+        got = parts.toArrow().sort_by("cut")["sums"].to_pylist()  # the parameters once, however many tasks there are
         held.destroy()
-        flat = np.sum([np.frombuffer(x) for x in got], axis=0) / total
+        flat = np.concatenate([np.frombuffer(x) for x in got]) / total
         ends = np.cumsum([x.size for x in parameters])
         return [x.reshape(p.shape) for x, p in zip(np.split(flat, ends[:-1]), parameters)]
 
@@ -288,32 +331,43 @@ def fit(training: DataFrame, head: int = HEAD, classes: int = CLASSES, sample: i
         if taken + row["v"] > head:
             break
         taken, least = taken + row["v"], row["least"]
-    head_words = counts.where(F.col("n") >= (least if least is not None else 2**62)).toArrow()  # at most ``head`` rows
+    own = F.col("word") == F.lit(int(END.view(np.int64)))
+    head_words = counts.where((F.col("n") >= (least if least is not None else 2**62)) | own).toArrow()  # at most ``head`` rows and the end
     words, n = head_words["word"].to_numpy().view(np.uint64), head_words["n"].to_numpy()
     order = np.argsort(words)
     words, n = words[order], n[order]
+    # Classes: the end, frequent words, as many groups of other words of the head, all words outside it.
+    alone = (classes - 2) // 2
+    groups = classes - 2 - alone
     number = np.full(len(words), classes - 1, np.int64)
     frequent = np.lexsort((words, -n))
-    frequent = frequent[words[frequent] != END][: classes - 2]
+    frequent = frequent[words[frequent] != END][:alone]
     number[frequent] = np.arange(1, len(frequent) + 1)
     number[words == END] = 0
-    own = int(n[number < classes - 1].sum())
-    rare = (total - own) + (distinct - int((number < classes - 1).sum())) + 1
-    model = Model(words, n, number, total, distinct, rare, *[np.zeros((classes, 0))] * 3)
+    rare = (total - int(n.sum())) + (distinct - len(words)) + 1
+    within = np.zeros(len(words))
+    context = training.sparkSession.sparkContext
+    if (number == classes - 1).any():
+        place, before = telling(training.select("text"), context.broadcast(Model(words, n, number.copy(), total, distinct, rare, *[np.zeros((classes, 0))] * 3)))
+        number[place] = 1 + alone + np.minimum(before, alone + 1) % groups
+        grouped = number > alone
+        held = np.bincount(number[grouped], n[grouped], classes)
+        within[grouped] = np.log10(n[grouped]) - np.log10(held[number[grouped]])
+    model = Model(words, n, number, total, distinct, rare, *[np.zeros((classes, 0))] * 3, within)
 
     texts = training
     if sample is not None:
         draw = F.xxhash64("id", F.lit(13))
         drawn = [r[0] for r in training.select(draw.alias("draw")).orderBy("draw").limit(sample).collect()]
         texts = training.where(draw <= drawn[-1]) if drawn else training
-    found = count_contexts(texts.select("text"), training.sparkSession.sparkContext.broadcast(model))
+    found = count_contexts(texts.select("text"), context.broadcast(model))
     share = np.zeros(classes)
     for row in found.select(F.inline("seen")).groupBy("class").agg(F.sum("n").alias("n")).collect():
         share[row["class"]] = row["n"]
     tokens = int(share.sum())
     share = (share + 1.0) / (tokens + classes)
     first, second, normaliser = descend(share, gradients(found, tokens)) if tokens else learn([], classes)
-    return Model(words, n, number, total, distinct, rare, *(x.astype(np.float32) for x in (first, second, normaliser))), counts
+    return Model(words, n, number, total, distinct, rare, *(x.astype(np.float32) for x in (first, second, normaliser)), within), counts
 
 
 def score(docs: DataFrame, head: int = HEAD, classes: int = CLASSES, sample: int | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -336,8 +390,10 @@ def score(docs: DataFrame, head: int = HEAD, classes: int = CLASSES, sample: int
                 hashes, before = token_hashes(batch.column(1)[lo:hi])
                 at, there = model.look_up(hashes)
                 numbers, log = model.numbers(hashes), np.where(there, logs[at], 0.0) if len(model.words) else np.zeros(len(hashes))
-                rare = numbers == classes - 1
-                by = model.class_logs(numbers, before).astype(np.float64) / np.log(10) + np.where(rare, log - np.log10(model.rare), 0.0)
+                own = np.where(numbers == classes - 1, -np.log10(model.rare), 0.0)
+                if len(model.words):
+                    own = np.where(there, model.share[at], own)
+                by = model.class_logs(numbers, before).astype(np.float64) / np.log(10) + own
                 owner = np.repeat(np.arange(hi - lo), np.diff(before))
                 add = lambda x: pa.array(np.bincount(owner, x, hi - lo))
                 # Words outside the head, as (text, word) with their number.

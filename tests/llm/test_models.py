@@ -77,6 +77,13 @@ def test_language_of_held_out_texts(documents, odd):
     assert {1, 2, 3, 9}.isdisjoint(r.doc_id for r in kept.collect()) and set(truth) <= {r.doc_id for r in kept.collect()}
 
 
+def test_a_rare_language_is_learnt(documents):
+    """One row in two hundred, and an id that is repeated more often than the sample is large."""
+    rows = [(i, spoken("aa", i), "aa") for i in range(1600)] + [(5000 + i, spoken("bb", i), "bb") for i in range(12)] + [(7, spoken("aa", 7), "aa")] * 300
+    got = {r.doc_id: r.lang_pred for r in language.identify(documents(rows), sample=60).collect()}
+    assert all(got[5000 + i] == "bb" for i in range(12)) and all(got[i] == "aa" for i in range(1600))
+
+
 def test_long_texts_count_in_parts(monkeypatch):
     text = spoken("aa", 1, 500) + "..." + spoken("cc", 2, 300)
     whole = language.gram_counts(text)
@@ -206,9 +213,7 @@ def test_learning_finds_a_pattern():
     assert np.exp(logs[3]) > 0.9
 
 
-@pytest.mark.parametrize("local", [1 << 17, 0])
-def test_every_training_text_is_learnt_from(documents, spark, monkeypatch, local):
-    monkeypatch.setattr(lm, "LOCAL", local, raising=False)
+def test_every_training_text_is_learnt_from(documents, spark):
     ids = [i for i in range(1800) if part(i, 7) != 2]
     drawn = {r.id: r.draw for r in spark.createDataFrame([(i,) for i in ids], "id long").selectExpr("id", "xxhash64(id, 13) draw").collect()}
     late = set(sorted(ids, key=drawn.get)[1200:])
@@ -220,6 +225,47 @@ def test_every_training_text_is_learnt_from(documents, spark, monkeypatch, local
     assert after[lu] > 0.8
 
 
+@pytest.mark.parametrize("head", [1 << 20, 20])
+def test_scores_by_hand(documents, head):
+    """Token by token: the class given the two classes before, then the word given its class."""
+    words = [f"w{k}" for k in range(40)]
+    rng = random.Random(1)
+    texts = [" ".join(w for _ in range(12) for w in (rng.choice(words[:6]), rng.choice(words[6 + 2 * (i % 3) :: 6]))) for i in range(200)]
+    rows = [*enumerate(texts), (500, "w1 new W2 NEW"), (501, ""), (502, None)]
+    training = documents([r for r in rows if part(r[0], 7) != 2]).selectExpr("doc_id id", "coalesce(text, '') text")
+    model, _ = lm.fit(training, head, 10)
+    counts = Counter(w for i, t in rows if part(i, 7) != 2 for w in [*WORD.findall((t or "").translate(LOWER)), ""])
+    known = lm.token_hashes(pa.array([" ".join(w for w in counts if w)]))[0]
+    name = dict(zip([*(w for w in counts if w), ""], known))
+    place = {w: int(model.look_up(np.array([h]))[0][0]) for w, h in name.items() if model.look_up(np.array([h]))[1][0]}
+    last, tail = 9, [w for w in counts if w not in place]
+    assert place and (head > 100) == (not tail)
+    shares = Counter()
+    for w in place:
+        shares[int(model.classes[place[w]])] += 10 ** model.share[place[w]]
+    assert all(v == pytest.approx(1) for v in shares.values()) and len(shares) > 6
+
+    def by_hand(text):
+        total, two, one = 0.0, 0, 0
+        for w in [*WORD.findall((text or "").translate(LOWER)), ""]:
+            c = int(model.classes[place[w]]) if w in place else last
+            total += (model.first[two, c] + model.second[one, c] - model.normaliser[two, one]) / math.log(10)
+            total += model.share[place[w]] if w in place else math.log10((counts[w] + 1) / (sum(counts[t] for t in tail) + len(tail) + 1))
+            two, one = one, c
+        return total
+
+    got = {r.doc_id: r.score for r in lm.score(documents(rows), head, 10).collect()}
+    assert all(got[i] == pytest.approx(by_hand(t), rel=1e-4) for i, t in rows)
+
+
+def test_words_are_grouped_by_what_is_before_them(documents):
+    rows = [(i, " ".join(f"left a{(i * 7 + k) % 30} right b{(i * 5 + k) % 30}" for k in range(10))) for i in range(150)]
+    model, _ = lm.fit(documents(rows).selectExpr("doc_id id", "text"), classes=6)
+    of = lambda w: int(model.classes[model.look_up(lm.token_hashes(pa.array([w]))[0])[0][0]])
+    assert len({of(f"a{k}") for k in range(30)}) == len({of(f"b{k}") for k in range(30)}) == 1 and of("a1") != of("b1")
+    assert {of("left"), of("right")} == {1, 2}
+
+
 def test_no_texts_to_learn_from(documents):
     only = [i for i in range(60) if part(i, 7) == 2][:3]
     got = lm.score(documents([(i, "a b") for i in only]), classes=8).collect()
@@ -246,6 +292,28 @@ def test_blocks_of_broken_markup():
     assert (linked.text, linked.linked) == ("abcd", 2)
 
 
+def test_drawings_and_formulas():
+    assert texts_of("<p>one</p><svg viewBox='0'/><p>two</p><p>three</p>") == ["one", "two", "three"]
+    assert texts_of("<p>a<svg><text>no</text></svg>b</p><svg><p>c</p>") == ["ab", "c"]
+    assert texts_of("<p>so <math><mi>x</mi><mo>=</mo><mn>2</mn></math> holds</p><math/><p>d</p>") == ["so x=2 holds", "d"]
+    assert texts_of("<template><p>no</p></template><p>yes</p>") == ["yes"]
+
+
+def test_a_very_long_page_among_short_ones():
+    """Memory grows with the blocks that are there, not with padding or kept states."""
+    import tracemalloc
+
+    long = [extraction.parse("<article>" + "<p>some words here.</p>" * 20_000 + "</article>")]
+    short = [extraction.parse("<nav>a</nav><article><p>b c d.</p></article>")] * 63
+    pages, network = extraction.featured(short + long), extraction.Network()
+    alone = network.label(pages[:1])[0]
+    tracemalloc.start()
+    got = network.label(pages)
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert len(got[-1]) == 20_000 and (got[0] == alone).all() and most < 200e6
+
+
 def test_gradients_are_right(prose):
     rng = np.random.default_rng(0)
     blocks = [extraction.parse(extraction.compose(rng, [prose(i, 12) for i in range(30)])) for _ in range(4)]
