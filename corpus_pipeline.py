@@ -2,6 +2,9 @@
 
 Each stage reads the Parquet that the one before wrote, works on all of it, and all but the last
 return the columns of ``documents``.
+
+Every stage takes null ids and columns, empty and very long texts and repeated rows as its operator
+does, keeps extra columns whatever their names, and gives no rows for an empty table.
 """
 
 from __future__ import annotations
@@ -18,22 +21,22 @@ Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Rows whose language is told with some confidence; texts without a letter go."""
+    """Rows whose language is told with some confidence; null texts and texts without a letter go. Repeated rows stay."""
     return language.keep_known(docs)
 
 
 def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Rows that pass the base rules and the certified cutoffs of their language."""
+    """Rows that pass the base rules and the certified cutoffs of their language; null texts have no words and go. Repeated rows stay."""
     return quality.keep_good(docs, read(spark, sf_dir, "labels"))
 
 
 def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One row of each class of near-duplicates, the smallest id."""
+    """One row of each class of near-duplicates, the smallest id; rows without id stay, of repeated rows one."""
     return neardup.keep_one(docs)
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Rows as often as the source mix takes them: not at all, once or twice."""
+    """Rows as often as the source mix takes them: not at all, once or twice. A null source is a source, rows without words go."""
     return mixing.resample(docs)
 
 
