@@ -69,7 +69,8 @@ def write_fact(fact: DataFrame, root: str, snapshot: str, published: DataFrame |
 
     A month is written whole, in tasks of even size that adaptive execution makes of large and
     small months, and sorted by day inside files. Its keys are unique in the fact: the month, the
-    task's number, the row's place in the task.
+    task's number, the row's place in the task. Where a snapshot is published, the fact is computed
+    once for the fingerprints and once more for the months to write.
     """
     spark, month = fact.sparkSession, F.floor(F.col("date_key") / 100).cast("int")
     fact = fact.drop("fact_key").withColumn(MONTH, month).withColumn("fact_key", F.lit(0))
