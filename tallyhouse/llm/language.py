@@ -25,6 +25,8 @@ from tallyhouse.llm.shared import column, fold, ship
 BUCKETS = 1 << 14
 #: Training rows in all and of one language, and languages: the most frequent ones.
 SAMPLE, EACH, LANGUAGES = 6000, 750, 50
+#: Shares in which a language's rows are ranked.
+SHARES = 256
 UNKNOWN = "und"
 _PART = 1 << 20
 _A, _B, _C = np.uint32(0x9E3779B1), np.uint32(0x85EBCA77), np.uint32(0xC2B2AE3D)
@@ -132,8 +134,12 @@ def fit(docs: DataFrame, sample: int = SAMPLE, parts: int = 4, held: int = 2, id
     if not common:
         return None
     each = min(EACH, sample // len(common))
-    nth = F.row_number().over(Window.partitionBy("lang").orderBy("draw", "print"))
-    drawn = rows.where(F.col("lang").isin(common)).select("lang", "draw", "print").distinct().withColumn("nth", nth).where(F.col("nth") <= each).drop("nth")
+    nth = lambda *by: F.row_number().over(Window.partitionBy("lang", *by).orderBy("draw", "print"))
+    # First within shares of a language, so that no task holds more of it than one share or what all shares leave.
+    drawn = rows.where(F.col("lang").isin(common)).select("lang", "draw", "print").distinct().withColumn("share", F.pmod("draw", F.lit(SHARES)))
+    for by in (["share"], []):
+        drawn = drawn.withColumn("nth", nth(*by)).where(F.col("nth") <= each).drop("nth")
+    drawn = drawn.drop("share")
 
     def vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
