@@ -26,6 +26,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -105,11 +106,22 @@ class Model:
     normaliser: np.ndarray  # [class before last, class before]
     share: np.ndarray = field(default_factory=lambda: np.zeros(0))  # log10 of P(word | class) of each head word
 
+    @cached_property
+    def starts(self) -> np.ndarray:
+        """Where in the head the hashes with given first bits begin."""
+        bits = max(1, len(self.words).bit_length())
+        return np.searchsorted(self.words, np.arange(1 << bits, dtype=np.uint64) << np.uint64(64 - bits))
+
     def look_up(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Place of each hash in the head, and whether it is there."""
+        """Place of each hash in the head, and whether it is there. Hashes spread evenly, so their first bits lead next to it."""
         if not len(self.words):
             return np.zeros(len(hashes), np.int64), np.zeros(len(hashes), bool)
-        at = np.minimum(np.searchsorted(self.words, hashes), len(self.words) - 1)
+        last = len(self.words) - 1
+        at = np.minimum(self.starts[(hashes >> np.uint64(64 - (len(self.starts).bit_length() - 1))).astype(np.int64)], last)
+        below = np.flatnonzero((self.words[at] < hashes) & (at < last))
+        while len(below):
+            at[below] += 1
+            below = below[(self.words[at[below]] < hashes[below]) & (at[below] < last)]
         return at, self.words[at] == hashes
 
     @property
@@ -117,12 +129,11 @@ class Model:
         """Number of classes."""
         return len(self.first)
 
-    def numbers(self, hashes: np.ndarray) -> np.ndarray:
-        """Class of each token."""
-        if not len(self.words):
-            return np.where(hashes == END, 0, self.size - 1)
-        at, there = self.look_up(hashes)
-        return np.where(there, self.classes[at], np.where(hashes == END, 0, self.size - 1))
+    def numbers(self, hashes: np.ndarray, found: tuple[np.ndarray, np.ndarray] | None = None) -> np.ndarray:
+        """Class of each token; ``found`` is what ``look_up`` gave."""
+        at, there = found or self.look_up(hashes)
+        others = np.where(hashes == END, 0, self.size - 1)
+        return np.where(there, self.classes[at], others) if len(self.words) else others
 
     def class_logs(self, classes: np.ndarray, before: np.ndarray) -> np.ndarray:
         """Natural log-probability of each token's class in its text; classes outside a text are the end."""
@@ -219,18 +230,33 @@ def telling(rows: DataFrame, held: Broadcast) -> tuple[np.ndarray, np.ndarray]:
     """
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = held.value
+        model, kept = held.value, []
+
+        def merged() -> tuple[np.ndarray, np.ndarray]:
+            keys, which = np.unique(np.concatenate([k for k, _ in kept]), return_inverse=True)
+            return keys, np.bincount(which, np.concatenate([n for _, n in kept])).astype(np.int64)
+
+        def out() -> pa.RecordBatch:
+            keys, n = merged()
+            kept.clear()
+            return pa.RecordBatch.from_arrays([pa.array((keys // model.size).astype(np.int32)), pa.array((keys % model.size).astype(np.int32)), pa.array(n)], ["place", "before", "n"])
+
         for batch in batches:
             for lo, hi in runs(batch.column(0), 8_000_000):
                 hashes, before = token_hashes(batch.column(0)[lo:hi])
                 at, there = model.look_up(hashes)
-                numbers = model.numbers(hashes)
+                numbers = model.numbers(hashes, (at, there))
                 one = np.zeros(len(numbers), np.int64)
                 one[1:] = numbers[:-1]
                 one[before[:-1][np.diff(before) > 0]] = 0
                 own = there & (numbers == model.size - 1)
-                keys, n = np.unique(at[own] * model.size + one[own], return_counts=True)
-                yield pa.RecordBatch.from_arrays([pa.array((keys // model.size).astype(np.int32)), pa.array((keys % model.size).astype(np.int32)), pa.array(n)], ["place", "before", "n"])
+                kept.append(np.unique(at[own] * model.size + one[own], return_counts=True))
+                if sum(len(k) for k, _ in kept) > 2_000_000:
+                    kept[:] = [merged()]
+                    if len(kept[0][0]) > 1_000_000:
+                        yield out()
+        if kept:
+            yield out()
 
     pairs = stage(rows.mapInArrow(counted, "place int, before int, n long").groupBy("place", "before").agg(F.sum("n").alias("n")), "neighbours")
     size = held.value.size
@@ -389,7 +415,7 @@ def score(docs: DataFrame, head: int = HEAD, classes: int = CLASSES, sample: int
             for lo, hi in runs(batch.column(1), 4_000_000):
                 hashes, before = token_hashes(batch.column(1)[lo:hi])
                 at, there = model.look_up(hashes)
-                numbers, log = model.numbers(hashes), np.where(there, logs[at], 0.0) if len(model.words) else np.zeros(len(hashes))
+                numbers, log = model.numbers(hashes, (at, there)), np.where(there, logs[at], 0.0) if len(model.words) else np.zeros(len(hashes))
                 own = np.where(numbers == classes - 1, -np.log10(model.rare), 0.0)
                 if len(model.words):
                     own = np.where(there, model.share[at], own)
