@@ -36,14 +36,38 @@ def double_key(c: Column) -> Column:
 
     Sign and magnitude as in the IEEE format, by arithmetic that is exact: dividing by a power of two.
     """
+    return reduce(lambda so_far, step: step(so_far), _STEPS, {"value": c})["key"]
+
+
+def _size(x: Mapping[str, Column]) -> dict[str, Column]:
+    c = x["value"]
     odd = F.isnan(c) | (F.abs(c) == float("inf"))
-    size = F.when(odd, F.lit(1.0)).otherwise(F.abs(c))
-    two = lambda e: F.pow(F.lit(2.0), e.cast("double"))
-    guess = F.greatest(F.coalesce(F.floor(F.log2(size)).cast("int"), F.lit(-1022)), F.lit(-1022))
-    power = F.greatest(guess + (size >= two(guess + 1)).cast("int") - (size < two(guess)).cast("int"), F.lit(-1022))
-    magnitude = F.shiftleft((power + 1022).cast("bigint"), 52) + (size / two(power) * F.lit(2.0**52)).cast("bigint")
+    return {"value": c, "odd": odd, "size": F.when(odd, F.lit(1.0)).otherwise(F.abs(c))}
+
+
+def _guess(x: Mapping[str, Column]) -> dict[str, Column]:
+    return {**x, "guess": F.greatest(F.coalesce(F.floor(F.log2(x["size"])).cast("int"), F.lit(-1022)), F.lit(-1022))}
+
+
+def _two(e: Column) -> Column:
+    return F.pow(F.lit(2.0), e.cast("double"))
+
+
+def _power(x: Mapping[str, Column]) -> dict[str, Column]:
+    guess, size = x["guess"], x["size"]
+    power = F.greatest(guess + (size >= _two(guess + 1)).cast("int") - (size < _two(guess)).cast("int"), F.lit(-1022))
+    return {k: x[k] for k in ("value", "odd", "size")} | {"power": power}
+
+
+def _key(x: Mapping[str, Column]) -> dict[str, Column]:
+    c, odd, power = x["value"], x["odd"], x["power"]
+    magnitude = F.shiftleft((power + 1022).cast("bigint"), 52) + (x["size"] / _two(power) * F.lit(2.0**52)).cast("bigint")
     greatest = F.lit(0x7FF << 52)
-    return F.when(F.isnan(c), greatest + 1).when(odd, F.when(c > 0, greatest).otherwise(-greatest)).otherwise(F.when(c < 0, -1).otherwise(1) * magnitude)
+    return {"key": F.when(F.isnan(c), greatest + 1).when(odd, F.when(c > 0, greatest).otherwise(-greatest)).otherwise(F.when(c < 0, -1).otherwise(1) * magnitude)}
+
+
+#: What a key is made of, each named from those before it.
+_STEPS = (_size, _guess, _power, _key)
 
 
 def double_of(key: int) -> float:
@@ -81,11 +105,13 @@ def select_ranks(long: DataFrame, wanted: Callable[[Column], Column], rows: int
     beyond a series are skipped. ``long`` is read once a pass. ``rows`` is an upper bound of the rows of a series, if known.
     """
 
-    def counted(by: list[str], digit: Column, source: DataFrame, ranks: Callable[[], Column]) -> list:
-        more = [] if len(by) == 1 else [F.any_value(c).alias(c) for c in ("ranks", "shift")]
-        counts = source.groupBy(*by, digit.alias("digit")).agg(F.count(F.lit(1)).alias("n"), F.min("key").alias("lo"), F.max("key").alias("hi"), *more)
+    def counted(by: list[str], digit: Column, source: DataFrame, ranks: Callable[[], Column], about: DataFrame | None = None) -> list:
+        """``about`` has the wanted ranks of each group: they meet its counts, as arrays would keep the rows from being hashed."""
+        counts = source.groupBy(*by, digit.alias("digit")).agg(F.count(F.lit(1)).alias("n"), F.min("key").alias("lo"), F.max("key").alias("hi"))
         group = W.partitionBy(*by)
         counts = counts.withColumn("upto", F.sum("n").over(group.orderBy("digit"))).withColumn("total", F.sum("n").over(group))
+        if about is not None:
+            counts = counts.join(F.broadcast(about), by)
         inside = F.filter(ranks(), lambda r: (r > F.col("upto") - F.col("n")) & (r <= F.col("upto")))
         return counts.withColumn("inside", inside).where(F.size("inside") > 0).drop("ranks").collect()
 
@@ -109,9 +135,9 @@ def select_ranks(long: DataFrame, wanted: Callable[[Column], Column], rows: int
             [(s, prefix, 0 if n <= 1 << DIGIT else at - DIGIT, [r - before for r in ranks]) for (s, prefix), (before, ranks, n, _) in kept.items()],
             "series string, prefix bigint, shift int, ranks array<bigint>",
         )
-        near = long.withColumn("prefix", F.shiftright("key", at)).join(F.broadcast(active), ["series", "prefix"])
+        near = long.withColumn("prefix", F.shiftright("key", at)).join(F.broadcast(active.drop("ranks")), ["series", "prefix"])
         digit = F.call_function("shiftright", F.col("key"), F.col("shift"))
-        rows_ = counted(["series", "prefix"], digit, near, lambda: F.col("ranks"))
+        rows_ = counted(["series", "prefix"], digit, near, lambda: F.col("ranks"), active)
         got = [(kept[r["series"], r["prefix"]][0], kept[r["series"], r["prefix"]][3], r["shift"], r) for r in rows_]
         at -= DIGIT
 
@@ -125,7 +151,10 @@ def long_form(df: DataFrame, keys: Mapping[str, Column], *others: str) -> DataFr
 def double_form(df: DataFrame, names: Mapping[str, str]) -> DataFrame:
     """(series, key) of the columns ``names`` (series to column) as doubles, null cells left out."""
     cells = df.select(*[F.col(f"`{c}`").cast("double").alias(s) for s, c in names.items()]).unpivot([], list(names), "series", "value")
-    return cells.where("value is not null").select("series", double_key(F.col("value")).alias("key"))
+    long = cells.where("value is not null")
+    for step in _STEPS:  # a projection each, as an expression named twice is computed twice inside a branch
+        long = long.select("series", *[x.alias(name) for name, x in step({c: F.col(c) for c in long.columns[1:]}).items()])
+    return long
 
 
 def quantiles(long: DataFrame, probabilities: Sequence[float]) -> dict[tuple[str, float], float]:

@@ -131,3 +131,13 @@ def test_medians_of_hot_and_small_groups(spark, cells):
             at = (len(mine) - 1) * p
             lo, hi = mine[math.floor(at)], mine[math.ceil(at)]
             assert got[g, p] == (lo if lo == hi else lo + (hi - lo) * (at - math.floor(at)))
+
+
+def test_every_pass_hashes_its_counts(spark, monkeypatch):
+    """Also where a digit is narrowed down: no pass sorts the rows it counts."""
+    plans, frame = [], type(spark.range(1))
+    monkeypatch.setattr(frame, "collect", lambda df, f=frame.collect: plans.append(df._jdf.queryExecution().executedPlan().toString()) or f(df))
+    values = spark.range(3000).select((F.col("id") / 7 + 1000).alias("x"))
+    got = {r.p: r.value for r in group_quantiles(values, [], ["x"], [0.5]).collect()}
+    assert got == {0.5: pytest.approx(1000 + 1499.5 / 7, rel=1e-15)}
+    assert len(plans) > 2 and not any("SortAggregate" in p for p in plans)
