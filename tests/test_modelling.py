@@ -72,3 +72,12 @@ def test_latest_review_ties_go_to_the_later_answer(spark):
 def test_payment_mode_defaults(spark):
     df = spark.createDataFrame([("o", None, 1.0), ("p", "voucher", 2.0), ("p", "boleto", 0.1), ("p", None, 0.2)], "order_id string, payment_type string, payment_value double")
     assert rows(modelling.payments_per_order(df)) == [("o", 1.0, "not_defined"), ("p", 2.3, "boleto")]
+
+
+def test_payments_meet_in_one_exchange(spark):
+    data = [("a", "voucher", 1.0), ("a", "boleto", 2.5), ("b", "credit_card", None), ("c", "voucher", 0.1), ("c", "voucher", 0.2), ("c", "boleto", 9.0), ("d", None, 4.0)]
+    per_order = modelling.payments_per_order(spark.createDataFrame(data, "order_id string, payment_type string, payment_value double"))
+    got = {r.order_id: (r.order_payment_total, r.payment_type) for r in per_order.collect()}
+    assert got == {"a": (3.5, "boleto"), "b": (None, "credit_card"), "c": (9.3, "voucher"), "d": (4.0, "not_defined")}
+    plan = per_order._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[-1]
+    assert plan.count("Exchange") == 1 and "SortAggregate" not in plan

@@ -247,3 +247,8 @@ def test_describe_matches_builtin(spark):
     want = df.agg(F.mean("x").alias("m"), F.stddev_samp("x").alias("s"), F.percentile("x", 0.25).alias("q"), F.count("y").alias("n")).first()
     assert got["x"].mean == pytest.approx(want.m) and got["x"].std == pytest.approx(want.s) and got["x"].p25 == want.q
     assert got["y"]["count"] == want.n
+
+
+def test_foreign_keys_are_grouped_as_numbers(published):
+    plan = integrity.referential(published["star"])._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(relation" in plan and "hashpartitioning(check" not in plan.split("relation")[0]

@@ -326,3 +326,15 @@ def test_one_shuffle_per_deduplicated_dataset(spark, raw):
         assert "Exchange" not in plan and "HashAggregate" not in plan, name
     counted = log.counts()
     assert (counted["sellers in"], counted["sellers distinct"]) == (4, 2)
+
+
+def test_month_prints_sum_hashes_without_decimals_per_row(published):
+    fact = published["star"]["fact_orders"]
+    cells = [F.col(f.name) for f in STAR["fact_orders"] if f.name != "fact_key"]
+    expected = {}
+    for r in fact.select(MONTH, *[F.xxhash64(F.lit(salt), *cells).alias(f"h{salt}") for salt in (1, 2)]).collect():
+        n, a, b = expected.get(r[MONTH], (0, 0, 0))
+        expected[r[MONTH]] = (n + 1, a + r.h1, b + r.h2)
+    prints = snapshot.month_prints(fact)
+    assert {r[MONTH]: (r["rows"], int(r.print1), int(r.print2)) for r in prints.collect()} == expected
+    assert "decimal" not in prints._jdf.queryExecution().executedPlan().toString().split("partial_sum")[-1].lower()
