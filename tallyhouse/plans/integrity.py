@@ -7,9 +7,10 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F, types as T
 
-from tallyhouse.functions.columns import at_least, days_between, money, money_sum, money_total, pad_zip, ratio, strip
+from tallyhouse.functions.columns import at_least, days_between, halves, money, money_sum, money_total, pad_zip, ratio, strip, whole
 from tallyhouse.operators.groups import group_medians, latest_per_group
 from tallyhouse.operators.ranking import Ranking, asc, rank_all
+from tallyhouse.operators.staging import stage
 
 Tables = Mapping[str, DataFrame]
 
@@ -312,8 +313,13 @@ def compare_results(
         return df.select(key.alias("_key"), F.struct(F.lit(0).alias("_"), *[F.col(f"`{c}`") for c in values]).alias(side))
 
     def summed(df: DataFrame, side: str) -> DataFrame:
-        prints = [F.sum(F.xxhash64(F.lit(salt), side).cast("decimal(38,0)")) for salt in (1, 2)]
-        return df.groupBy("_key").agg(F.count(F.lit(1)).alias(f"n_{side}"), F.struct(*prints).alias(f"p_{side}"), F.min(side).alias(side))
+        """Least values one by one: they are the row where a key has one, and numbers are hashed, not sorted."""
+        cells = [F.col(side).getField(c) for c in values]
+        hashed = df.select("_key", *[F.xxhash64(F.lit(salt), side).alias(f"h{salt}") for salt in (1, 2)], *[c.alias(f"c{k}") for k, c in enumerate(cells)])
+        least = [F.min(f"c{k}").alias(f"c{k}") for k in range(len(values))]
+        sums = hashed.groupBy("_key").agg(F.count(F.lit(1)).alias(f"n_{side}"), *halves("h1", "p1"), *halves("h2", "p2"), *least)
+        row = F.struct(F.lit(0).alias("_"), *[F.col(f"c{k}").alias(c) for k, c in enumerate(values)])
+        return sums.select("_key", f"n_{side}", F.struct(whole("p1"), whole("p2")).alias(f"p_{side}"), row.alias(side))
 
     differs = F.lit(False)
     for c in values:
@@ -333,7 +339,7 @@ def compare_results(
     both = summed(left, "l").join(summed(right, "r"), "_key", "full_outer")
     rows, wrong, open_ = both.agg(F.coalesce(F.sum(F.abs(n - m)), F.lit(0)), F.count_if(single & differs), F.count_if(unsettled)).first()
     if open_:
-        picked = both.filter(unsettled).select("_key")
+        picked = stage(both.filter(unsettled).select("_key"), "unsettled")  # both numberings read these keys, each more than once
         numbered = [
             rank_all(df.join(picked, "_key", "left_semi"), Ranking(order=[asc(side)], within=["_key"], row_number="_n")) for df, side in ((left, "l"), (right, "r"))
         ]
