@@ -75,7 +75,7 @@ def warehouse(spark: SparkSession, sf_dir: str) -> dict:
     """Cleaned tables and the published snapshot of the raw mapping, built once for each state of the tables."""
     key = given.state_of(spark, sf_dir)
     if key not in _built:
-        clean = cleaning.clean_all(given.raw(spark, sf_dir))
+        clean = modelling.hold_orders(cleaning.clean_all(given.raw(spark, sf_dir)))
         root = staging_path(spark, "warehouse")
         snapshot.publish(spark, modelling.build_star(clean), root)
         _built[key] = {"clean": clean, "star": snapshot.read_star(spark, root), "root": root}

@@ -75,8 +75,13 @@ WHITESPACE = (
 
 
 def strip(c: Column | str) -> Column:
-    """Drop whitespace of any kind at both ends (plain ``trim`` only drops blanks)."""
-    return F.btrim(col(c), F.lit(WHITESPACE))
+    """Drop whitespace of any kind at both ends (plain ``trim`` only drops blanks).
+
+    Only texts that begin or end outside of ``!`` to ``~`` are searched for whitespace.
+    """
+    c = col(c)
+    tidy = F.ascii(c).between(33, 126) & F.ascii(F.right(c, F.lit(1))).between(33, 126)
+    return F.when(tidy, c).otherwise(F.btrim(c, F.lit(WHITESPACE)))
 
 
 def title_case(c: Column | str) -> Column:

@@ -66,11 +66,28 @@ def parse_timestamps(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return df.withColumns({c: F.col(c).try_cast("timestamp_ntz") for c in columns if c in df.columns})
 
 
-def strip_strings(df: DataFrame) -> DataFrame:
-    text = [f.name for f in df.schema if isinstance(f.dataType, T.StringType)]
+def strip_strings(df: DataFrame, but: Sequence[str] = ()) -> DataFrame:
+    text = [f.name for f in df.schema if isinstance(f.dataType, T.StringType) and f.name not in but]
     return df.withColumns({c: strip(c) for c in text}) if text else df
 
 
+def distinct_stripped(df: DataFrame, by: str, log: CleaningLog | None = None, label: str = "rows") -> DataFrame:
+    """Distinct whole rows, their texts stripped.
+
+    Without a log the rows are dealt by the stripped ``by`` before copies are dropped. What joins or groups
+    by it next finds them in place, so one exchange serves both. The raw text stays beside it where it differs,
+    as copies are found before stripping.
+    """
+    if log is not None:
+        return strip_strings(drop_full_duplicates(df, log, label))
+    bare = "bare"
+    while bare in df.columns:
+        bare += "_"
+    dealt = df.withColumn(bare, strip(by)).withColumn(by, F.when(F.col(by) != F.col(bare), F.col(by))).repartition(bare)
+    found = dealt.dropDuplicates().select(*[F.col(bare).alias(by) if c == by else F.col(f"`{c}`") for c in df.columns])
+    return strip_strings(found, but=[by])
+
+
 def normalise_place(df: DataFrame, prefix: str) -> DataFrame:
     return df.withColumns(
         {
@@ -116,12 +133,12 @@ def clean_orders(df: DataFrame, log: CleaningLog | None = None) -> DataFrame:
 
 
 def clean_order_items(df: DataFrame, log: CleaningLog | None = None) -> DataFrame:
-    df = parse_timestamps(strip_strings(drop_full_duplicates(df, log, "order_items")), ["shipping_limit_date"])
+    df = parse_timestamps(distinct_stripped(df, "order_id", log, "order_items"), ["shipping_limit_date"])
     return df.withColumns({c: at_least(c, 0.0) for c in ("price", "freight_value")})
 
 
 def clean_order_payments(df: DataFrame, log: CleaningLog | None = None) -> DataFrame:
-    df = strip_strings(drop_full_duplicates(df, log, "order_payments"))
+    df = distinct_stripped(df, "order_id", log, "order_payments")
     return keep_domain(df, "payment_type", PAYMENT_TYPES, log).withColumn(
         "payment_value", at_least("payment_value", 0.0)
     )

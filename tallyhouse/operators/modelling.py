@@ -182,12 +182,13 @@ def build_dimensions(clean: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
     return {"dim_dates": build_dim_dates(clean["orders"]), "dim_geolocation": geo, "dim_customers": customers, "dim_sellers": sellers, "dim_products": products}
 
 
-def build_star(clean: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
-    """All six tables; the fact gets its ``fact_key`` when it is written.
+def hold_orders(clean: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
+    """Stage the cleaned orders: they feed the calendar, the fact and its checks, so their deduplication runs once."""
+    return {**clean, "orders": stage(clean["orders"], "orders")}
 
-    The orders feed both the calendar and the fact, so their deduplication runs once.
-    """
-    clean = {**clean, "orders": stage(clean["orders"], "orders")}
+
+def build_star(clean: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
+    """All six tables; the fact gets its ``fact_key`` when it is written."""
     star = build_dimensions(clean)
     star["fact_orders"] = build_fact_orders(
         clean["order_items"],

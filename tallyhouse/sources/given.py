@@ -253,8 +253,27 @@ def forget() -> None:
     _lines.clear()
 
 
+# The flags and line states that the mapping below tells apart.
+FLAGS, LINE_STATES = ("A", "N"), ("F",)
+
+
+def _rank(c: str, known: tuple[str, ...]) -> Column:
+    """Place of a text among ascending known ones: 2k + 1 for the k-th, even numbers between them, null for null.
+
+    It keeps the order, so the least place is that of the least text, and a number is merged without sorting rows.
+    """
+    out = F.lit(2 * len(known))
+    for k, value in reversed(list(enumerate(known))):
+        out = F.when(F.col(c) < value, 2 * k).when(F.col(c) == value, 2 * k + 1).otherwise(out)
+    return F.when(F.col(c).isNotNull(), out)
+
+
+def _is(c: str, value: str, known: tuple[str, ...]) -> Column:
+    return F.col(c) == 2 * known.index(value) + 1
+
+
 def order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Line items merged per (order, line number), which is not unique in the given table.
+    """Line items merged per (order, line number), which is not unique in the given table; texts are kept as ``_rank``.
 
     Written once for each state of the tables: items and payments both start from it.
     """
@@ -267,8 +286,8 @@ def order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.sum(cents("l_extendedprice")).alias("amount"),
             F.min("l_discount").alias("discount"),
             F.min("l_tax").alias("tax"),
-            F.min("l_returnflag").alias("flag"),
-            F.min("l_linestatus").alias("status"),
+            F.min(_rank("l_returnflag", FLAGS)).alias("flag"),
+            F.min(_rank("l_linestatus", LINE_STATES)).alias("status"),
             F.max("l_quantity").alias("quantity"),
         )
         _lines[key] = stage(merged.withColumn("freight", _tax_cents(F.col("amount"), F.col("tax"))), "order-lines")
@@ -277,7 +296,7 @@ def order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def raw_order_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Some prices are negative."""
-    returned = (F.col("flag") == "A") & (F.col("discount") == 0.1)
+    returned = _is("flag", "A", FLAGS) & (F.col("discount") == 0.1)
     amount = F.when(returned, -F.col("amount")).otherwise(F.col("amount"))
     return order_lines(spark, sf_dir).select(
         _id("o", "l_orderkey").alias("order_id"),
@@ -299,12 +318,12 @@ def raw_order_payments(spark: SparkSession, sf_dir: str) -> DataFrame:
     change = F.lit(0)
     for discount, amount in ADJUSTMENT.items():
         change = F.when(F.col("discount") == discount, amount).otherwise(change)
-    flag, status = F.col("flag"), F.col("status")
+    a, n, finished = _is("flag", "A", FLAGS), _is("flag", "N", FLAGS), _is("status", "F", LINE_STATES)
     kind = (
-        F.when((flag == "A") & (F.col("tax") == 0.08), "bitcoin")
-        .when((flag == "A") & (status == "F"), " credit_card")
-        .when(flag == "A", "debit_card ")
-        .when(flag == "N", "boleto")
+        F.when(a & (F.col("tax") == 0.08), "bitcoin")
+        .when(a & finished, " credit_card")
+        .when(a, "debit_card ")
+        .when(n, "boleto")
         .otherwise("voucher")
     )
     due = (F.col("amount") + F.col("freight") + change) / 100.0

@@ -104,3 +104,41 @@ def test_registry_needs_its_dependencies(raw):
     without = {k: v for k, v in raw.items() if k != "category_translation"}
     with pytest.raises(KeyError):
         clean_all(without)
+
+
+def test_strip_only_searches_texts_with_odd_ends(spark):
+    texts = ["a", " a", "a\u2003", "\u00a0é ", "é", "é\x85", "!~", "~ !", "", "  ", "日本", "\x7f a \x7f", None]
+    assert values(spark, texts, strip) == [t if t is None else t.strip() for t in texts]
+
+
+def test_payments_of_an_order_are_dealt_once(spark, make):
+    data = [("o1", 1, "voucher", 1, 2.0)] * 2 + [(" o1", 1, "voucher", 1, 2.0), ("o1 ", 1, "voucher", 1, 2.0), ("o2", 1, "boleto ", 1, 1.0), (None, 1, "boleto", 1, 3.0), (None, 1, "boleto", 1, 3.0), ("o3", 1, "bitcoin", 1, 9.0)]
+    clean = cleaning.clean_order_payments(make("order_payments", data))
+    assert rows(clean) == rows(cleaning.clean_order_payments(make("order_payments", data), CleaningLog()))
+    assert clean.count() == 5 and clean.columns == make("order_payments", data).columns
+    summed = clean.groupBy("order_id").agg(F.sum("payment_value").alias("paid"))
+    assert rows(summed) == [("o1", 6.0), ("o2", 1.0), (None, 3.0)]
+    plan = clean.groupBy("order_id").agg(F.sum("payment_value"))._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1
+
+
+def test_lines_are_merged_without_sorting_rows(spark, tmp_path, monkeypatch):
+    """Least texts are found by their places; unknown and missing ones keep their order."""
+    import datetime
+
+    from tallyhouse.sources import given
+
+    day = datetime.datetime(1997, 1, 1)
+    flags = [("A", "N"), ("N", "R"), ("R", "a"), (None, "A"), ("", "A"), ("B", "N"), (None, None), ("N", "N")]
+    data = [(k, 1, 1, 1, 1.0, 1.0, 0.01, 0.0, f, s, day) for k, pair in enumerate(flags) for f, s in zip(pair, ("O", "F" if k % 2 else "G"))]
+    schema = "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, l_extendedprice double, l_discount double, l_tax double, l_returnflag string, l_linestatus string, l_shipdate timestamp_ntz"
+    spark.createDataFrame(data, schema).write.parquet(f"{tmp_path}/lineitem.parquet")
+    plans = []
+    monkeypatch.setattr(given, "stage", lambda df, name: plans.append(df._jdf.queryExecution().executedPlan().toString()) or df)
+    paid = {int(r.order_id[1:]): r.payment_type for r in given.raw_order_payments(spark, str(tmp_path)).collect()}
+    given.forget()
+    card = {True: " credit_card", False: "debit_card "}
+    kind = lambda f, s: "voucher" if f is None else card[s == "F"] if f == "A" else "boleto" if f == "N" else "voucher"
+    least = lambda texts: min((t for t in texts if t is not None), default=None)
+    assert paid == {k: kind(least(pair), least(["O", "F" if k % 2 else "G"])) for k, pair in enumerate(flags)}
+    assert plans and not any("SortAggregate" in p for p in plans)
