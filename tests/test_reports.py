@@ -268,3 +268,14 @@ def test_compared_numbers_are_hashed(spark):
         frame.first = first
     assert got == {"rows": 0, "values": 3}
     assert plans and not any("SortAggregate" in p for p in plans)
+
+
+def test_result_properties_join_the_items_once(spark, monkeypatch):
+    from tallyhouse import catalogue
+    from tallyhouse.sources import given
+
+    sf, built = "/root/testdata/sf0.001", []
+    monkeypatch.setattr(catalogue, "stage", lambda df, name: built.append(df) or spark.createDataFrame(df.collect(), df.schema), raising=False)
+    plan = catalogue.QUERIES["q16_result_properties"](spark, sf)._jdf.queryExecution().executedPlan().toString()
+    assert len(built) == 1 and "lineitem.parquet" not in plan
+    assert built[0].count() == given.table(spark, sf, "lineitem").count()
