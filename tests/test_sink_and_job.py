@@ -338,3 +338,15 @@ def test_month_prints_sum_hashes_without_decimals_per_row(published):
     prints = snapshot.month_prints(fact)
     assert {r[MONTH]: (r["rows"], int(r.print1), int(r.print2)) for r in prints.collect()} == expected
     assert "decimal" not in prints._jdf.queryExecution().executedPlan().toString().split("partial_sum")[-1].lower()
+
+
+def test_checksums_are_summed_without_decimals_per_row(spark):
+    import hashlib
+    import re
+
+    texts = [str(k) for k in range(300)]
+    df = spark.createDataFrame([(t,) for t in texts], "c string")
+    expected = sum(int(hashlib.md5(t.encode()).hexdigest()[:15], 16) for t in texts)
+    assert rows(sources.fingerprint(df)) == [(300, str(expected))] and rows(sources.fingerprint(df.limit(0))) == [(0, "0")]
+    plan = sources.fingerprint(df)._jdf.queryExecution().executedPlan().toString()
+    assert set(re.findall(r"16, 10[^)]*\) as (\w+)", plan)) == {"bigint"}
