@@ -45,7 +45,7 @@ def portable(df: DataFrame) -> DataFrame:
 
 def register(name: str) -> Callable[[Query], Query]:
     def add(fn: Query) -> Query:
-        QUERIES[name] = lambda spark, sf_dir: portable(fn(tune(spark), sf_dir))
+        QUERIES[name] = lambda spark, sf_dir: portable(fn(tune(spark, given.input_bytes(spark, sf_dir)), sf_dir))
         return fn
 
     return add

@@ -237,15 +237,25 @@ def raw_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
 _lines: dict[tuple, DataFrame] = {}
 
 
-def state_of(spark: SparkSession, sf_dir: str) -> tuple:
-    """Application, folder and the length and time of every table's files, from the listing."""
-    found = [spark.sparkContext.applicationId, sf_dir]
+def _files(spark: SparkSession, sf_dir: str) -> list[tuple[str, int, int]]:
+    """Name, length and time of every table's files, from the listing."""
+    found = []
     for name in COLUMNS:
         path = spark._jvm.org.apache.hadoop.fs.Path(f"{sf_dir}/{name}.parquet")
         fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
         if fs.exists(path):
             found += [(s.getPath().getName(), s.getLen(), s.getModificationTime()) for s in fs.listStatus(path)]
-    return tuple(found)
+    return found
+
+
+def state_of(spark: SparkSession, sf_dir: str) -> tuple:
+    """Application, folder and the tables' files."""
+    return (spark.sparkContext.applicationId, sf_dir, *_files(spark, sf_dir))
+
+
+def input_bytes(spark: SparkSession, sf_dir: str) -> int:
+    """Length of all tables together."""
+    return sum(length for _, length, _ in _files(spark, sf_dir))
 
 
 def forget() -> None:
