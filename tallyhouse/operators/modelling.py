@@ -155,17 +155,20 @@ def build_fact_orders(
     """One row per order item; keys that do not resolve stay null.
 
     The items are dealt by order once, and the three left joins by order keep that; payments and
-    reviews of orders that cleaning dropped still meet their items.
+    reviews of orders that cleaning dropped still meet their items. Sellers and products come first: where
+    they are too large to broadcast, narrow items are dealt by them and by order again, and the wide rows
+    leave with the items of an order next to each other, which compress well.
     """
     seller = dim_sellers.select("seller_id", "seller_key", F.col("geo_key").alias("seller_geo_key"))
     product = dim_products.select("product_id", "product_key")
     fact = (
         order_items.select("order_id", "order_item_id", "product_id", "seller_id", "price", "freight_value")
+        .join(seller, "seller_id", "left")
+        .join(product, "product_id", "left")
+        .drop("seller_id", "product_id")
         .join(known_orders(orders, dim_customers), "order_id", "left")
         .join(payments_per_order(payments), "order_id", "left")
         .join(latest_review_per_order(reviews), "order_id", "left")
-        .join(seller, "seller_id", "left")
-        .join(product, "product_id", "left")
         .withColumn("delivery_delta_days", F.col("delivery_days") - F.col("estimated_days"))
     )
     return fact.select([c for c in STAR["fact_orders"].names if c != "fact_key"])

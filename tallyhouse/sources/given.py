@@ -285,14 +285,15 @@ def _is(c: str, value: str, known: tuple[str, ...]) -> Column:
 def order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Line items merged per (order, line number), which is not unique in the given table; texts are kept as ``_rank``.
 
-    Written once for each state of the tables: items and payments both start from it.
+    Written once for each state of the tables: items and payments both start from it. Lines of an order are
+    written next to each other, so that its id is compressed there and where they are dealt by it.
     """
     key = state_of(spark, sf_dir)
     if key not in _lines:
         merged = table(spark, sf_dir, "lineitem").groupBy("l_orderkey", "l_linenumber").agg(
             F.min("l_partkey").alias("part"),
             F.min("l_suppkey").alias("supplier"),
-            F.min("l_shipdate").alias("shipped"),
+            F.min(F.to_date("l_shipdate")).alias("shipped"),
             F.sum(cents("l_extendedprice")).alias("amount"),
             F.min("l_discount").alias("discount"),
             F.min("l_tax").alias("tax"),
@@ -300,7 +301,8 @@ def order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.min(_rank("l_linestatus", LINE_STATES)).alias("status"),
             F.max("l_quantity").alias("quantity"),
         )
-        _lines[key] = stage(merged.withColumn("freight", _tax_cents(F.col("amount"), F.col("tax"))), "order-lines")
+        lines = merged.withColumn("freight", _tax_cents(F.col("amount"), F.col("tax")))
+        _lines[key] = stage(lines.sortWithinPartitions("l_orderkey", "l_linenumber"), "order-lines")
     return _lines[key]
 
 

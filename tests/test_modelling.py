@@ -1,4 +1,5 @@
 import datetime
+import re
 
 import pytest
 from conftest import rows
@@ -81,3 +82,9 @@ def test_payments_meet_in_one_exchange(spark):
     assert got == {"a": (3.5, "boleto"), "b": (None, "credit_card"), "c": (9.3, "voucher"), "d": (4.0, "not_defined")}
     plan = per_order._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[-1]
     assert plan.count("Exchange") == 1 and "SortAggregate" not in plan
+
+
+def test_items_meet_orders_last(built):
+    """Where products are not broadcast, the wide rows are dealt by order last, so an order's items lie together."""
+    joins = re.findall(r"Join LeftOuter, \((\w+)#", built["fact_orders"]._jdf.queryExecution().optimizedPlan().toString())
+    assert joins[:3] == ["order_id"] * 3 and {"seller_id", "product_id"} <= set(joins[3:])

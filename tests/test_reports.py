@@ -279,3 +279,19 @@ def test_result_properties_join_the_items_once(spark, monkeypatch):
     plan = catalogue.QUERIES["q16_result_properties"](spark, sf)._jdf.queryExecution().executedPlan().toString()
     assert len(built) == 1 and "lineitem.parquet" not in plan
     assert built[0].count() == given.table(spark, sf, "lineitem").count()
+
+
+def test_keys_of_a_parent_without_gaps_are_not_exchanged(spark, published):
+    star = published["star"]
+    plan = integrity.referential(star)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("customer_unique_id") == 1  # the customers are read as a child only
+    runs = lambda *keys: integrity._whole_runs({0: spark.createDataFrame([(0, k) for k in keys], "parent int, key bigint")})
+    assert runs(3, 1, 2, None) == {0: (1, 3)} and runs(*range(-5, 70000)) == {0: (-5, 69999)}
+    assert runs(1, 2, 2, 4) == runs(1, 3) == runs(-(2**63), 2**63 - 1) == runs(None) == {}
+    one = star["dim_customers"].limit(1).drop("customer_key")
+    for parents, bad in (((1, 2, 3), (0, 4)), ((1, 2, 2, 4), (3, 5))):
+        customers = one.crossJoin(spark.createDataFrame([(k,) for k in parents], "customer_key bigint"))
+        keys = spark.createDataFrame([(k,) for k in (*parents, *bad, bad[0], None)], "customer_key bigint")
+        fact = star["fact_orders"].drop("customer_key").limit(1).crossJoin(keys)
+        found = {r.check: r.n_violations for r in integrity.referential({**star, "dim_customers": customers, "fact_orders": fact}).collect()}
+        assert found["fact_orders.customer_key -> dim_customers"] == 3

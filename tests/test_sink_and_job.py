@@ -259,6 +259,42 @@ def test_an_unchanged_month_keeps_its_files(spark, built, tmp_path):
     assert files() == after and not [p for p in tmp_path.rglob(f"order_month=201802/version={first}")]
 
 
+def test_a_fact_without_new_months_is_checked_for_its_foreign_keys_alone(spark, built, tmp_path, monkeypatch):
+    root, seen = str(tmp_path), []
+    check = snapshot.constraint_violations
+
+    def watch(tables, **how):
+        found = check(tables, **how)
+        seen.append({r["check"] for r in found.collect()})
+        return found
+
+    monkeypatch.setattr(snapshot, "constraint_violations", watch)
+    fact = built["fact_orders"]
+    dearer = fact.withColumn("price", F.col("price") + 1)
+    for rows_of in (fact, fact, dearer):
+        snapshot.publish(spark, {**built, "fact_orders": rows_of}, root)
+    first, same, changed = seen
+    assert first == changed and first - same == {
+        "unique fact_orders.order_id+order_item_id", "price >= 0", "freight_value >= 0", "review_score in 1..5",
+        *[f"not null fact_orders.{c}" for c in ("order_id", "order_item_id", "price", "freight_value")],
+    }
+    with pytest.raises(snapshot.PublishError, match="customer_key"):
+        snapshot.publish(spark, {**built, "fact_orders": dearer, "dim_customers": built["dim_customers"].filter("customer_key > 1")}, root)
+    with pytest.raises(snapshot.PublishError, match="unique fact_orders"):
+        snapshot.publish(spark, {**built, "fact_orders": dearer.unionAll(dearer)}, root)
+
+
+def test_refreshes_of_the_warehouse_write_no_month_again(spark):
+    from tallyhouse import catalogue
+
+    data = "/root/testdata/sf0.001"
+    catalogue.QUERIES["s4_atomic_refresh"](spark, data).collect()
+    root = catalogue.warehouse(spark, data)["root"]
+    written = snapshot._versions(spark, root)
+    assert len(snapshot.snapshots(spark, root)) >= 3 and len({version for version, _ in written}) == 1
+    assert len(written) == snapshot.read_star(spark, root)["fact_orders"].select(MONTH).distinct().count()
+
+
 def test_months_that_come_and_go(spark, built, tmp_path):
     """A month without rows is in no later snapshot, one without date is a month of its own, a failed publish leaves no files."""
     root, fact = str(tmp_path), built["fact_orders"]
