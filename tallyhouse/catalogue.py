@@ -99,8 +99,12 @@ def _csv_copy(spark: SparkSession, sf_dir: str, names: Sequence[str]) -> tuple[s
     return folder, {name: name for name in names}
 
 
+#: Of the CSV files; the second is the Hadoop option for the level.
+CSV_CODEC = {"compression": "gzip", "zlib.compress.level": "BEST_SPEED"}
+
+
 def _write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
-    options = dict(header=True, escape='"', ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
+    options = dict(CSV_CODEC, header=True, escape='"', ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
     df.write.mode(mode).options(**options).csv(path)
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Mapping, Sequence
 from functools import partial, reduce
 
-from pyspark.sql import Column, DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from tallyhouse.functions.columns import at_least, clamp, pad_zip, strip, title_case
 from tallyhouse.operators.groups import group_medians, group_modes
@@ -33,6 +33,10 @@ class CleaningLog:
         self._counters[label] = df.agg(counter.alias("n"))
         return df
 
+    def note(self, spark: SparkSession, label: str, n: int) -> None:
+        """A count that is known already."""
+        self._counters[label] = spark.range(1).select(F.lit(n).cast("bigint").alias("n"))
+
     def table(self) -> DataFrame:
         """measure, n: one row per counter."""
         parts = [df.select(F.lit(label).alias("measure"), "n") for label, df in sorted(self._counters.items())]
@@ -45,22 +49,60 @@ class CleaningLog:
 # ---- building blocks ------------------------------------------------------------
 
 
+#: Upper bits of a row's hash that are compared at first; fewer bits are fewer bytes to exchange.
+PRINT_BITS = 48
+
+
 def drop_full_duplicates(df: DataFrame, log: CleaningLog | None = None, label: str = "rows") -> DataFrame:
     """Distinct whole rows.
 
-    With a log they are staged with their multiplicities, so that rows in and rows distinct are
-    sums over the written table, which also serves whatever reads the result.
+    With a log the rows' hashes alone are exchanged first. Rows whose hash no other row has are distinct;
+    where that holds for all, ``df`` is the result, read again and neither exchanged nor written. Otherwise rows
+    that share a hash are compared whole, and the distinct rows are staged with their multiplicities, so that rows
+    in and rows distinct are sums over the written table, which also serves whatever reads the result.
     """
     if log is None:
         return df.dropDuplicates()
-    copies = "copies"
-    while copies in df.columns:
-        copies += "_"
-    counted = stage(df.groupBy(*[F.col(f"`{c}`") for c in df.columns]).agg(F.count(F.lit(1)).alias(copies)), "distinct")
+    copies = _free("copies", df)
+    rows_in, rows_shared, shared = _shared_prints(df)
+    if not rows_shared:
+        for count in ("in", "distinct"):
+            log.note(df.sparkSession, f"{label} {count}", rows_in)
+        return df
+    counted = stage(_counted(df, shared, copies), "distinct")
     log.watch(counted, f"{label} in", F.coalesce(F.sum(copies), F.lit(0)))
     return log.watch(counted, f"{label} distinct", F.count(F.lit(1))).drop(copies)
 
 
+def _free(name: str, df: DataFrame) -> str:
+    """A column name that the table does not have."""
+    while name in df.columns:
+        name += "_"
+    return name
+
+
+def _print(df: DataFrame) -> Column:
+    """Equal rows have equal ones, as 0.0 and -0.0 hash alike, and all NaN."""
+    return F.shiftrightunsigned(F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]), 64 - PRINT_BITS)
+
+
+def _shared_prints(df: DataFrame) -> tuple[int, int, DataFrame]:
+    """How many rows there are, how many of them share their print with another row, and the prints these have."""
+    counts = df.select(_print(df).alias("print")).groupBy("print").agg(F.count(F.lit(1)).alias("n"))
+    shared = F.col("n") > 1
+    found = counts.agg(F.sum("n").alias("rows"), F.sum(F.when(shared, F.col("n"))).alias("shared")).first()  # one row
+    return found.rows or 0, found.shared or 0, counts.filter(shared).select("print")
+
+
+def _counted(df: DataFrame, shared: DataFrame, copies: str) -> DataFrame:
+    """Distinct rows with their multiplicities; only rows of shared prints are grouped."""
+    mark, columns = _free("print", df), [F.col(f"`{c}`") for c in df.columns]
+    marked, among = df.withColumn(mark, _print(df)), stage(shared.withColumnRenamed("print", mark), "prints")
+    alone = marked.join(among, mark, "left_anti").select(*columns, F.lit(1).cast("bigint").alias(copies))
+    several = marked.join(among, mark, "left_semi").groupBy(*columns).agg(F.count(F.lit(1)).alias(copies))
+    return alone.unionByName(several)
+
+
 def parse_timestamps(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Unparseable text becomes null; columns the table does not have are skipped."""
     return df.withColumns({c: F.col(c).try_cast("timestamp_ntz") for c in columns if c in df.columns})
@@ -80,9 +122,7 @@ def distinct_stripped(df: DataFrame, by: str, log: CleaningLog | None = None, la
     """
     if log is not None:
         return strip_strings(drop_full_duplicates(df, log, label))
-    bare = "bare"
-    while bare in df.columns:
-        bare += "_"
+    bare = _free("bare", df)
     dealt = df.withColumn(bare, strip(by)).withColumn(by, F.when(F.col(by) != F.col(bare), F.col(by))).repartition(bare)
     found = dealt.dropDuplicates().select(*[F.col(bare).alias(by) if c == by else F.col(f"`{c}`") for c in df.columns])
     return strip_strings(found, but=[by])

@@ -142,3 +142,39 @@ def test_lines_are_merged_without_sorting_rows(spark, tmp_path, monkeypatch):
     least = lambda texts: min((t for t in texts if t is not None), default=None)
     assert paid == {k: kind(least(pair), least(["O", "F" if k % 2 else "G"])) for k, pair in enumerate(flags)}
     assert plans and not any("SortAggregate" in p for p in plans)
+
+
+def test_rows_that_share_no_print_are_neither_exchanged_nor_written(make, monkeypatch):
+    """With a log only rows whose hash another row has are grouped whole; without such rows the input is the result."""
+    staged = []
+    monkeypatch.setattr(cleaning, "stage", lambda df, name: staged.append(name) or df.localCheckpoint())
+    one = ("c", "u", None, "x", "sp")
+    log, df = CleaningLog(), make("customers", [one, ("c", "u", "x", None, "sp"), ("d", "u", "1", "x", "sp"), (None,) * 5])
+    monkeypatch.setattr(cleaning, "PRINT_BITS", 64)
+    full = df.filter("customer_zip_code_prefix is not null")
+    assert rows(cleaning.drop_full_duplicates(full, log, "few")) == rows(full) and not staged
+    twice = df.unionByName(df.limit(1)).unionByName(df.filter("customer_id is null"))
+    for bits in (64, 48, 1):  # the first two rows share a print, as a hash passes over nulls
+        monkeypatch.setattr(cleaning, "PRINT_BITS", bits)
+        found = cleaning.drop_full_duplicates(twice, log, f"twice {bits}")
+        assert found.columns == df.columns and rows(found) == rows(df)
+    assert cleaning.drop_full_duplicates(df.limit(0), log, "none").count() == 0
+    counted = log.counts()
+    assert counted == {"few in": 2, "few distinct": 2, "none in": 0, "none distinct": 0, **{f"twice {b} {k}": n for b in (64, 48, 1) for k, n in (("in", 6), ("distinct", 4))}}
+    assert staged.count("distinct") == 3
+
+
+def test_numbers_that_are_equal_are_copies_whatever_their_bits(spark):
+    df = spark.createDataFrame([(0.0, float("nan")), (-0.0, float("nan")), (1.0, None)], "a double, b double")
+    log = CleaningLog()
+    assert cleaning.drop_full_duplicates(df, log).count() == df.dropDuplicates().count() == 2
+    assert log.counts() == {"rows in": 3, "rows distinct": 2}
+
+
+def test_logged_deduplication_exchanges_hashes_alone(spark, tmp_path):
+    """Of distinct rows with wide texts less is shuffled and written than the rows take."""
+    spark.range(20_000).selectExpr("id", *[f"sha2(concat(id, '{k}'), 256) as t{k}" for k in range(4)]).write.parquet(str(tmp_path / "t"))
+    wide, log = spark.read.parquet(str(tmp_path / "t")), CleaningLog()
+    distinct = cleaning.drop_full_duplicates(wide, log)
+    assert distinct.inputFiles() == wide.inputFiles()
+    assert distinct.count() == 20_000 and log.counts() == {"rows in": 20_000, "rows distinct": 20_000}
