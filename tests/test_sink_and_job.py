@@ -386,3 +386,59 @@ def test_checksums_are_summed_without_decimals_per_row(spark):
     assert rows(sources.fingerprint(df)) == [(300, str(expected))] and rows(sources.fingerprint(df.limit(0))) == [(0, "0")]
     plan = sources.fingerprint(df)._jdf.queryExecution().executedPlan().toString()
     assert set(re.findall(r"16, 10[^)]*\) as (\w+)", plan)) == {"bigint"}
+
+
+def test_a_fact_of_costly_joins_is_computed_once(spark, built, tmp_path, monkeypatch):
+    """What a refresh writes of unchanged months it removes again, with and without a date, and in a job that fails."""
+    root, fact, printed = str(tmp_path), built["fact_orders"], []
+    prints = snapshot.month_prints
+    monkeypatch.setattr(snapshot, "month_prints", lambda df: printed.append(len(df.inputFiles())) or prints(df))
+    undated = fact.withColumn("date_key", F.when(F.col("date_key") < 20180201, F.col("date_key")))
+    first = snapshot.publish(spark, {**built, "fact_orders": undated}, root, once=True)
+    before = rows(snapshot.read_star(spark, root)["fact_orders"])
+    second = snapshot.publish(spark, {**built, "fact_orders": undated}, root, once=True)
+    assert {v for v, _ in snapshot._versions(spark, root)} == {first} and snapshot.current_snapshot(spark, root) == second
+    assert rows(snapshot.read_star(spark, root)["fact_orders"]) == before
+    dearer = undated.withColumn("price", F.when(F.col("date_key").isNull(), 77.0).otherwise(F.col("price")))
+    third = snapshot.publish(spark, {**built, "fact_orders": dearer}, root, once=True)
+    assert sorted((v, p.split(MONTH)[1].split("/")[0]) for v, p in snapshot._versions(spark, root)) == sorted(
+        [(first, "=201801"), (first, "=__HIVE_DEFAULT_PARTITION__"), (third, "=__HIVE_DEFAULT_PARTITION__")]
+    )
+    assert sorted(r.price for r in snapshot.read_star(spark, root)["fact_orders"].collect()) == [77.0, 100.0, 200.0]
+    assert len(printed) == 3 and all(printed[:2])  # each publication took its fingerprints of written files alone
+    with pytest.raises(snapshot.PublishError):
+        snapshot.publish(spark, {**built, "fact_orders": fact.withColumn("price", F.lit(-1.0))}, root, once=True)
+    assert {v for v, _ in snapshot._versions(spark, root)} == {first, third}
+
+
+def test_a_refresh_computes_its_fact_once(spark, folder, tmp_path_factory, monkeypatch):
+    root, asked = str(tmp_path_factory.mktemp("once")), []
+    write = snapshot.write_fact
+    monkeypatch.setattr(snapshot, "write_fact", lambda *args: asked.append(args[-1]) or write(*args))
+    refresh.run(spark, folder, root)
+    refresh.run(spark, folder, root)
+    assert asked == [True, True] and len({v for v, _ in snapshot._versions(spark, root)}) == 1
+
+
+def test_csv_copies_are_compressed_and_read_back(spark, raw, tmp_path):
+    from tallyhouse import catalogue
+
+    text = spark.createDataFrame([("r", "o", 5, None, 'two\nlines, "quoted" \\ ', "2018-01-01", "2018-01-02")], RAW["order_reviews"])
+    catalogue._write_csv(raw["order_reviews"].unionByName(text), str(tmp_path / "order_reviews"))
+    assert all(p.name.endswith(".csv.gz") for p in (tmp_path / "order_reviews").glob("part-*"))
+    read = sources.load_raw_csv(spark, str(tmp_path), "order_reviews", {"order_reviews": "order_reviews"})
+    assert rows(read) == rows(raw["order_reviews"].unionByName(text))
+
+
+def test_a_build_frees_its_shuffles_and_leaves_the_session_as_it_was(spark, raw, tmp_path, monkeypatch):
+    seen, publish = [], refresh.publish
+    monkeypatch.setattr(refresh, "publish", lambda *args, **how: seen.append(spark.conf.get(refresh.FREED, None)) or publish(*args, **how))
+    refresh.build_and_publish(spark, raw, str(tmp_path))
+    assert spark.conf.get(refresh.FREED, None) is None
+    with pytest.raises(refresh.PhaseError):
+        refresh.build_and_publish(spark, {}, str(tmp_path))
+    assert spark.conf.get(refresh.FREED, None) is None
+    spark.conf.set(refresh.FREED, "false")
+    refresh.build_and_publish(spark, raw, str(tmp_path))
+    assert seen == ["true", "false"] and spark.conf.get(refresh.FREED, None) == "false"
+    spark.conf.unset(refresh.FREED)
